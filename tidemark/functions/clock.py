@@ -1,7 +1,7 @@
 """Instants, local calendar days and release times.
 
-Local time is derived from epoch seconds through ``TIMESTAMP_NTZ`` and an explicit
-zone, so no result depends on the session time zone.
+Local time is the instant shifted by the zone's offset, kept as plain seconds: no result
+depends on the session time zone, and days and hours are integer arithmetic.
 """
 
 from __future__ import annotations
@@ -21,14 +21,24 @@ def to_instant(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)
 
 
-def to_local(seconds: Column, zone: str = LOCAL_ZONE) -> Column:
-    """Wall-clock time in ``zone`` of an epoch-seconds column."""
-    utc = _epoch() + F.make_dt_interval(secs=seconds)
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+def local_seconds(seconds: Column, zone: str = LOCAL_ZONE) -> Column:
+    """Seconds since 1970-01-01 00:00 on the wall clock of ``zone``."""
+    return F.unix_seconds(F.from_utc_timestamp(to_instant(seconds), zone))
 
 
 def local_day(seconds: Column, zone: str = LOCAL_ZONE) -> Column:
-    return F.to_date(to_local(seconds, zone))
+    days = F.floor(local_seconds(seconds, zone) / F.lit(DAY_SECONDS))
+    return F.date_from_unix_date(days.cast("int"))
+
+
+def local_hour(seconds: Column, zone: str = LOCAL_ZONE) -> Column:
+    into_day = F.pmod(local_seconds(seconds, zone), F.lit(DAY_SECONDS))
+    return F.floor(into_day / F.lit(3600)).cast("int")
+
+
+def local_minute(seconds: Column, zone: str = LOCAL_ZONE) -> Column:
+    into_hour = F.pmod(local_seconds(seconds, zone), F.lit(3600))
+    return F.floor(into_hour / F.lit(60)).cast("int")
 
 
 def iso_weekday(day: Column) -> Column:

@@ -28,13 +28,19 @@ class Heavy:
     keys: tuple = ()
     most_rows: int = 0
     per_task: int = TASK_ROWS
+    nulls: bool = False  # the missing key is heavy too: unmatched rows need spreading
+
+    @property
+    def any(self) -> bool:
+        return bool(self.keys) or self.nulls
 
     @property
     def salts(self) -> int:
         return max(2, math.ceil(self.most_rows / self.per_task))
 
     def holds(self, key: Column) -> Column:
-        return key.isin(*self.keys) if self.keys else F.lit(False)
+        held = key.isin(*self.keys) if self.keys else F.lit(False)
+        return key.isNull() | held if self.nulls else held
 
 
 def heavy_sketch(key: str) -> Column:
@@ -44,8 +50,9 @@ def heavy_sketch(key: str) -> Column:
 
 def heavy_from(top: list, rows: int, task_rows: int = TASK_ROWS) -> Heavy:
     floor = max(task_rows, rows // HEAVY_KEYS)
-    over = [(t["item"], t["count"]) for t in top if t["item"] is not None and t["count"] > floor]
-    return Heavy(tuple(k for k, _ in over), max((c for _, c in over), default=0), floor)
+    over = [(t["item"], t["count"]) for t in top if t["count"] > floor]
+    keys = tuple(k for k, _ in over if k is not None)
+    return Heavy(keys, max((c for _, c in over), default=0), floor, len(keys) < len(over))
 
 
 def lookup_join(
@@ -72,7 +79,7 @@ def lookup_join(
 def salted_join(
     left: DataFrame, right: DataFrame, keys: list[str], heavy: Heavy, spread_on: list[str]
 ) -> DataFrame:
-    if not heavy.keys:
+    if not heavy.any:
         return left.join(right, keys, "left")
     key, salts = F.col(keys[-1]), heavy.salts
     spread = F.pmod(F.xxhash64(*spread_on), F.lit(salts)).cast("int")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.clock import LOCAL_ZONE, iso_weekday, local_day, to_instant, to_local
+from tidemark.functions.clock import (
+    LOCAL_ZONE, iso_weekday, local_day, local_hour, local_minute, to_instant,
+)
 from tidemark.functions.measures import item_age_days, ratio
 from tidemark.operators.joins import Heavy, lookup_join
 from tidemark.sources.schema import ITEM_COLUMNS
@@ -23,11 +25,11 @@ def localize(events: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
 
 def calendar_parts(df: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     """Weekday, hour and minute-in-ten of the local wall clock."""
-    local = to_local(F.col("timestamp"), zone)
+    at = F.col("timestamp")
     return df.withColumns({
         "date_weekday": iso_weekday(F.col("date_day")),
-        "date_hour": F.hour(local),
-        "date_minute": F.minute(local) % 10,
+        "date_hour": local_hour(at, zone),
+        "date_minute": local_minute(at, zone) % 10,
     })
 
 

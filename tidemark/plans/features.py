@@ -353,10 +353,12 @@ def long_features(
         return df.repartition("did")
 
     heavy = layout.users
-    ordinary = cells.where(~heavy.holds(F.col("did"))) if heavy.keys else cells
+    # a missing user id compares as not heavy, so every row is in exactly one part
+    crowd = F.coalesce(heavy.holds(F.col("did")), F.lit(False))
+    ordinary = cells.where(~crowd) if heavy.any else cells
     out = _user_features(by_user(ordinary), items, layout, spec, by_user, broadcast_bytes)
-    if heavy.keys:
-        crowded = cells.where(heavy.holds(F.col("did")))
+    if heavy.any:
+        crowded = cells.where(crowd)
         out = out.unionByName(
             _user_features(crowded, items, layout, spec, lambda df: df, broadcast_bytes)
         )

@@ -145,6 +145,13 @@ def prune(events: DataFrame, layout: Layout, longest: int) -> DataFrame:
 def label_members(df: DataFrame, layout: Layout) -> DataFrame:
     """Each event once per split whose label range holds it."""
     at = layout.position()
+    ranges = [s.label for s in layout.splits if s.label]
+    if not ranges:
+        return df.where(F.lit(False)).withColumn("split", F.lit(""))
+    unit = DAY_SECONDS if layout.mode == CALENDAR else 1
+    low = min(r[0] for r in ranges) * unit - DAY_SECONDS  # a day of slack for any zone
+    high = max(r[1] for r in ranges) * unit + 2 * DAY_SECONDS
+    df = df.where(F.col("timestamp").between(low, high))
     hits = [F.when(at.between(*s.label), F.lit(s.name)) for s in layout.splits if s.label]
     return df.withColumn("split", F.explode(F.array_compact(F.array(*hits))))
 
