@@ -2,10 +2,38 @@
 
 from __future__ import annotations
 
-from tidemark.llm import quality
+from tidemark.llm import neardup, quality
 
 QUERIES = {
+    "op3_neardup": neardup.op3_neardup,
     "op5_quality": quality.op5_quality,
 }
 
-ORACLE: dict[str, str] = {}
+NEARDUP = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) = 1 THEN [ws[1]]
+    ELSE list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS sh
+  FROM w),
+n AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles FROM s),
+e AS (SELECT doc_id, unnest(sh) AS g FROM s),
+rare AS (SELECT g FROM e GROUP BY g HAVING count(*) > 1),
+f AS (SELECT e.* FROM e JOIN rare USING (g)),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM f a JOIN f b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n_shingles + y.n_shingles - c)),
+undirected AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, u.b FROM reach r JOIN undirected u ON r.b = u.a)
+SELECT n.doc_id, n.n_shingles, min(reach.b) AS component_id, n.doc_id = min(reach.b) AS kept
+FROM n JOIN reach ON reach.a = n.doc_id GROUP BY n.doc_id, n.n_shingles
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_neardup": NEARDUP,
+}
