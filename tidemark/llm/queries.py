@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import neardup, quality
+from tidemark.llm import mixing, neardup, quality, tokens
 
 QUERIES = {
     "op3_neardup": neardup.op3_neardup,
     "op5_quality": quality.op5_quality,
+    "op6_bpe": tokens.op6_bpe,
+    "op9_mixing": mixing.op9_mixing,
 }
 
 NEARDUP = r"""
@@ -34,6 +36,41 @@ SELECT n.doc_id, n.n_shingles, min(reach.b) AS component_id, n.doc_id = min(reac
 FROM n JOIN reach ON reach.a = n.doc_id GROUP BY n.doc_id, n.n_shingles
 """
 
+MIXING = r"""
+WITH d AS (
+  SELECT doc_id, source,
+    CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '')) AS BIGINT) AS size
+  FROM documents),
+k AS (SELECT *, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || size) AS key FROM d),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (
+  SELECT *, 3 * source_size AS ceiling,
+    [1, 2, 3][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM s),
+r AS (
+  SELECT *, row_number() OVER o AS place,
+    CAST(sum(source_size) OVER () - coalesce(sum(ceiling) OVER b, 0) AS BIGINT) AS left_over,
+    CAST(sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS BIGINT) AS open_weight
+  FROM w WINDOW o AS (ORDER BY ceiling / weight, source NULLS LAST),
+    b AS (ORDER BY ceiling / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT left_over AS lo, open_weight AS ow FROM r WHERE ceiling * open_weight >= left_over * weight ORDER BY place LIMIT 1),
+t AS (
+  SELECT source, source_size, CASE WHEN ceiling * ow <= lo * weight THEN CAST(ceiling AS DOUBLE)
+    ELSE CAST(lo * weight AS DOUBLE) / CAST(ow AS DOUBLE) END AS target FROM r, l),
+e AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE CAST(round(target) AS BIGINT) // source_size END AS epochs,
+    CASE WHEN source_size = 0 THEN 0 ELSE CAST(round(target) AS BIGINT) % source_size END AS rest FROM t),
+p AS (
+  SELECT k.doc_id, k.size, e.source_size, e.target, e.epochs, e.rest,
+    sum(size) OVER (PARTITION BY k.source ORDER BY key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+      - sum(size) OVER (PARTITION BY k.source, key) AS ahead,
+    count(*) OVER (PARTITION BY k.source, key) AS ties
+  FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target,
+  CAST(size * epochs + greatest(0, least(size, CAST(rest - ahead AS BIGINT) // ties)) AS BIGINT) AS taken
+FROM p
+"""
+
 ORACLE: dict[str, str] = {
+    "op9_mixing": MIXING,
     "op3_neardup": NEARDUP,
 }
