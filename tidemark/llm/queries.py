@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, neardup, quality, tokens
+from tidemark.llm import mixing, neardup, pii, quality, tokens
 
 QUERIES = {
     "op3_neardup": neardup.op3_neardup,
     "op5_quality": quality.op5_quality,
     "op6_bpe": tokens.op6_bpe,
+    "op7_pii": pii.op7_pii,
     "op9_mixing": mixing.op9_mixing,
 }
 

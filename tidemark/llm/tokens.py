@@ -73,32 +73,24 @@ def _shared(docs: DataFrame, path: str | None):
     return docs.sparkSession.sparkContext.broadcast((ranks, public_tokenizers.PATTERN))
 
 
-def digests(docs: DataFrame, text: str = "text", path: str | None = None) -> Column:
-    """A struct of the number of ids, their SHA-256 and that of the bytes they decode to."""
+def encoded(docs: DataFrame, text: str = "text", path: str | None = None, keep_ids: bool = True) -> Column:
+    """A struct of n_tokens, the SHA-256 of the ids and of the bytes they decode to, and the ids."""
     shared = _shared(docs, path)
+    kinds = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    @F.pandas_udf(kinds)
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         enc = encoding(*shared.value)
         for texts in batches:
-            rows = []
+            made = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
             for one in texts:
-                ids = encode(one, enc)
-                rows.append((len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decode(ids, enc)).hexdigest()))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return of(F.col(text))
-
-
-def ids(docs: DataFrame, text: str = "text", path: str | None = None) -> Column:
-    """The ids of each text as an array column."""
-    shared = _shared(docs, path)
-
-    @F.pandas_udf("array<int>")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = encoding(*shared.value)
-        for texts in batches:
-            yield pd.Series([encode(one, enc).astype(np.int32) for one in texts])
+                row = encode(one, enc)
+                made["n_tokens"].append(len(row))
+                made["ids_sha256"].append(hashlib.sha256(row.tobytes()).hexdigest())
+                made["decoded_sha256"].append(hashlib.sha256(decode(row, enc)).hexdigest())
+                if keep_ids:
+                    made["ids"].append(row.astype(np.int32))
+            yield pd.DataFrame({name: values for name, values in made.items() if keep_ids or name != "ids"})
 
     return of(F.col(text))
 
@@ -119,4 +111,4 @@ def texts(encoded: DataFrame, column: str = "ids", path: str | None = None) -> C
 def op6_bpe(spark, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return docs.select("doc_id", digests(docs).alias("_made")).select("doc_id", "_made.*")
+    return docs.select("doc_id", encoded(docs, keep_ids=False).alias("_made")).select("doc_id", "_made.*")
