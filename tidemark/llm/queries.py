@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, neardup, pii, quality, tokens
+from tidemark.llm import mixing, neardup, pii, quality, rules, tokens
 
 QUERIES = {
+    "op2_rules": rules.op2_rules,
     "op3_neardup": neardup.op3_neardup,
     "op5_quality": quality.op5_quality,
     "op6_bpe": tokens.op6_bpe,
@@ -71,7 +72,50 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+# CRC-32 of a text, byte by byte, from a table of 256 remainders
+RULES = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    list_filter(string_split_regex(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS ws FROM documents),
+n AS (SELECT *, row_number() OVER () AS row, CAST(len(ws) AS BIGINT) AS n_words FROM d),
+g AS (
+  SELECT row, doc_id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS gram FROM n),
+crc AS (
+  SELECT list_transform(range(256), lambda c: list_reduce(
+    list_concat([c], [0, 0, 0, 0, 0, 0, 0, 0]), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS step),
+h AS (
+  SELECT gram, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(octet_length(encode(gram))),
+    lambda i: CAST('0x' || substr(hex(encode(gram)), 2 * i + 1, 2) AS BIGINT))),
+    lambda a, b: xor(a >> 8, step[1 + xor(a & 255, b)]))) % 65536 AS bucket
+  FROM (SELECT DISTINCT gram FROM g), crc),
+tgt AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT 10000),
+c AS (
+  SELECT bucket, count(*) AS raw, count(tgt.doc_id) AS target
+  FROM g JOIN h USING (gram) LEFT JOIN tgt ON tgt.doc_id = g.doc_id GROUP BY bucket),
+s AS (SELECT sum(raw) AS raw_sum, sum(target) AS target_sum FROM c),
+w AS (
+  SELECT bucket, CASE WHEN target_sum = 0 THEN 0 ELSE CAST(round(
+    ln(((target + 1.0::DOUBLE) * (raw_sum + 65536)) / ((target_sum + 65536) * (raw + 1.0::DOUBLE))) * 1e6) AS BIGINT) END AS ratio FROM c, s),
+r AS (SELECT row, sum(ratio) AS total FROM g JOIN h USING (gram) JOIN w USING (bucket) GROUP BY row),
+v AS (SELECT row, i, array_to_string(ws[i + 1:i + 8], ' ') AS win FROM (SELECT row, ws, unnest(range(len(ws) - 7)) AS i FROM n)),
+p AS (SELECT row, i FROM (SELECT *, count(*) OVER (PARTITION BY row, win) AS k FROM v) WHERE k > 1),
+q AS (SELECT row, count(DISTINCT i + j) AS n_repeat_words FROM p, (SELECT unnest(range(8)) AS j) GROUP BY row),
+a AS (
+  SELECT doc_id, n_words, length(translate(t, E' \t\n\x0b\x0c\r', '')) AS word_chars,
+    length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, total
+  FROM (SELECT *, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ \t-\r]')) AS lines FROM n)
+    LEFT JOIN q USING (row) LEFT JOIN r USING (row)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM a)
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  CASE WHEN n_words > 0 THEN round(CAST(total AS DOUBLE) / ((2 * n_words - 1) * 1e6::DOUBLE), 9) END AS ratio,
+  NOT base_failed AND total >= -100000 * (2 * n_words - 1) AS kept
+FROM f
+"""
+
 ORACLE: dict[str, str] = {
+    "op2_rules": RULES,
     "op9_mixing": MIXING,
     "op3_neardup": NEARDUP,
 }
