@@ -9,6 +9,7 @@ from tidemark.session import settle  # noqa: F401 - for the operators
 
 WORDS = r"[ \t-\r]+"  # what lies between words, for split()
 FOLDS = 5
+BROADCAST_ROWS = 100_000  # of some hundred bytes each, that a broadcast may hold
 
 
 def held_out(doc_id: Column) -> Column:
@@ -24,3 +25,9 @@ def documents(spark, sf_dir: str) -> DataFrame:
 def words(text: Column) -> Column:
     """The words of a text as an array; none of a null text."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORDS), lambda w: w != "")
+
+
+def small(df: DataFrame) -> DataFrame:
+    """Written once, and marked for broadcast if it then has few enough rows."""
+    made = settle(df, "small")
+    return F.broadcast(made) if made.count() <= BROADCAST_ROWS else made

@@ -13,9 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORDS, documents, settle
-
-BROADCAST_ROWS = 100_000  # sources or ranges, of some hundred bytes each, that a broadcast may hold
+from tidemark.llm.common import WORDS, documents, settle, small
 
 
 @dataclass(frozen=True)
@@ -38,12 +36,6 @@ def random_key(doc_id: Column, size: Column, seed: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")), size.cast("string")))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Marked for broadcast if, once written, it has few enough rows."""
-    made = settle(df, "small")
-    return F.broadcast(made) if made.count() <= BROADCAST_ROWS else made
-
-
 def budgets(sizes: DataFrame, p: Params) -> DataFrame:
     """(source, source_size, ranges, target, epochs, rest) from rows (source, size).
 
@@ -84,7 +76,7 @@ def cuts(docs: DataFrame, p: Params = Params()) -> DataFrame:
     whose key is the cut itself, ``share`` words more are taken.
     """
     keyed = settle(docs.select("source", "size", random_key(F.col("doc_id"), F.col("size"), p.seed).alias("key")), "sizes")
-    plan = _small(budgets(keyed, p))
+    plan = small(budgets(keyed, p))
     place = F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * F.col("ranges")
     rows = keyed.withColumnRenamed("source", "_source").join(plan, F.col("_source").eqNullSafe(F.col("source"))).withColumn(
         "part", F.shiftright(place, 32))
@@ -92,7 +84,7 @@ def cuts(docs: DataFrame, p: Params = Params()) -> DataFrame:
     running = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     found = sums.withColumn("begins", F.coalesce(F.sum("part_size").over(running), F.lit(0)))
     found = found.where("begins < rest and rest <= begins + part_size")  # at most one range of each source
-    found = _small(found.select(F.col("source").alias("_cut"), F.col("part").alias("_part"), "begins"))
+    found = small(found.select(F.col("source").alias("_cut"), F.col("part").alias("_part"), "begins"))
     inside = rows.join(found, F.col("_cut").eqNullSafe(F.col("source")) & (F.col("_part") == F.col("part")))
     keys = inside.groupBy("source", "key").agg(
         F.sum("size").alias("key_size"), F.count("*").alias("ties"), F.first("begins").alias("begins"), F.first("rest").alias("rest"))
@@ -112,7 +104,7 @@ def mix_sources(docs: DataFrame, p: Params = Params()) -> DataFrame:
     the word; rows that agree in id and size share that part evenly, and words that do not come
     out even are left. An empty table gives an empty result.
     """
-    plan = _small(cuts(docs, p)).withColumnRenamed("source", "_source")
+    plan = small(cuts(docs, p)).withColumnRenamed("source", "_source")
     rows = docs.withColumn("_key", random_key(F.col("doc_id"), F.col("size"), p.seed))
     rows = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")))
     more = F.when(F.col("_key") < F.col("cut_key"), F.col("size")).when(F.col("_key") == F.col("cut_key"), F.col("share"))
@@ -134,7 +126,7 @@ def repeat_to_mix(docs: DataFrame, p: Params = Params()) -> DataFrame:
     are not taken.
     """
     narrow = docs.select("doc_id", "source", count_words(F.col("text")).alias("size"))
-    plan = _small(cuts(narrow, p)).select(
+    plan = small(cuts(narrow, p)).select(
         F.col("source").alias("_source"), "epochs", "cut_key", "share").select(F.struct("*").alias("_plan"))
     rows = docs.withColumn("_words", count_words(F.col("text"))).where("_words > 0").join(
         plan, F.col("source").eqNullSafe(F.col("_plan._source")))

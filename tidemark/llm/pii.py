@@ -19,10 +19,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, settle
+from tidemark.llm.common import documents, settle, small
 
 KEY = "surrogates"  # a deployment passes its own secret key
-BROADCAST_ROWS = 100_000  # of redrawn entities, of some hundred bytes each
 
 # Forms of address by gender, and names to draw from.
 MALE_TITLES = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Don", "Signor", "господин")
@@ -253,8 +252,7 @@ def surrogates(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame
     again = settle(redrawn(mentions, key), "redrawn")
     lists = mentions.join(again, ["kind", "entity"]).groupBy("text_key").agg(
         F.collect_set(F.struct("kind", "entity", "attempt")).alias("_redrawn")).withColumnRenamed("text_key", "_text_key")
-    lists = settle(lists, "redrawn-by-text")
-    n = lists.count()
+    lists = small(lists)
 
     @F.pandas_udf("text string, n long")
     def of(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
@@ -264,8 +262,7 @@ def surrogates(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame
             rows.append(rewrite(t, attempts, key) if isinstance(t, str) else (None, 0))
         return pd.DataFrame(rows, columns=["text", "n"])
 
-    if n:
-        lists = F.broadcast(lists) if n <= BROADCAST_ROWS else lists
+    if not lists.isEmpty():
         joined = docs.join(lists, F.xxhash64(docs[text]) == F.col("_text_key"), "left").drop("_text_key")
     else:
         joined = docs.withColumn("_redrawn", F.lit(None).cast("array<struct<kind:string,entity:string,attempt:int>>"))

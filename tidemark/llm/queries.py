@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, neardup, pii, quality, rules, tokens
+from tidemark.llm import language, mixing, neardup, pii, quality, rules, tokens
 
 QUERIES = {
+    "op1_language": language.op1_language,
     "op2_rules": rules.op2_rules,
     "op3_neardup": neardup.op3_neardup,
     "op5_quality": quality.op5_quality,
