@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import language, mixing, neardup, pii, quality, rules, tokens
+from tidemark.llm import language, mixing, neardup, neighbours, pii, quality, rules, tokens
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_bpe": tokens.op6_bpe,
     "op7_pii": pii.op7_pii,
     "op9_mixing": mixing.op9_mixing,
+    "op10_neighbours": neighbours.op10_neighbours,
 }
 
 NEARDUP = r"""
@@ -115,7 +116,22 @@ SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols
 FROM f
 """
 
+# exact: at the size of the check the graphs find every one
+NEIGHBOURS = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+d AS (
+  SELECT q.vec_id AS query_id, v.vec_id, sqrt(list_reduce(list_prepend(0.0::DOUBLE,
+    list_transform(range(1, len(q.e) + 1), lambda i: (q.e[i] - v.e[i]) * (q.e[i] - v.e[i]))), lambda a, b: a + b)) AS score
+  FROM v q JOIN v ON v.vec_id <> q.vec_id AND len(q.e) = len(v.e) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank FROM d)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
+    "op10_neighbours": NEIGHBOURS,
     "op2_rules": RULES,
     "op9_mixing": MIXING,
     "op3_neardup": NEARDUP,
