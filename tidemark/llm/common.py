@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import settle  # noqa: F401 - for the operators
+from tidemark import session
 
 WORDS = r"[ \t-\r]+"  # what lies between words, for split()
 FOLDS = 5
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BROADCAST_ROWS = 100_000  # of some hundred bytes each, that a broadcast may hold
 
 
@@ -27,6 +28,20 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORDS), lambda w: w != "")
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read again; its shuffle files go at once.
+
+    Until the table is complete they stay, so that a lost executor costs its own tasks only.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return session.settle(df, name)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 def small(df: DataFrame) -> DataFrame:
     """Written once, and marked for broadcast if it then has few enough rows."""
     made = settle(df, "small")
