@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from tidemark.llm import language, mixing, neardup, neighbours, pii, quality, rules, tokens
+from tidemark.llm import backoff, language, mixing, neardup, neighbours, passages, pii, quality, rules, tokens
 
 QUERIES = {
     "op1_language": language.op1_language,
     "op2_rules": rules.op2_rules,
     "op3_neardup": neardup.op3_neardup,
+    "op4_passages": passages.op4_passages,
     "op5_quality": quality.op5_quality,
     "op6_bpe": tokens.op6_bpe,
     "op7_pii": pii.op7_pii,
+    "op8_backoff": backoff.op8_backoff,
     "op9_mixing": mixing.op9_mixing,
     "op10_neighbours": neighbours.op10_neighbours,
 }
@@ -130,7 +132,38 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
+PASSAGES = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    list_filter(string_split_regex(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS ws FROM documents),
+v AS (SELECT row, i, md5(array_to_string(ws[i + 1:i + 50], ' ')) AS win FROM (SELECT row, ws, unnest(range(len(ws) - 49)) AS i FROM d)),
+p AS (SELECT row, i FROM (SELECT *, count(*) OVER (PARTITION BY win) AS k FROM v) WHERE k > 1),
+c AS (SELECT DISTINCT row, i + j AS at FROM p, (SELECT unnest(range(50)) AS j)),
+e AS (SELECT row, i, lag(i) OVER (PARTITION BY row ORDER BY i) AS before FROM p),
+s AS (SELECT row, count(*) AS n FROM e WHERE before IS NULL OR i > before + 50 GROUP BY row),
+t AS (SELECT row, count(*) AS n FROM c GROUP BY row)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(t.n, 0) AS BIGINT) AS n_repeated, CAST(coalesce(s.n, 0) AS INTEGER) AS n_passages
+FROM d LEFT JOIN t USING (row) LEFT JOIN s USING (row)
+"""
+
+BACKOFF = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    list_filter(string_split_regex(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT row, i, ws[i] AS w, ws[i - 1] AS b FROM (SELECT row, ws, unnest(range(1, len(ws) + 1)) AS i FROM d)),
+u AS (SELECT w, count(*) AS c FROM w GROUP BY w),
+g AS (SELECT b, w, count(*) AS c FROM w WHERE i > 1 GROUP BY b, w HAVING count(*) >= 2),
+n AS (SELECT sum(c) AS n FROM u),
+x AS (
+  SELECT row, avg(CASE WHEN w.i = 1 THEN ln(u.c) - ln(n.n) WHEN g.c IS NOT NULL THEN ln(g.c) - ln(p.c)
+    ELSE ln(0.4) + ln(u.c) - ln(n.n) END) AS score
+  FROM w JOIN u ON u.w = w.w CROSS JOIN n LEFT JOIN u p ON p.w = w.b LEFT JOIN g ON w.i > 1 AND g.b = w.b AND g.w = w.w GROUP BY row)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, round(score, 6) AS lm_score FROM d LEFT JOIN x USING (row)
+"""
+
 ORACLE: dict[str, str] = {
+    "op4_passages": PASSAGES,
+    "op8_backoff": BACKOFF,
     "op10_neighbours": NEIGHBOURS,
     "op2_rules": RULES,
     "op9_mixing": MIXING,
