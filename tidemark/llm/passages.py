@@ -7,6 +7,11 @@ cannot match and go. The others are sorted by what follows them, and once more b
 precedes them (read backwards); neighbours are compared and their match is extended to both
 sides. A match that reaches the least length is a repeated passage; longer ones are the union of
 the matches at several minimisers.
+
+Neighbours show the longest match to the right, and the longest to the left, that a suffix has
+with any other. Where one match is both, or each reaches the least length, nothing else can
+add to them; where the two together could but neither does alone, a third suffix in between
+may. The grams of such suffixes are looked at again, all windows around them by their hash.
 """
 
 from __future__ import annotations
@@ -94,22 +99,26 @@ def _contexts(p: Params):
     return run
 
 
+PAIRS = "text_key long, place int, gram long, before_words int, after_words int, after binary, before binary"
+
+
 def _compare(p: Params):
-    """Matches of each row with the next; the first and last row of a partition are passed on too."""
-    columns = ["text_key", "start", "stop", "gram", "after", "before", "place"]
+    """For each row and its neighbours: the words they share before and after the place.
+
+    The first and last row of a partition are passed on, with their contexts, for another turn.
+    """
+    columns = [c.split()[0] for c in PAIRS.split(", ")]
 
     def common(packed: list[bytes]) -> np.ndarray:
         codes = np.frombuffer(b"".join(packed), ">u4").reshape(-1, p.least)
         return np.cumprod((codes[1:] == codes[:-1]) & (codes[1:] != 0), axis=1).sum(axis=1)
 
     def matches(rows: pd.DataFrame) -> pd.DataFrame:
-        same = rows.gram.to_numpy()[1:] == rows.gram.to_numpy()[:-1]
-        right, left = common(list(rows.after)), common(list(rows.before))
-        hit = np.flatnonzero(same & (right + left >= p.least))
-        both = np.concatenate([hit, hit + 1])
-        place = rows.place.to_numpy()[both].astype(np.int64)
-        return pd.DataFrame({"text_key": rows.text_key.to_numpy()[both], "start": place - np.tile(left[hit], 2),
-                             "stop": place + np.tile(right[hit], 2)}).drop_duplicates().reindex(columns=columns)
+        same = np.flatnonzero(rows.gram.to_numpy()[1:] == rows.gram.to_numpy()[:-1])
+        right, left = common(list(rows.after))[same], common(list(rows.before))[same]
+        made = rows[["text_key", "place", "gram"]].iloc[np.concatenate([same, same + 1])]
+        made = made.assign(before_words=np.tile(left, 2), after_words=np.tile(right, 2))
+        return made.drop_duplicates().reindex(columns=columns)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, edges = None, []
@@ -123,24 +132,64 @@ def _compare(p: Params):
             if len(rows) > 1:
                 yield matches(rows)
         if last is not None:
-            yield pd.concat([*edges, last]).assign(start=None, stop=None)[columns]
+            yield pd.concat([*edges, last]).reindex(columns=columns)
 
     return run
 
 
-def _matched(contexts: DataFrame, order: list[str], p: Params) -> DataFrame:
-    """(text_key, start, stop) of the matches between neighbours in the order of ``order``.
+def _neighbours(contexts: DataFrame, order: list[str], p: Params) -> DataFrame:
+    """(text_key, place, gram, before_words, after_words) of neighbours in the order of ``order``.
 
     Range partitions spread a gram that is everywhere by what surrounds it. The two rows at
     each partition's ends, a handful for the whole table, are sorted and compared once more.
     """
-    kinds = "text_key long, start long, stop long, gram binary, after binary, before binary, place int"
     sort = ["gram", *order, "text_key", "place"]
     dealt = contexts.repartitionByRange(*sort).sortWithinPartitions(*sort)
-    made = settle(dealt.mapInPandas(_compare(p), kinds), "matches")
-    edges = made.where("start is null").select(contexts.columns).coalesce(1).sortWithinPartitions(*sort)
-    more = edges.mapInPandas(_compare(p), kinds)
-    return made.unionByName(more).where("start is not null").select("text_key", "start", "stop")
+    made = settle(dealt.mapInPandas(_compare(p), PAIRS), "neighbours")
+    edges = made.where("before_words is null").select(contexts.columns).coalesce(1).sortWithinPartitions(*sort)
+    more = edges.mapInPandas(_compare(p), PAIRS)
+    return made.unionByName(more).where("before_words is not null").drop("after", "before")
+
+
+def _windows(p: Params):
+    """The hash of every window of the least length around a place's gram, and where it starts."""
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        powers = _STEP ** np.arange(2 * p.least, dtype=np.uint64)
+        back = np.uint64(pow(int(_STEP), -1, 1 << 64)) ** np.arange(2 * p.least, dtype=np.uint64)
+        for part in parts:
+            for at in range(0, len(part), 2048):
+                rows = part.iloc[at : at + 2048]
+                before, after = (np.frombuffer(b"".join(rows[c]), ">u4").reshape(-1, p.least) for c in ("before", "after"))
+                codes = np.concatenate([before[:, ::-1], after], axis=1)
+                sums = np.zeros((len(rows), 2 * p.least + 1), np.uint64)
+                np.cumsum(mix(codes.astype(np.uint64)) * powers, axis=1, out=sums[:, 1:])
+                first = p.least - np.arange(p.window)  # a window holds the whole gram
+                hashes = mix((sums[:, first + p.least] - sums[:, first]) * back[first])
+                whole = (codes[:, first] != 0) & (codes[:, first + p.least - 1] != 0)
+                row, k = np.nonzero(whole)
+                yield pd.DataFrame({"window": hashes[row, k].astype(np.int64), "text_key": rows.text_key.to_numpy()[row],
+                                    "start": rows.place.to_numpy()[row].astype(np.int64) - k})
+
+    return run
+
+
+def _matched(contexts: DataFrame, p: Params) -> DataFrame:
+    """(text_key, start, stop) of all matches of the least length between two places."""
+    near = _neighbours(contexts, ["after", "before"], p).unionByName(_neighbours(contexts, ["before", "after"], p))
+    enough = F.col("before_words") + F.col("after_words") >= p.least
+    spans = near.where(enough).select(
+        "text_key", (F.col("place") - F.col("before_words")).cast("long").alias("start"),
+        (F.col("place") + F.col("after_words")).cast("long").alias("stop")).distinct()
+    best = near.groupBy("text_key", "place", "gram").agg(
+        F.max("before_words").alias("before"), F.max("after_words").alias("after"),
+        F.coalesce(F.max(F.when(enough, F.col("before_words"))), F.lit(-1)).alias("before_held"),
+        F.coalesce(F.max(F.when(enough, F.col("after_words"))), F.lit(-1)).alias("after_held"))
+    open_ = (F.col("before") + F.col("after") >= p.least) & ((F.col("before") != F.col("before_held")) | (F.col("after") != F.col("after_held")))
+    again = contexts.join(settle(best.where(open_).select("gram").distinct(), "open"), "gram")
+    windows = settle(again.mapInPandas(_windows(p), "window long, text_key long, start long").distinct(), "windows")
+    twice = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
+    more = windows.join(twice, "window").select("text_key", "start", (F.col("start") + p.least).alias("stop"))
+    return spans.unionByName(more)
 
 
 def _merge(rows: pd.Series) -> pd.Series:
@@ -176,8 +225,9 @@ def repeated_passages(docs: DataFrame, p: Params = Params()) -> DataFrame:
     wanted = settle(wanted.join(texts.select("text_key", "doc_id"), "text_key").select("text_key", F.col("doc_id").alias("_id"), "places"), "places")
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_key"), "text")
     found = keyed.join(wanted, (F.col("_key") == F.col("text_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select("text_key", "places", "text")
-    contexts = settle(found.mapInArrow(_contexts(p), "gram binary, after binary, before binary, text_key long, place int").distinct(), "contexts")
-    spans = _matched(contexts, ["after", "before"], p).unionByName(_matched(contexts, ["before", "after"], p))
+    made = found.mapInArrow(_contexts(p), "gram binary, after binary, before binary, text_key long, place int")
+    contexts = settle(made.withColumn("gram", F.xxhash64("gram")).distinct(), "contexts")
+    spans = _matched(contexts, p)
     whole = texts.where(F.col("copies") > 1).select("text_key", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("stop"))
     lists = spans.unionByName(whole).distinct().groupBy("text_key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     merged = F.pandas_udf(_merge, "array<struct<start:long,stop:long>>")
