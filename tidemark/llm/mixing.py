@@ -97,13 +97,14 @@ def cuts(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """``docs`` (doc_id, source, size) with source_size, target and taken, all in words.
+    """doc_id, source and size of ``docs`` with source_size, target and taken, all in words.
 
     A null source is a source of its own. Documents without words have nothing to take. The
     document at a source's cut is taken in part, so that the source's words are its target to
     the word; rows that agree in id and size share that part evenly, and words that do not come
     out even are left. An empty table gives an empty result.
     """
+    docs = docs.select("doc_id", "source", "size")
     plan = small(cuts(docs, p)).withColumnRenamed("source", "_source")
     rows = docs.withColumn("_key", random_key(F.col("doc_id"), F.col("size"), p.seed))
     rows = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")))
@@ -125,13 +126,13 @@ def repeat_to_mix(docs: DataFrame, p: Params = Params()) -> DataFrame:
     at the cut comes once more if at least half of it is before the cut. Documents without words
     are not taken.
     """
-    narrow = docs.select("doc_id", "source", count_words(F.col("text")).alias("size"))
-    plan = small(cuts(narrow, p)).select(
-        F.col("source").alias("_source"), "epochs", "cut_key", "share").select(F.struct("*").alias("_plan"))
-    rows = docs.withColumn("_words", count_words(F.col("text"))).where("_words > 0").join(
-        plan, F.col("source").eqNullSafe(F.col("_plan._source")))
-    key = random_key(F.col("doc_id"), F.col("_words"), p.seed)
-    more = (key < F.col("_plan.cut_key")) | ((key == F.col("_plan.cut_key")) & (2 * F.col("_plan.share") >= F.col("_words")))
-    times = F.col("_plan.epochs") + F.coalesce(more, F.lit(False)).cast("int")
-    return rows.withColumn("_times", times.cast("int")).where("_times > 0").withColumn(
-        "_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    size = count_words(F.col("text"))
+    plan = small(cuts(docs.select("doc_id", "source", size.alias("size")), p))
+    plan = plan.select(F.struct("source", "epochs", "cut_key", "share").alias("_mixing_plan"))
+    cut = F.col("_mixing_plan")
+    rows = docs.withColumn("_mixing_size", size).where("_mixing_size > 0").join(plan, F.col("source").eqNullSafe(cut["source"]))
+    key = random_key(F.col("doc_id"), F.col("_mixing_size"), p.seed)
+    more = (key < cut["cut_key"]) | ((key == cut["cut_key"]) & (2 * cut["share"] >= F.col("_mixing_size")))
+    times = (cut["epochs"] + F.coalesce(more, F.lit(False)).cast("int")).cast("int")
+    return rows.withColumn("_mixing_times", times).where("_mixing_times > 0").withColumn(
+        "_mixing_time", F.explode(F.sequence(F.lit(1), F.col("_mixing_times")))).select(*docs.columns)

@@ -177,7 +177,7 @@ def surrogate(kind: str, entity: str, attempt: int = 0, key: str = KEY) -> str:
         name, _, host = entity.rpartition("@")
         labels, _, top = host.rpartition(".")
         return "".join(_like(c, stream) for c in f"{name}@{labels}") + f".{top}"
-    if HEXADECIMAL.fullmatch(entity):
+    if kind == "secret" and HEXADECIMAL.fullmatch(entity):
         return "".join("0123456789abcdef"[_pick(stream, 16)] for _ in entity)
     return "".join(_like(c, stream) for c in entity)
 
@@ -243,7 +243,7 @@ def redrawn(mentions: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def surrogates(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
-    """``docs`` with the column ``text`` rewritten and a column ``_n_entities``; all else as it is.
+    """``docs`` with the column ``text`` rewritten and a column ``_pii_entities``; all else as it is.
 
     Null and empty texts stay; texts without entities come back unchanged. Repeated rows are
     rewritten alike, wherever they are.
@@ -251,7 +251,7 @@ def surrogates(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame
     mentions = settle(entities(docs, text), "mentions")
     again = settle(redrawn(mentions, key), "redrawn")
     lists = mentions.join(again, ["kind", "entity"]).groupBy("text_key").agg(
-        F.collect_set(F.struct("kind", "entity", "attempt")).alias("_redrawn")).withColumnRenamed("text_key", "_text_key")
+        F.collect_set(F.struct("kind", "entity", "attempt")).alias("_pii_redrawn")).withColumnRenamed("text_key", "_pii_text_key")
     lists = small(lists)
 
     @F.pandas_udf("text string, n long")
@@ -263,23 +263,23 @@ def surrogates(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame
         return pd.DataFrame(rows, columns=["text", "n"])
 
     if not lists.isEmpty():
-        joined = docs.join(lists, F.xxhash64(docs[text]) == F.col("_text_key"), "left").drop("_text_key")
+        joined = docs.join(lists, F.xxhash64(docs[text]) == F.col("_pii_text_key"), "left").drop("_pii_text_key")
     else:
-        joined = docs.withColumn("_redrawn", F.lit(None).cast("array<struct<kind:string,entity:string,attempt:int>>"))
-    made = joined.withColumn("_made", of(F.col(text), F.col("_redrawn")))
-    columns = [F.col("_made.text").alias(c) if c == text else F.col(c) for c in docs.columns]
-    return made.select(*columns, F.col("_made.n").alias("_n_entities"))
+        joined = docs.withColumn("_pii_redrawn", F.lit(None).cast("array<struct<kind:string,entity:string,attempt:int>>"))
+    made = joined.withColumn("_pii_made", of(F.col(text), F.col("_pii_redrawn")))
+    columns = [F.col("_pii_made.text").alias(c) if c == text else F.col(c) for c in docs.columns]
+    return made.select(*columns, F.col("_pii_made.n").alias("_pii_entities"))
 
 
 def op7_pii(spark, sf_dir: str) -> DataFrame:
     """Every document with surrogates in its text."""
     made = surrogates(documents(spark, sf_dir).select("doc_id", "text"))
-    return made.select("doc_id", F.col("_n_entities").alias("n_entities"), "text")
+    return made.select("doc_id", F.col("_pii_entities").alias("n_entities"), "text")
 
 
 def with_surrogates(docs: DataFrame) -> DataFrame:
     """``docs`` with rewritten texts; ``n_chars``, if there, follows the text."""
-    made = surrogates(docs).drop("_n_entities")
+    made = surrogates(docs).drop("_pii_entities")
     if "n_chars" in docs.columns:
         made = made.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)))
     return made

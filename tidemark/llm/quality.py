@@ -139,7 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> np.ndarra
         yield pd.DataFrame({"weights": [fit(list(rows.text), list(rows._label), p).tobytes()]})
 
     made = sample.coalesce(1).mapInPandas(learn, "weights binary").collect()
-    return np.frombuffer(bytes(made[0].weights), np.float32)
+    return np.frombuffer(bytes(made[0].weights), np.float32) if made else fit([], [], p)
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", p: Params = Params()) -> Column:
