@@ -1,12 +1,14 @@
 """Hand-computed micro tables, one per semantic decision."""
 
 import math
+import statistics
 from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import local_day, parse_release
+from tidemark.functions import moments
 from tidemark.functions.moments import distinct_with_null
 from tidemark.operators import scoring
 from tidemark.operators.attach import attach, group_activity, top_values
@@ -132,8 +134,8 @@ def test_null_keys_attach_nothing(spark):
 def test_repeated_items(spark):
     t = secs("2024-03-10T20:00:00")
     twice = [ITEM_A, ("a", "c9", 3, utc("2024-02-01"), "s2", 10.0, "k2")]
-    assert build(spark, [("u", "a", 1.0, t)], twice)["test", 7, "u"]["did_vid_count"] == 2
-    once = build(spark, [("u", "a", 1.0, t)], twice, dedupe_items=True)["test", 7, "u"]
+    assert build(spark, [("u", "a", 1.0, t)], twice, dedupe_items=False)["test", 7, "u"]["did_vid_count"] == 2
+    once = build(spark, [("u", "a", 1.0, t)], twice)["test", 7, "u"]
     assert once["did_vid_count"] == 1
     found = repeated_items(spark.createDataFrame(twice, ITEMS)).collect()
     assert [(r["vid"], r["rows"]) for r in found] == [("a", 2)]
@@ -146,6 +148,25 @@ def test_deviation_of_one_row_is_null_and_of_equal_rows_zero(spark):
     assert got["test", 7, "v"]["did_vts_std"] == 0.0
 
 
+@pytest.mark.parametrize("far, step", [(1e6, 1e-4), (1e3, 1e-5), (1e9, 1.0)])
+def test_deviation_of_tight_values_far_from_zero(spark, far, step):
+    t = secs("2024-03-10T20:00:00")
+    # over two windows, several days and cells with several rows
+    events = [("u", f"v{k % 7}", far + step * k, t - 86400 * (k % 6)) for k in range(1000)]
+    got = build(spark, events)
+    for days in (3, 7):
+        kept = [v for _, _, v, at in events if t - at < 86400 * days]
+        assert got["test", days, "u"]["did_vts_std"] == pytest.approx(statistics.stdev(kept), rel=1e-6)
+
+
+def test_sums_of_large_counts_do_not_overflow(spark):
+    parts = [F.lit(3_000_000_000_000).alias("v"), F.lit(4_000_000).alias("n"), F.lit(1.0).alias("w")]
+    frame = spark.range(2).select(*parts)
+    got = frame.agg(*moments.repeated_parts("did_cid_watch_nums", "v", "n", "w", ["n", "s"]))
+    mean = got.selectExpr(moments.statistic("mean", "did_cid_watch_nums")).first()[0]
+    assert mean == 3e12
+
+
 def test_zero_divisors_give_null(spark):
     release = utc("2024-03-10T12:00:00")
     item = ("a", "c", 1, release, "s", 0.0, "k")
@@ -291,6 +312,9 @@ def test_range_profile_is_strict(spark):
 def test_r2_by_hand(spark):
     frame = spark.createDataFrame([(1.0, 1.0), (2.0, 3.0), (3.0, 3.0)], "y double, p double")
     assert scoring.r2_scores(frame, {"y": "p"}).first()["r2_y"] == pytest.approx(0.5)
+    holes = spark.createDataFrame([(1.0, 1.0), (2.0, 3.0), (3.0, 3.0), (99.0, None), (None, 5.0)], "y double, p double")
+    assert scoring.r2_scores(holes, {"y": "p"}).first()["r2_y"] == pytest.approx(0.5)
+    assert scoring.r2_scores(frame, {"y": "p"})._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
     flat = spark.createDataFrame([(1.0, 1.0), (1.0, 1.0)], "y double, p double")
     assert scoring.r2_scores(flat, {"y": "p"}).first()["r2_y"] is None
 
@@ -302,6 +326,28 @@ def test_empty_events(spark):
     assert sampling.split_labels(localize(ev), layout).count() == 0
 
 
+def test_feature_names_of_the_sets():
+    """The names, stated once more and apart from the build (fixed values)."""
+    def stats(key, *names):
+        return [f"w95_did_{key}_{{d}}_mean" if n == "w95" else f"did_{key}_{{d}}_{n}" for n in names]
+
+    groups = [f"{g}_{m}" for g in ("vid", "did_cid", "is_intact_cid") for m in ("active_days", "watch_nums", "watch_durations")]
+    first = [f"is_intact_{k}_{m}_{{d}}" for k in (1, 2, 3, 4, 7, 9) for m in ("vts", "vid")]
+    first += ["did_vid_{d}_count", "did_vid_{d}_nunique", "did_vid_{d}_nunique_count", "ts_ptp_{d}", "did_date_{d}_nunique",
+              "did_date/days_{d}_nunique", "did_cid_{d}_nunique", "did_classify_id_{d}_nunique", "did_series_id_{d}_nunique"]
+    for key in ("vts", "u_date"):
+        first += stats(key, "w95", "mean", "std", "min", "max", "sum")
+    first += stats("vts/duration", "w95", "mean", "std", "min", "max")
+    for key in groups:
+        first += stats(key, "w95", "mean", "std", "min", "max")
+    for days in (3, 120):
+        assert sorted(SPEC_1.wide_columns((days,))) == sorted(n.format(d=days) for n in first)
+    third = ["did_vid_{d}_count", "did_vid_{d}_nunique", "did_vid_{d}_nunique_count", "timestamp_ptp_{d}", "did_date_{d}_nunique",
+             "did_cid_{d}_nunique", "did_classify_id_{d}_nunique", "cid_like_{d}", "classify_id_like_{d}"]
+    third += stats("vts", "mean", "std", "min", "max", "sum") + stats("g_vid_{d}", "mean", "std", "min", "max", "sum")
+    assert sorted(BASELINE_SPEC.wide_columns((7,))) == sorted(n.format(d=7) for n in third)
+
+
 def test_feature_counts():
     assert [len(SPEC_1.wide_columns()), len(SPEC_2.wide_columns())] == [645, 484]
     assert len(BASELINE_SPEC.wide_columns()) == 114  # tenure is the 115th

@@ -5,7 +5,8 @@ import math
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import HEAVY_KEYS, Heavy, heavy_from, lookup_join, salted_join
+from tidemark.operators.attach import attach, group_rows
+from tidemark.operators.joins import Heavy, heavy_keys, key_counts, lookup_join, salted_join
 from tidemark.operators.prepare import attach_items, localize, prepare
 from tidemark.plans.features import long_features
 from tidemark.plans.spec import SPEC_1
@@ -94,8 +95,31 @@ def test_lookup_is_broadcast_only_under_the_limit(spark):
     assert same.count() == events.count()
 
 
-def test_heavy_keys_are_bounded():
-    top = [{"item": i, "count": 10 * HEAVY_KEYS} for i in range(5)] + [{"item": None, "count": 10**9}]
-    heavy = heavy_from(top, rows=HEAVY_KEYS * 9, task_rows=5)
-    assert heavy.keys == (0, 1, 2, 3, 4) and heavy.nulls and heavy.per_task == 9
-    assert not heavy_from(top[:5], rows=HEAVY_KEYS**2 * 100).any
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_heavy_keys_are_those_over_the_floor(spark):
+    rows = [(1,)] * 30 + [(2,)] * 10 + [(3,)] * 11 + [(None,)] * 12
+    heavy = heavy_keys(key_counts(spark.createDataFrame(rows, "k long"), "k"), 10)
+    assert set(heavy.keys) == {1, 3} and heavy.nulls and heavy.most_rows == 30 and heavy.salts == 3
+    assert not heavy_keys(key_counts(spark.createDataFrame(rows, "k long"), "k"), 100).any
+
+
+def test_unknown_size_is_never_broadcast(spark):
+    events, items = watch_events(spark, SMALL), watch_items(spark, SMALL)
+    layout = survey(events, SET_2, skew=False)
+    assert layout.items_seen is None
+    long = long_features(prepare(events, items, 10**9), layout, SOME, keep_cells=False, broadcast_bytes=1)
+    assert "strategy=broadcast" not in plan_of(long)
+    known = long_features(prepare(events, items, 10), survey(events, SET_2), SOME, keep_cells=False, broadcast_bytes=1)
+    assert "approx_top_k" not in plan_of(known)
+
+
+def test_attach_spreads_heavy_and_missing_keys(spark):
+    events = skewed(spark).withColumn("vid", F.when(F.col("timestamp") % 5 != 0, F.col("vid")))
+    groups = group_rows(events.where("vid IS NOT NULL"), ["vid"], "g_vid")
+    want = events.join(groups, "vid", "left")
+    got = attach(events, ["vid"], groups, heavy=heavy_keys(key_counts(events, "vid"), 100))
+    assert "_salt" in plan_of(got)
+    assert got.select(*want.columns).exceptAll(want).count() == 0 and got.count() == events.count()

@@ -12,6 +12,7 @@ from tidemark.plans.spec import SPEC_1
 from tidemark.plans.splits import SET_1, survey
 from tidemark.session import new_path
 from tidemark.sources import tables
+from tidemark.sources.schema import BEHAVIORS
 from tidemark.sources.adapters import watch_events, watch_items
 
 
@@ -101,6 +102,22 @@ def test_tables_round_trip(spark, planted, trained):
     assert spark.read.option("header", True).csv(importance).count() == 3
 
 
+def test_texts_become_ranks(spark):
+    frame = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "did long, like string")
+    got = {r["did"]: r["like"] for r in training.number_texts(frame, frame.where("did < 4")).collect()}
+    assert got == {1: 0.0, 2: 0.0, 3: 1.0, 4: 2.0}
+
+
+def test_bad_csv_values_fail_or_are_counted(spark):
+    path = new_path(spark, "t-bad") + ".csv"
+    frame = spark.createDataFrame([("5", "v", "x", "u"), ("6", "w", None, "u"), ("y", "w", "1", "u")], "timestamp string, vid string, vts string, did string")
+    frame.write.option("header", True).csv(path)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        tables.read_behaviors(spark, path).collect()
+    found = tables.rejects(spark, path, BEHAVIORS).first()
+    assert (found["vts"], found["timestamp"], found["vid"]) == (1, 1, 0)
+
+
 def test_csv_columns_are_matched_by_name(spark):
     path = new_path(spark, "t-behaviors") + ".csv"
     frame = spark.createDataFrame([(5, "v", 1.5, "u"), (6, "w", None, "u")], "timestamp long, vid string, vts double, did string")

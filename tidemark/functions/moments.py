@@ -1,8 +1,11 @@
 """Statistics rebuilt from sums that merge in any order.
 
-A measure ``m`` travels as six numbers: ``m_n`` rows with a value, ``m_s`` sum,
-``m_q`` sum of squares, ``m_lo`` and ``m_hi`` bounds, ``m_w`` recency-weighted sum
-(and ``m_wn``, the weights themselves, where means are normalised by them).
+A measure ``m`` travels as ``m_n`` rows with a value, ``m_s`` sum, ``m_lo`` and ``m_hi``
+bounds, ``m_w`` recency-weighted sum (and ``m_wn``, the weights themselves, where means are
+normalised by them) and, for the deviation, ``m_d`` and ``m_q``: the sums of the differences from
+a centre and of their squares. Rows first give the squares about their own mean; ``centred``
+moves them to a centre that all parts of a user share, so tight values far from zero keep
+their digits.
 Sums of these over event groups, age bands or salted parts of a user give the same
 statistic, so no step needs all rows of a group at once.
 
@@ -14,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PARTS = ("n", "s", "q", "lo", "hi", "w")
+PARTS = ("n", "s", "q", "d", "lo", "hi", "w")
 _MERGE = {"lo": "min", "hi": "max"}
 
 
@@ -28,22 +31,36 @@ def first_parts(name: str, value: str | None = None) -> list[Column]:
     return [
         F.expr(f"count({v}) AS `{name}_n`"),
         F.expr(f"sum({v}) AS `{name}_s`"),
-        F.expr(f"sum({v} * {v}) AS `{name}_q`"),
+        F.expr(f"var_pop({v}) * count({v}) AS `{name}_q`"),
         F.expr(f"min({v}) AS `{name}_lo`"),
         F.expr(f"max({v}) AS `{name}_hi`"),
     ]
 
 
+def centred(name: str, centre: str) -> dict[str, Column]:
+    """``d`` and ``q`` about ``centre``, from the sum and the squares about the own mean."""
+    n, s, q = (f"`{name}_{p}`" for p in "nsq")
+    gap = f"({s} - {n} * {centre})"
+    return {f"{name}_d": F.expr(gap), f"{name}_q": F.expr(f"{q} + try_divide({gap} * {gap}, {n})")}
+
+
 def merged_parts(name: str, parts=PARTS) -> list[Column]:
     return [F.expr(f"{_MERGE.get(p, 'sum')}(`{name}_{p}`) AS `{name}_{p}`") for p in parts]
 
 
+def whole(name: str) -> bool:
+    """Whether a measure is a count."""
+    return name.endswith(("active_days", "watch_nums", "g_vid"))
+
+
 def repeated_parts(name: str, value: str, times: str, weight: str, parts) -> list[Column]:
     """Parts of a value that stands for ``times`` rows of total weight ``weight``."""
     ways = {
         "n": f"sum(if({value} IS NOT NULL, {times}, NULL))",
-        "s": f"sum({value} * {times})",
+        # products of counts may pass what a long holds
+        "s": f"sum(CAST({value} AS DECIMAL(19,0)) * CAST({times} AS DECIMAL(19,0)))" if whole(name) else f"sum({value} * {times})",
         "q": f"sum(1.0D * {value} * {value} * {times})",
+        "d": f"sum(1.0D * {value} * {times})",
         "lo": f"min({value})",
         "hi": f"max({value})",
         "w": f"sum({value} * {weight})",
@@ -54,7 +71,7 @@ def repeated_parts(name: str, value: str, times: str, weight: str, parts) -> lis
 
 # what each statistic is rebuilt from
 NEEDS = {
-    "mean": {"n", "s"}, "std": {"n", "s", "q", "lo", "hi"}, "min": {"lo"}, "max": {"hi"},
+    "mean": {"n", "s"}, "std": {"n", "q", "d", "lo", "hi"}, "min": {"lo"}, "max": {"hi"},
     "sum": {"s"}, "w95": {"n", "w"},
 }
 
@@ -68,15 +85,15 @@ def needed(stats, normalized: bool = False) -> list[str]:
 
 def statistic(stat: str, name: str, normalized: bool = False) -> str:
     """SQL of one statistic over merged parts."""
-    n, s, q, lo, hi, w, wn = (f"`{name}_{p}`" for p in (*PARTS, "wn"))
+    n, s, q, d, lo, hi, w, wn = (f"`{name}_{p}`" for p in (*PARTS, "wn"))
     if stat == "std":
         # equal bounds mean equal values: the deviation is zero without rounding noise
-        spread = f"greatest({q} - CAST({s} AS DOUBLE) * {s} / {n}, 0D) / ({n} - 1)"
+        spread = f"greatest({q} - {d} * {d} / {n}, 0D) / ({n} - 1)"
         return f"CASE WHEN {n} > 1 THEN if({lo} = {hi}, 0D, sqrt({spread})) END"
     return {
-        "mean": f"try_divide({s}, {n})",
+        "mean": f"try_divide(CAST({s} AS DOUBLE), {n})",
         "w95": f"try_divide({w}, {wn if normalized else n})",
-        "min": lo, "max": hi, "sum": s,
+        "min": lo, "max": hi, "sum": f"CAST({s} AS BIGINT)" if whole(name) else s,
     }[stat]
 
 

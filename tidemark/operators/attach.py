@@ -9,9 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import BROADCAST_BYTES, Heavy, lookup_join
+
 from tidemark.operators.labels import label_table
 
 
+GROUP_ROW_BYTES = 128
+
+
 def group_activity(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
     """Active days, watches and seconds watched per group."""
     return label_table(df, *keys).withColumnsRenamed({
@@ -25,13 +30,19 @@ def group_rows(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def attach(df: DataFrame, keys: list[str], groups: DataFrame) -> DataFrame:
+def attach(
+    df: DataFrame, keys: list[str], groups: DataFrame, *, spread_on: list[str] | None = None,
+    heavy: Heavy = Heavy(nulls=True), groups_rows: int | None = None, limit: int = BROADCAST_BYTES,
+) -> DataFrame:
     """Rows with their group's aggregates; a NULL key matches nothing.
 
-    Not hinted: the adaptive planner broadcasts the groups when they measure small and
-    splits skewed partitions of ``df`` otherwise.
+    ``heavy`` names values of the last key that hold more rows than a task should take; their
+    rows, and those whose key is NULL, are spread by ``spread_on`` (all other columns).
     """
-    return df.join(groups, keys, "left")
+    rest = [c for c in df.columns if c not in keys]
+    return lookup_join(
+        df, groups, keys, right_rows=groups_rows, row_bytes=GROUP_ROW_BYTES, heavy=heavy,
+        spread_on=spread_on or rest or keys, limit=limit)
 
 
 def top_values(df: DataFrame, key: str, value: str, k: int = 1) -> DataFrame:

@@ -15,14 +15,13 @@ from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 TASK_ROWS = 1_000_000  # rows of one key that one task takes without splitting
-HEAVY_KEYS = 10_000
 
 
 @dataclass(frozen=True)
 class Heavy:
     """Keys that hold more rows than one task should take.
 
-    At most ``HEAVY_KEYS`` of them: each holds over 1/``HEAVY_KEYS`` of all rows.
+    Each holds over ``per_task`` rows, so there are at most as many as the table has tasks' worth.
     """
 
     keys: tuple = ()
@@ -43,16 +42,16 @@ class Heavy:
         return key.isNull() | held if self.nulls else held
 
 
-def heavy_sketch(key: str) -> Column:
-    """Frequent items in one pass with fixed-size state; only steers partitioning."""
-    return F.expr(f"approx_top_k(`{key}`, {HEAVY_KEYS}, {HEAVY_KEYS * 10})")
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """Rows per key; combined before the shuffle, so a heavy key is one row per task."""
+    return df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def heavy_from(top: list, rows: int, task_rows: int = TASK_ROWS) -> Heavy:
-    floor = max(task_rows, rows // HEAVY_KEYS)
-    over = [(t["item"], t["count"]) for t in top if t["count"] > floor]
+def heavy_keys(counts: DataFrame, task_rows: int = TASK_ROWS) -> Heavy:
+    """The keys that hold more than one task's rows: exact, and few by their own size."""
+    over = [(r["key"], r["rows"]) for r in counts.where(F.col("rows") > task_rows).collect()]
     keys = tuple(k for k, _ in over if k is not None)
-    return Heavy(keys, max((c for _, c in over), default=0), floor, len(keys) < len(over))
+    return Heavy(keys, max((c for _, c in over), default=0), task_rows, len(keys) < len(over))
 
 
 def lookup_join(
@@ -60,7 +59,7 @@ def lookup_join(
     right: DataFrame,
     keys: list[str],
     *,
-    right_rows: int,
+    right_rows: int | None,
     row_bytes: int,
     heavy: Heavy,
     spread_on: list[str],
@@ -69,9 +68,9 @@ def lookup_join(
     """``left`` with the columns of ``right``, which has one row per ``keys``.
 
     ``heavy`` lists values of the last key; ``spread_on`` are left columns that differ
-    between the rows of one heavy key.
+    between the rows of one heavy key. A lookup table of unknown size is not broadcast.
     """
-    if right_rows * row_bytes <= limit:
+    if right_rows is not None and right_rows * row_bytes <= limit:
         return left.join(F.broadcast(right), keys, "left")
     return salted_join(left, right, keys, heavy, spread_on)
 

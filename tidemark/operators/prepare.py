@@ -79,9 +79,14 @@ def prepare(
     item_rows: int,
     heavy: Heavy = Heavy(),
     zone: str = LOCAL_ZONE,
-    dedupe_items: bool = False,
+    dedupe_items: bool = True,
     compat: bool = False,
 ) -> DataFrame:
+    """Events with item columns and measures.
+
+    A video listed twice would count its watches twice, so items are made unique first; a
+    caller that has checked (``repeated_items``) may leave that out.
+    """
     items = unique_items(items) if dedupe_items else items
     joined = attach_items(localize(events, zone), items, item_rows, heavy)
     return add_measures(joined, compat).drop("online_time", "duration")

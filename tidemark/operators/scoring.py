@@ -13,20 +13,17 @@ RANGES = {"active_days": (1.0, 7.0), "watch_nums": (0.0, None), "watch_durations
 
 
 def r2_scores(scored: DataFrame, pairs: dict[str, str]) -> DataFrame:
-    """One row: R² of each label against its prediction column.
+    """One row: R² of each label against its prediction column, over rows that have both.
 
-    The label mean is a scalar of the same rows; only one-row partial sums are shuffled.
+    One aggregate: rows times the population variance is the sum of squares about the mean.
     """
-    means = {y: scored.agg(F.avg(y).alias("m")).scalar() for y in pairs}
-    centred = scored.select(*[
-        c for y, p in pairs.items() for c in (
-            ((F.col(y) - F.col(p)) * (F.col(y) - F.col(p))).alias(f"{y}_res"),
-            ((F.col(y) - means[y]) * (F.col(y) - means[y])).alias(f"{y}_tot"),
-        )
-    ])
-    return centred.agg(*[
-        (1 - F.try_divide(F.sum(f"{y}_res"), F.sum(f"{y}_tot"))).alias(f"r2_{y}") for y in pairs
-    ])
+    out = []
+    for y, p in pairs.items():
+        both = F.col(y).isNotNull() & F.col(p).isNotNull()
+        label, gap = F.when(both, F.col(y)), F.col(y) - F.col(p)
+        total = F.count(label) * F.var_pop(label)
+        out.append((1 - F.try_divide(F.sum(gap * gap), total)).alias(f"r2_{y}"))
+    return scored.agg(*out)
 
 
 def composite_score(scores: DataFrame) -> DataFrame:

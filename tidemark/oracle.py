@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from tidemark.plans.spec import BASELINE_SPEC, KIND_KEYS, SPEC_1, SPEC_2, Feature, Spec
 from tidemark.plans.splits import BASELINE, CALENDAR, LATEST, SET_1, SET_2, Catalogue
-from tidemark.queries import LAST_WEEK, WIDE_WINDOWS, _weekday
+from tidemark.queries import LAST_WEEK, WITHDRAWN, _weekday
 from tidemark.sources.schema import LABELS
 
 WATCH = """ev AS (
@@ -18,7 +18,7 @@ WATCH = """ev AS (
 it AS (
   SELECT p_partkey AS vid, p_brand AS cid, CAST(p_size % 9 + 1 AS INTEGER) AS is_intact,
          1698796800 + p_size * 86400 AS online, p_name AS series_id,
-         CAST(p_size AS DOUBLE) * 10 AS duration, p_type AS classify_id FROM part WHERE p_partkey % 10 <> 0)"""
+         CAST(p_size AS DOUBLE) * 10 AS duration, p_type AS classify_id FROM part)"""
 
 ORDERS = """ev AS (
   SELECT o_custkey AS did, l_partkey AS vid, l_quantity AS vts,
@@ -27,7 +27,7 @@ ORDERS = """ev AS (
 it AS (
   SELECT p_partkey AS vid, p_brand AS cid, CAST(p_size % 9 + 1 AS INTEGER) AS is_intact,
          770428800 + p_size * 86400 AS online, p_name AS series_id,
-         CAST(p_size AS DOUBLE) * 10 AS duration, p_type AS classify_id FROM part WHERE p_partkey % 10 <> 0)"""
+         CAST(p_size AS DOUBLE) * 10 AS duration, p_type AS classify_id FROM part)"""
 
 PREPARED = """lo AS (
   SELECT *, DATE '1970-01-01' + CAST(floor(("timestamp" + 28800) / 86400.0) AS INTEGER) AS date_day FROM ev),
@@ -49,8 +49,6 @@ def quote(name: str) -> str:
 
 
 def shown(expr: str, name: str) -> str:
-    if name.endswith("_std"):
-        return f"round({expr}, 4) AS {quote(name)}"
     return f"CAST(CAST({expr} AS FLOAT) AS DOUBLE) AS {quote(name)}"
 
 
@@ -312,11 +310,18 @@ GROUP BY split, date_day, anchor""",
     "features_long_set_1": long_sql(SET_1, SPEC_1),
     "features_long_set_2": long_sql(SET_2, SPEC_2),
     "features_long_baseline": long_sql(BASELINE, BASELINE_SPEC),
-    "order_features_set_1": long_sql(LATEST, SPEC_1, ORDERS),
-    "sample_wide": wide_sql(SET_1, SPEC_1, WIDE_WINDOWS),
-    "stacked_splits": wide_sql(SET_2, SPEC_2, (7,), ("train_1", "valid")),
-    "baseline_sample": wide_sql(BASELINE, BASELINE_SPEC, (1, 28), tenure=True),
-    "favourite_category": long_sql(BASELINE, BASELINE_SPEC.pick((7, 28), lambda f: f.block == "favourite")),
+    "order_features_set_1": long_sql(SET_1, SPEC_1, ORDERS),
+    "sample_wide": wide_sql(SET_1, SPEC_1, SPEC_1.windows),
+    "stacked_splits": wide_sql(SET_2, SPEC_2, SPEC_2.windows, ("train_1", "valid")),
+    "baseline_sample": wide_sql(BASELINE, BASELINE_SPEC, BASELINE_SPEC.windows, tenure=True),
+    "favourite_category": long_sql(BASELINE, BASELINE_SPEC.pick(BASELINE_SPEC.windows, lambda f: f.block == "favourite")),
+    "unmatched_items": f"""{base()} SELECT did, count(*) AS watches, count(DISTINCT vid) AS videos,
+  {shown('sum(vts)', 'seconds')}, CAST(0 AS BIGINT) AS ratios FROM pe WHERE coalesce(cid, '{WITHDRAWN}') = '{WITHDRAWN}' GROUP BY did""",
+    "deduped_items": f"""{base()} SELECT did, cid, count(*) AS watches, {shown('sum(vts)', 'seconds')} FROM pe GROUP BY did, cid""",
+    "sorted_predictions": f"""{_labels(SET_1)} SELECT CAST(did AS VARCHAR) AS did,
+  CAST(row_number() OVER (ORDER BY did) AS INTEGER) AS place FROM la WHERE split = 'valid'""",
+    "csv_samples": wide_sql(BASELINE, BASELINE_SPEC, (7,)),
+    "preview": f"""{_labels(SET_1)} SELECT did, {shown_labels()} FROM la WHERE split = 'valid' ORDER BY did LIMIT 5""",
     "top_categories": f"""{base()},
 c AS (SELECT did, classify_id, count(*) AS "rows" FROM pe WHERE classify_id IS NOT NULL GROUP BY ALL)
 SELECT * FROM (SELECT did, classify_id, "rows",

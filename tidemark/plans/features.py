@@ -17,11 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import moments
-from tidemark.operators.joins import BROADCAST_BYTES, lookup_join
+from tidemark.operators.joins import BROADCAST_BYTES, Heavy, lookup_join
 from tidemark.plans.spec import CID_KEYS, ITEM_KEYS, KIND_KEYS, Feature, Spec
 from tidemark.plans.splits import CALENDAR, Layout, prune, window_members
 from tidemark.session import settle
@@ -156,11 +156,28 @@ def _stat_parts(spec: Spec, block: str) -> dict[str, list[str]]:
     return {m: moments.needed(s, spec.normalized) for m, s in stats.items()}
 
 
-def _base_block(cells: DataFrame, layout: Layout, spec: Spec) -> DataFrame:
+def _centres(cells: DataFrame, measures: list[str], crowded: bool) -> DataFrame:
+    """``cells`` with each user's smallest value of the measures, as the centre of their squares.
+
+    Placed users have theirs by a window over rows that lie together; the few heavy ones,
+    spread as they are, by a lookup with one row for each.
+    """
+    least = [F.expr(f"min(`{m}_lo`) AS `{m}_c`") for m in measures]
+    if not measures:
+        return cells
+    if crowded:
+        return cells.join(F.broadcast(cells.groupBy("did").agg(*least)), "did")
+    here = Window.partitionBy("did")
+    return cells.withColumns({f"{m}_c": F.min(f"`{m}_lo`").over(here) for m in measures})
+
+
+def _base_block(cells: DataFrame, layout: Layout, spec: Spec, crowded: bool = False) -> DataFrame:
     kinds = [f.arg[0] for f in spec.features if f.kind == "kind_sum"]
     parts = _stat_parts(spec, "base")
     weighted = {f"{m}_{p}": f"{m}_{p[1:] or 's'}" for m, ps in parts.items() for p in ps if p in ("w", "wn")}
-    rows = _members(cells, layout, spec).withColumns(
+    spread = [m for m, ps in parts.items() if "q" in ps]
+    about = {c: e for m in spread for c, e in moments.centred(m, f"`{m}_c`").items()}
+    rows = _members(_centres(cells, spread, crowded).withColumns(about), layout, spec).withColumns(
         {w: F.expr(f"`{plain}` * weight") for w, plain in weighted.items()}
     )
     merge = [
@@ -194,7 +211,7 @@ def _distinct_block(cells: DataFrame, layout: Layout, spec: Spec) -> DataFrame:
     return _finish(full, spec, "distinct")
 
 
-def item_aggregates(cells: DataFrame, layout: Layout, spec: Spec) -> DataFrame:
+def item_aggregates(cells: DataFrame, layout: Layout, spec: Spec, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Per (split, vid): arrays, one slot per window, of the item's own aggregates and of
     those of its kind and collection."""
     time = _time_keys(layout)
@@ -225,12 +242,16 @@ def item_aggregates(cells: DataFrame, layout: Layout, spec: Spec) -> DataFrame:
     # item-sized on the left: a large collection is at most its number of videos here
     joined = lookup_join(
         own, kinds, ["split", "is_intact", "cid"],
-        right_rows=layout.items_seen * len(layout.splits),
-        row_bytes=_item_bytes(spec, 3), heavy=type(layout.items)(), spread_on=["vid"],
+        right_rows=_item_rows(layout), row_bytes=_item_bytes(spec, 3),
+        heavy=Heavy(nulls=True), spread_on=["vid"], limit=limit,
     )
     return joined.drop("cid", "is_intact")
 
 
+def _item_rows(layout: Layout) -> int | None:
+    return None if layout.items_seen is None else layout.items_seen * len(layout.splits)
+
+
 def _item_bytes(spec: Spec, values: int) -> int:
     return 96 + values * (24 + 8 * len(spec.windows))
 
@@ -243,14 +264,14 @@ def _item_block(
         *_per_window(spec, n="n", w="n * weight")
     )
     size = {
-        "right_rows": layout.items_seen * len(layout.splits),
+        "right_rows": _item_rows(layout),
         "row_bytes": _item_bytes(spec, len(parts)),
     }
     joined = lookup_join(
         per_item, items, ["split", "vid"], **size,
         heavy=layout.items, spread_on=["did"], limit=limit,
     )
-    if size["right_rows"] * size["row_bytes"] > limit:
+    if size["right_rows"] is None or size["right_rows"] * size["row_bytes"] > limit:
         joined = place(joined)  # the shuffle join moved the rows to the items
     opened = _open_windows(joined, spec, ["did", "split", *parts], "nw")
     opened = opened.select(
@@ -283,29 +304,25 @@ def _cid_block(cells: DataFrame, layout: Layout, spec: Spec) -> DataFrame:
 def _favourite_block(cells: DataFrame, layout: Layout, spec: Spec) -> DataFrame:
     """Most watched value per user and window; ties go to the largest value, NULL never wins."""
     features = [f for f in spec.features if f.block == "favourite"]
-    tokens = ", ".join(
-        f"named_struct('what', '{f.name}', 'value', CAST({f.arg[0]} AS STRING))" for f in features
-    )
-    rows = _members(cells, layout, spec).select(
-        "did", "split", "band", "n", F.expr(f"inline(array({tokens}))")
-    )
-    counts = rows.where("value IS NOT NULL").groupBy("did", "split", "what", "value").agg(
-        *_per_window(spec, n="n")
-    )
-    opened = _open_windows(counts, spec, ["did", "split", "what", "value"], "n")
-    return opened.groupBy(*USER_WINDOW).agg(*[
-        F.expr(f"max(if(what = '{f.name}', struct(n, value), NULL)).value AS `{f.name}`")
-        for f in features
-    ])
+    member = _members(cells, layout, spec)
+    out = None
+    for f in features:  # one by one: each value keeps its own type and order
+        counts = member.where(f"`{f.arg[0]}` IS NOT NULL").groupBy("did", "split", F.col(f.arg[0]).alias("value")).agg(
+            *_per_window(spec, n="n"))
+        opened = _open_windows(counts, spec, ["did", "split", "value"], "n")
+        best = opened.groupBy(*USER_WINDOW).agg(F.expr(f"max(struct(n, value)).value AS `{f.name}`"))
+        out = best if out is None else out.join(best, list(USER_WINDOW), "full")
+    return out
 
 
 def _user_features(
-    cells: DataFrame, items: DataFrame | None, layout: Layout, spec: Spec, place: Place, limit: int
+    cells: DataFrame, items: DataFrame | None, layout: Layout, spec: Spec, place: Place, limit: int,
+    crowded: bool = False,
 ) -> DataFrame:
     blocks = spec.blocks()
     made, out = [], None
     if "base" in blocks:
-        made.append(_base_block(cells, layout, spec))
+        made.append(_base_block(cells, layout, spec, crowded))
     if "distinct" in blocks:
         made.append(_distinct_block(cells, layout, spec))
     if "cid" in blocks:
@@ -347,7 +364,7 @@ def long_features(
     keep = len(blocks) > 1 if keep_cells is None else keep_cells
     if keep:
         cells = settle(cells, "cells")
-    items = item_aggregates(cells, layout, spec) if "item" in blocks else None
+    items = item_aggregates(cells, layout, spec, broadcast_bytes) if "item" in blocks else None
 
     def by_user(df: DataFrame) -> DataFrame:
         return df.repartition("did")
@@ -360,7 +377,7 @@ def long_features(
     if heavy.any:
         crowded = cells.where(crowd)
         out = out.unionByName(
-            _user_features(crowded, items, layout, spec, lambda df: df, broadcast_bytes)
+            _user_features(crowded, items, layout, spec, lambda df: df, broadcast_bytes, True)
         )
     ratios = [
         F.try_divide(F.col(f.arg[0]), F.col(f.arg[1])).alias(f.name)

@@ -1,8 +1,9 @@
 """Which events belong to which split: label ranges, histories and anchors.
 
 Split bounds depend on the data (the last event of the table, the last event present in
-each history). They are five numbers per split, read in two aggregate jobs and then used
-as literals, so range conditions need no join and reach the scan as pushed filters.
+each history). They are five numbers per split, read in aggregate jobs and then used
+as literals, so range conditions need no join. ``reach`` and ``label_reach`` give them as epoch
+seconds for sources that can filter their stored time column.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clock import DAY_SECONDS, LOCAL_ZONE, day_number, local_day
 from tidemark.functions.measures import decay_weight
-from tidemark.operators.joins import TASK_ROWS, Heavy, heavy_from, heavy_sketch
+from tidemark.operators.joins import TASK_ROWS, Heavy, heavy_keys, key_counts
 
 CALENDAR, ROLLING = "calendar", "rolling"
 
@@ -70,7 +71,7 @@ class Layout:
     last: int
     splits: tuple[Split, ...]
     rows: int = 0
-    items_seen: int = 0
+    items_seen: int | None = None  # unknown: tables that grow with it are not broadcast
     users: Heavy = field(default_factory=Heavy)
     items: Heavy = field(default_factory=Heavy)
     zone: str = LOCAL_ZONE
@@ -89,76 +90,86 @@ def survey(
     skew: bool = True,
     task_rows: int = TASK_ROWS,
 ) -> Layout:
-    """Resolve the splits against ``events`` and, in the same pass, find heavy keys.
+    """Resolve the splits against ``events`` and find heavy keys.
 
-    Two aggregate jobs over three narrow columns. The answers have a fixed size: one
-    number per split and at most ``HEAVY_KEYS`` keys per sketch.
+    One pass counts events per local day (calendar) or takes the bounds (rolling); with
+    ``skew`` two more count rows per user and per video, combined before they are shuffled,
+    and only keys with more than ``task_rows`` rows come to the driver.
     """
-    position = (
-        day_number(local_day(F.col("timestamp"), zone))
-        if catalogue.mode == CALENDAR
-        else F.col("timestamp")
-    )
-    last = events.agg(F.max("timestamp").alias("timestamp")).select(position.alias("p")).first()["p"]
-    if last is None:
-        return Layout(catalogue.mode, 0, (), zone=zone)
-    splits = catalogue.bounds(last)
-    asks = [
-        F.max(F.when(position.between(*s.history), position)).alias(f"anchor_{i}")
-        for i, s in enumerate(splits)
-    ]
-    asks.append(F.count(F.lit(1)).alias("rows"))
-    if skew:
-        asks += [
-            heavy_sketch("did").alias("top_users"),
-            heavy_sketch("vid").alias("top_items"),
-            F.approx_count_distinct("vid", 0.02).alias("items_seen"),
-        ]
-    got = events.agg(*asks).first()
-    splits = tuple(replace(s, anchor=got[f"anchor_{i}"]) for i, s in enumerate(splits))
+    if catalogue.mode == CALENDAR:
+        days = events.groupBy(day_number(local_day(F.col("timestamp"), zone)).alias("p")).agg(F.count(F.lit(1)).alias("rows"))
+        seen = sorted((r["p"], r["rows"]) for r in days.where("p IS NOT NULL").collect())  # one row per day
+        if not seen:
+            return Layout(catalogue.mode, 0, (), zone=zone)
+        last, rows = seen[-1][0], sum(n for _, n in seen)
+        anchors = [max((d for d, _ in seen if s.history[0] <= d <= s.history[1]), default=None) for s in catalogue.bounds(last)]
+    else:
+        last = events.agg(F.max("timestamp").alias("p")).first()["p"]
+        if last is None:
+            return Layout(catalogue.mode, 0, (), zone=zone)
+        at = F.col("timestamp")
+        asks = [F.max(F.when(at.between(*s.history), at)).alias(f"anchor_{i}") for i, s in enumerate(catalogue.bounds(last))]
+        got = events.agg(*asks, F.count(F.lit(1)).alias("rows")).first()
+        rows, anchors = got["rows"], [got[f"anchor_{i}"] for i in range(len(asks))]
+    splits = tuple(replace(s, anchor=a) for s, a in zip(catalogue.bounds(last), anchors, strict=True))
     if not skew:
-        return Layout(catalogue.mode, last, splits, got["rows"], zone=zone)
+        return Layout(catalogue.mode, last, splits, rows, zone=zone)
+    items = key_counts(events, "vid")
     return Layout(
-        catalogue.mode, last, splits, got["rows"],
-        int(got["items_seen"] * 1.1) + 1,  # a margin of five standard errors
-        heavy_from(got["top_users"], got["rows"], task_rows),
-        heavy_from(got["top_items"], got["rows"], task_rows),
-        zone,
+        catalogue.mode, last, splits, rows, items.count(),
+        heavy_keys(key_counts(events, "did"), task_rows), heavy_keys(items, task_rows), zone,
     )
 
 
-def prune(events: DataFrame, layout: Layout, longest: int) -> DataFrame:
-    """Drop events no window can reach, by a filter on the stored column.
+def reach(layout: Layout, longest: int) -> tuple[int, int] | None:
+    """Epoch seconds of the first and last event any window can reach; None if there is none.
 
     A day of slack on both sides covers every time zone.
     """
     unit = DAY_SECONDS if layout.mode == CALENDAR else 1
-    reach = longest * DAY_SECONDS
-    firsts = [max(s.history[0] * unit, s.anchor * unit - reach) for s in layout.splits if s.anchor is not None]
+    back = longest * DAY_SECONDS
+    firsts = [max(s.history[0] * unit, s.anchor * unit - back) for s in layout.splits if s.anchor is not None]
     lasts = [s.anchor * unit for s in layout.splits if s.anchor is not None]
-    if not firsts:
-        return events.where(F.lit(False))
-    low, high = min(firsts) - DAY_SECONDS, max(lasts) + 2 * DAY_SECONDS
-    return events.where(F.col("timestamp").between(low, high))
+    return (min(firsts) - DAY_SECONDS, max(lasts) + 2 * DAY_SECONDS) if firsts else None
+
+
+def prune(events: DataFrame, layout: Layout, longest: int) -> DataFrame:
+    """Drop events no window can reach."""
+    bounds = reach(layout, longest)
+    return events.where(F.col("timestamp").between(*bounds) if bounds else F.lit(False))
+
+
+def label_reach(layout: Layout) -> tuple[int, int] | None:
+    """Epoch seconds around all label ranges, with a day of slack; None if there is none."""
+    ranges = [s.label for s in layout.splits if s.label]
+    unit = DAY_SECONDS if layout.mode == CALENDAR else 1
+    return (min(r[0] for r in ranges) * unit - DAY_SECONDS, max(r[1] for r in ranges) * unit + 2 * DAY_SECONDS) if ranges else None
+
+
+def history_reach(layout: Layout) -> tuple[int, int] | None:
+    """Epoch seconds around all histories, with a day of slack."""
+    unit = DAY_SECONDS if layout.mode == CALENDAR else 1
+    ends = [s.history for s in layout.splits]
+    return (max(min(h[0] for h in ends) * unit, -(2**50)) - DAY_SECONDS, max(h[1] for h in ends) * unit + 2 * DAY_SECONDS) if ends else None
 
 
 def label_members(df: DataFrame, layout: Layout) -> DataFrame:
     """Each event once per split whose label range holds it."""
     at = layout.position()
-    ranges = [s.label for s in layout.splits if s.label]
-    if not ranges:
+    bounds = label_reach(layout)
+    if not bounds:
         return df.where(F.lit(False)).withColumn("split", F.lit(""))
-    unit = DAY_SECONDS if layout.mode == CALENDAR else 1
-    low = min(r[0] for r in ranges) * unit - DAY_SECONDS  # a day of slack for any zone
-    high = max(r[1] for r in ranges) * unit + 2 * DAY_SECONDS
-    df = df.where(F.col("timestamp").between(low, high))
+    df = df.where(F.col("timestamp").between(*bounds))
     hits = [F.when(at.between(*s.label), F.lit(s.name)) for s in layout.splits if s.label]
     return df.withColumn("split", F.explode(F.array_compact(F.array(*hits))))
 
 
 def history_members(df: DataFrame, layout: Layout) -> DataFrame:
     """Each event once per split whose history holds it."""
-    at = layout.position()
+    at, bounds = layout.position(), history_reach(layout)
+    if not bounds:
+        return df.where(F.lit(False)).withColumn("split", F.lit(""))
+    df = df.where(F.col("timestamp").between(*bounds))
     hits = [F.when(at.between(*s.history), F.lit(s.name)) for s in layout.splits]
     return df.withColumn("split", F.explode(F.array_compact(F.array(*hits))))
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
@@ -64,6 +65,17 @@ def numeric_features(df: DataFrame) -> list[str]:
     return [c for c in feature_columns(df) if c not in text]
 
 
+def number_texts(df: DataFrame, learned: DataFrame) -> DataFrame:
+    """Text features as the rank of their value's frequency in ``learned``; new and missing ones last."""
+    text = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string" and f.name in feature_columns(df)]
+    if not text:
+        return df
+    made = StringIndexer(
+        inputCols=text, outputCols=[f"{c}_index" for c in text], handleInvalid="keep", stringOrderType="frequencyDesc"
+    ).fit(learned).transform(df)
+    return made.drop(*text).withColumnsRenamed({f"{c}_index": c for c in text})
+
+
 def fit_one(rows: DataFrame, label: str, held_out: str | None, params: Params) -> GBTRegressionModel:
     """One model; ``held_out`` is a condition naming the early-stopping rows."""
     kept = rows.where(F.col(label).isNotNull())

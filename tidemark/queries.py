@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.measures import decay_weight
@@ -17,35 +17,43 @@ from tidemark.plans import training
 from tidemark.plans.features import long_features
 from tidemark.plans.spec import BASELINE_SPEC, SPEC_1, SPEC_2, Feature, Spec
 from tidemark.plans.splits import (
-    BASELINE, LATEST, SET_1, SET_2, Catalogue, Layout, history_members, label_members, survey,
-    window_members,
+    BASELINE, LATEST, SET_1, SET_2, Catalogue, Layout, history_members, label_members, label_reach, reach,
+    survey, window_members,
 )
-from tidemark.session import new_path
+from tidemark.session import new_path, settle
 from tidemark.sources import tables
 from tidemark.sources.adapters import order_events, order_items, watch_events, watch_items
 from tidemark.sources.schema import LABELS
 
-WIDE_WINDOWS = (7, 120)
-QUICK = training.Params(rounds=4, max_depth=3, max_bins=32)
+# rounds, depth and bins of the training queries: small, and the same at every size; rows, splits,
+# windows, labels and features are all there
+QUICK = training.Params(rounds=2, max_depth=2, max_bins=16)
 
 
 def shown(df: DataFrame) -> DataFrame:
-    """Doubles as they are compared: single precision, deviations to four places.
+    """Doubles as they are compared: in single precision, seven digits.
 
     Sums in another order differ in the last bits; results are shown without those.
     """
     def show(c: str) -> Column:
-        return F.round(F.col(f"`{c}`"), 4) if c.endswith("_std") else F.col(f"`{c}`").cast("float").cast("double")
+        return F.col(f"`{c}`").cast("float").cast("double")
 
     return df.select(*[show(c).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
+WITHDRAWN = "Brand#11"
+
+
 class Watch:
     """Events, items, split layout and prepared events of one adapter."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, catalogue: Catalogue = LATEST,
                  orders: bool = False, skew: bool = True):
-        self.events = (order_events if orders else watch_events)(spark, sf_dir)
+        self._read = (lambda bounds=None: watch_events(spark, sf_dir, bounds))
+        if orders:  # a join of two tables, read several times below
+            joined = settle(order_events(spark, sf_dir), "orders")
+            self._read = (lambda bounds=None: joined if bounds is None else joined.where(F.col("timestamp").between(*bounds)))
+        self.events = self._read()
         self.items = (order_items if orders else watch_items)(spark, sf_dir)
         self.layout: Layout = survey(self.events, catalogue, skew=skew)
 
@@ -57,13 +65,19 @@ class Watch:
     def prepared(self) -> DataFrame:
         return prepare(self.events, self.items, self.items.count(), self.layout.items)
 
+    def seen(self, spec: Spec) -> DataFrame:
+        """Prepared events that the windows of ``spec`` can reach, filtered in the scan."""
+        bounds = reach(self.layout, max(spec.windows))
+        return prepare(self._read(bounds), self.items, self.items.count(), self.layout.items)
+
     def last_window(self, days: int) -> DataFrame:
         """Prepared events of the last ``days`` days of the whole table."""
         anchor = F.date_from_unix_date(F.lit(self.layout.last))
         return lookback(self.prepared, anchor, days)
 
     def labels(self, *names: str) -> DataFrame:
-        return sampling.split_labels(self.local, self.layout.only(*names) if names else self.layout)
+        layout = self.layout.only(*names) if names else self.layout
+        return sampling.split_labels(localize(self._read(label_reach(layout))), layout)
 
 
 def prep_events(spark, sf_dir):
@@ -130,7 +144,8 @@ def _last_week(keep):
 
     def query(spark, sf_dir):
         w = Watch(spark, sf_dir)
-        return shown(long_features(w.prepared, w.layout, spec.pick((7,), keep)))
+        some = spec.pick((7,), keep)
+        return shown(long_features(w.seen(some), w.layout, some))
 
     return query
 
@@ -199,14 +214,13 @@ def item_row_count(spark, sf_dir):
 def _long(catalogue: Catalogue, spec: Spec, orders: bool = False):
     def query(spark, sf_dir):
         w = Watch(spark, sf_dir, catalogue, orders)
-        return shown(long_features(w.prepared, w.layout, spec))
+        return shown(long_features(w.seen(spec), w.layout, spec))
 
     return query
 
 
-def _sample(w: Watch, spec: Spec, windows=WIDE_WINDOWS) -> DataFrame:
-    some = spec.pick(windows, lambda f: True)
-    return sampling.samples(w.local, long_features(w.prepared, w.layout, some), w.layout, some)
+def _sample(w: Watch, spec: Spec, extra: DataFrame | None = None) -> DataFrame:
+    return sampling.samples(w.local, long_features(w.seen(spec), w.layout, spec), w.layout, spec, extra=extra)
 
 
 def sample_wide(spark, sf_dir):
@@ -219,31 +233,70 @@ def stacked_splits(spark, sf_dir):
     made = []
     for name in ("train_1", "valid"):
         part = Watch.__new__(Watch)
-        part.events, part.items, part.layout = w.events, w.items, w.layout.only(name)
+        part.events, part.items, part.layout, part._read = w.events, w.items, w.layout.only(name), w._read
         path = new_path(spark, f"sample-{name}")
-        tables.write_samples(_sample(part, SPEC_2, (7,)), path)
+        tables.write_samples(_sample(part, SPEC_2), path)
         made.append(tables.read_samples(spark, path))
     return shown(sampling.stack(*made))
 
 
 def baseline_sample(spark, sf_dir):
     w = Watch(spark, sf_dir, BASELINE)
-    some = BASELINE_SPEC.pick((1, 28), lambda f: True)
-    long = long_features(w.prepared, w.layout, some)
-    extra = sampling.tenure(w.events, w.layout)
-    return shown(sampling.samples(w.local, long, w.layout, some, extra=extra))
+    return shown(_sample(w, BASELINE_SPEC, sampling.tenure(w.events, w.layout)))
 
 
 def favourite_category(spark, sf_dir):
     w = Watch(spark, sf_dir, BASELINE)
-    spec = BASELINE_SPEC.pick((7, 28), lambda f: f.block == "favourite")
-    return long_features(w.prepared, w.layout, spec)
+    spec = BASELINE_SPEC.pick(BASELINE_SPEC.windows, lambda f: f.block == "favourite")
+    return long_features(w.seen(spec), w.layout, spec)
 
 
 def top_categories(spark, sf_dir):
     return attaching.top_values(Watch(spark, sf_dir).prepared, "did", "classify_id", k=2)
 
 
+def unmatched_items(spark, sf_dir):
+    """Watches whose video the item table does not list: here, those of one withdrawn collection."""
+    w = Watch(spark, sf_dir, skew=False)
+    listed = w.items.where(F.col("cid") != WITHDRAWN)
+    rows = prepare(w.events, listed, listed.count())
+    return shown(rows.where("cid IS NULL").groupBy("did").agg(
+        F.count(F.lit(1)).alias("watches"), F.count_distinct("vid").alias("videos"), F.sum("vts").alias("seconds"),
+        F.count("vts/duration").alias("ratios")))
+
+
+def deduped_items(spark, sf_dir):
+    """An item table that lists every video twice changes no count."""
+    w = Watch(spark, sf_dir, skew=False)
+    twice = w.items.unionByName(w.items.withColumn("cid", F.concat("cid", F.lit("+"))))
+    return shown(prepare(w.events, twice, twice.count()).groupBy("did", "cid").agg(
+        F.count(F.lit(1)).alias("watches"), F.sum("vts").alias("seconds")))
+
+
+def sorted_predictions(spark, sf_dir):
+    """Predictions as stored: each user's place in the files read one after the other."""
+    path = new_path(spark, "predictions-sorted") + ".csv"
+    tables.write_predictions(Watch(spark, sf_dir, SET_1, skew=False).labels("valid"), path)
+    read = tables.read_predictions(spark, path).withColumn("file", F.input_file_name())
+    order = Window.partitionBy(F.lit(0)).orderBy("file", "at")
+    return read.withColumn("at", F.monotonically_increasing_id()).select("did", F.row_number().over(order).alias("place"))
+
+
+def csv_samples(spark, sf_dir):
+    """A sample with text and number columns, stored as CSV and read by its schema."""
+    w = Watch(spark, sf_dir, BASELINE)
+    spec = BASELINE_SPEC.pick((7,), lambda f: True)
+    sample = shown(sampling.samples(w.local, long_features(w.seen(spec), w.layout, spec), w.layout, spec))
+    path = new_path(spark, "samples") + ".csv"
+    tables.write_samples(sample, path, "csv")
+    return tables.read_samples(spark, path, "csv", sample.schema)
+
+
+def preview(spark, sf_dir):
+    """The first rows of the valid labels, by user: a look at a table."""
+    return shown(tables.preview(Watch(spark, sf_dir, SET_1, skew=False).labels("valid").drop("split")))
+
+
 def tenure(spark, sf_dir):
     w = Watch(spark, sf_dir, BASELINE, skew=False)
     return shown(sampling.tenure(w.events, w.layout))
@@ -333,7 +386,12 @@ def tables_settled(df: DataFrame) -> DataFrame:
 
 
 def oof_predictions(spark, sf_dir):
-    return _trained(spark, sf_dir, ("active_days",)).fits["active_days"].oof
+    """Every training row once for each label, scored by the model that did not see its fold."""
+    parts = [
+        fit.oof.select("split", "did", "fold", F.lit(y).alias("label"), F.col(f"{y}_preds").alias("prediction"))
+        for y, fit in _trained(spark, sf_dir).fits.items()
+    ]
+    return sampling.stack(*parts)
 
 
 def oof_scores(spark, sf_dir):
@@ -345,25 +403,23 @@ def test_predictions(spark, sf_dir):
 
 
 def importance(spark, sf_dir):
-    trained = _trained(spark, sf_dir, ("watch_durations",))
-    table = trained.importance("watch_durations")
-    path = new_path(spark, "importance") + ".csv"
-    tables.write_importance(table, path)
-    return table.limit(5)
+    """All features of each label's models."""
+    trained = _trained(spark, sf_dir)
+    parts = [trained.importance(y).withColumn("label", F.lit(y)) for y in LABELS]
+    for y, table in zip(LABELS, parts, strict=True):
+        tables.write_importance(table, new_path(spark, f"importance-{y}") + ".csv")
+    return sampling.stack(*parts)
 
 
 def holdout_predictions(spark, sf_dir):
     """Train on the earlier split, stop and score on ``valid``, refit there, score test."""
     w = Watch(spark, sf_dir, BASELINE)
-    some = BASELINE_SPEC.pick((7, 28), lambda f: f.block != "favourite")
-    sample = tables_settled(sampling.samples(
-        w.local, long_features(w.prepared, w.layout, some), w.layout, some,
-        extra=sampling.tenure(w.events, w.layout),
-    ))
+    sample = tables_settled(_sample(w, BASELINE_SPEC, sampling.tenure(w.events, w.layout)))
+    sample = settle(training.number_texts(sample, sampling.training_rows(sample)), "numbered")
     features = training.numeric_features(sample)
     rows = training.vectorize(sampling.training_rows(sample), features)
     test = training.vectorize(sampling.test_rows(sample), features, ())
-    params = training.Params(rounds=4, learning_rate=0.05, max_depth=3, max_bins=32, feature_fraction=1.0)
+    params = training.Params(rounds=2, learning_rate=0.05, max_depth=2, max_bins=16, feature_fraction=1.0)
     tuned = {y: training.fit_holdout(rows, y, params)[0] for y in LABELS}
     return training.refit_and_score(rows, test, tuned, params)
 
@@ -385,13 +441,18 @@ QUERIES = {
     "features_long_set_1": _long(SET_1, SPEC_1),
     "features_long_set_2": _long(SET_2, SPEC_2),
     "features_long_baseline": _long(BASELINE, BASELINE_SPEC),
-    "order_features_set_1": _long(LATEST, SPEC_1, orders=True),
+    "order_features_set_1": _long(SET_1, SPEC_1, orders=True),
     "sample_wide": sample_wide,
     "stacked_splits": stacked_splits,
     "baseline_sample": baseline_sample,
     "favourite_category": favourite_category,
     "top_categories": top_categories,
     "tenure": tenure,
+    "unmatched_items": unmatched_items,
+    "deduped_items": deduped_items,
+    "sorted_predictions": sorted_predictions,
+    "csv_samples": csv_samples,
+    "preview": preview,
     "fold_assignment": fold_assignment,
     "r2_score": r2_score,
     "composite_score": composite_score,

@@ -10,15 +10,33 @@ from tidemark.functions.clock import parse_release
 from tidemark.sources.schema import BEHAVIORS, ITEM_COLUMNS, ITEMS_TEXT, LABELS, PREDICTIONS
 
 
-def _read(spark: SparkSession, path: str, fmt: str | None, schema: T.StructType) -> DataFrame:
+def _read(
+    spark: SparkSession, path: str, fmt: str | None, schema: T.StructType, strict: bool = True
+) -> DataFrame:
+    """By header name, in whatever order the file has the columns.
+
+    A value that its type cannot hold fails the job; without ``strict`` it is NULL, and
+    ``rejects`` counts those.
+    """
     fmt = fmt or ("csv" if ".csv" in path.rsplit("/", 1)[-1] else "parquet")
     if fmt == "csv":
-        # by header name, in whatever order the file has them; unreadable values give NULL
         raw = spark.read.option("header", True).csv(path)
-        return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+        return raw.select(*[
+            (F.col(f"`{f.name}`").cast(f.dataType) if strict else F.col(f"`{f.name}`").try_cast(f.dataType)).alias(f.name)
+            for f in schema
+        ])
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+def rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """One row: for each column, the values of a CSV table that its type cannot hold."""
+    raw = spark.read.option("header", True).csv(path)
+    return raw.agg(*[
+        F.count_if(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull()).alias(f.name)
+        for f in schema
+    ])
+
+
 def read_behaviors(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     return _read(spark, path, fmt, BEHAVIORS)
 
@@ -31,9 +49,14 @@ def read_items(
     return raw.withColumn("online_time", parse_release(F.col("online_time"), items_tz)).select(*ITEM_COLUMNS)
 
 
-def read_samples(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """A stored sample table; as CSV everything but the keys and counts is a double."""
+def read_samples(
+    spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """A stored sample table. As CSV its types come from ``schema``; without one, everything
+    but the keys and counts is a double."""
     fmt = fmt or "parquet"
+    if schema is not None:
+        return _read(spark, path, fmt, schema)
     if fmt != "csv":
         return spark.read.format(fmt).load(path)
     raw = spark.read.option("header", True).csv(path)
@@ -59,8 +82,14 @@ def write_samples(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         df.write.format(fmt).save(path)
 
 
+def preview(df: DataFrame, rows: int = 5) -> DataFrame:
+    """A few rows to look at, those of the smallest values from the first column on."""
+    return df.orderBy(*df.columns).limit(rows)
+
+
 def write_predictions(df: DataFrame, path: str) -> None:
-    df.select("did", *LABELS).write.option("header", True).csv(path)
+    """In the order of the users: a range sort, so the files follow each other."""
+    df.select("did", *LABELS).orderBy("did").write.option("header", True).csv(path)
 
 
 def write_importance(df: DataFrame, path: str) -> None:
