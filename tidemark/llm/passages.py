@@ -220,7 +220,8 @@ def repeated_passages(docs: DataFrame, p: Params = Params()) -> DataFrame:
         F.first("n_words").alias("n_words"), F.first("anchors").alias("anchors"))
     texts = settle(texts.select("text_key", "one.doc_id", "copies", "n_words", "anchors"), "texts")
     places = texts.select("text_key", F.explode("anchors").alias("a")).select("text_key", "a.place", "a.gram")
-    shared = places.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # written first, so that a join that finds a gram everywhere can split it
+    shared = settle(places.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "shared")
     wanted = places.join(shared, "gram").groupBy("text_key").agg(F.sort_array(F.collect_list("place")).alias("places"))
     wanted = settle(wanted.join(texts.select("text_key", "doc_id"), "text_key").select("text_key", F.col("doc_id").alias("_id"), "places"), "places")
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_key"), "text")
