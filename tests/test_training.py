@@ -114,6 +114,7 @@ def test_bad_csv_values_fail_or_are_counted(spark):
     frame.write.option("header", True).csv(path)
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         tables.read_behaviors(spark, path).collect()
+    assert tables.read_behaviors(spark, path, strict=False).where("vts IS NULL").count() == 2
     found = tables.rejects(spark, path, BEHAVIORS).first()
     assert (found["vts"], found["timestamp"], found["vid"]) == (1, 1, 0)
 

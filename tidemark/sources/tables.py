@@ -37,15 +37,15 @@ def rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     ])
 
 
-def read_behaviors(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    return _read(spark, path, fmt, BEHAVIORS)
+def read_behaviors(spark: SparkSession, path: str, fmt: str | None = None, strict: bool = True) -> DataFrame:
+    return _read(spark, path, fmt, BEHAVIORS, strict)
 
 
 def read_items(
-    spark: SparkSession, path: str, fmt: str | None = None, items_tz: str = "UTC"
+    spark: SparkSession, path: str, fmt: str | None = None, items_tz: str = "UTC", strict: bool = True
 ) -> DataFrame:
     """The item table with its release time as an instant, unused columns left out."""
-    raw = _read(spark, path, fmt, ITEMS_TEXT)
+    raw = _read(spark, path, fmt, ITEMS_TEXT, strict)
     return raw.withColumn("online_time", parse_release(F.col("online_time"), items_tz)).select(*ITEM_COLUMNS)
 
 
