@@ -29,7 +29,7 @@ from tidemark.llm.components import components
 from tidemark.llm.grams import mix, shingles, word_hashes
 
 _UPPER = {c: c + 32 for c in range(65, 91)}  # A-Z to a-z
-LINKED_CHUNK = 512  # members of a bucket that are compared at once in the second round
+CHUNK = 256  # members of a bucket that meet as many others in one group
 
 
 @dataclass(frozen=True)
@@ -144,6 +144,16 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return found.mapInArrow(run, "node binary, elements binary").dropDuplicates(["node"])
 
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether the common elements of two sorted sets are so many percent of all."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
 def _confirm(p: Params):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,12 +161,7 @@ def _confirm(p: Params):
             keep = np.zeros(batch.num_rows, bool)
             for i in range(batch.num_rows):
                 a, b = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in (left, right))
-                if 100 * min(len(a), len(b)) < p.percent * max(len(a), len(b)):
-                    continue
-                both = np.concatenate([a, b])
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                keep[i] = 100 * common >= p.percent * (len(both) - common)
+                keep[i] = similar(a, b, p.percent)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
 
@@ -165,62 +170,113 @@ def _confirm(p: Params):
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     """The pairs (a, b) whose full sets are as similar as asked, written once."""
-    def side(name: str, frame: DataFrame, column: str) -> DataFrame:
-        return frame.select(F.col("node").alias(name), F.col(column).alias(f"{name}_{column}"))
-
     likely = pairs
     for name in ("a", "b"):
-        likely = likely.join(side(name, nodes, "sig"), name)
-    likely = settle(likely.where(equal_values(F.col("a_sig"), F.col("b_sig")) >= p.least).select("a", "b"), "likely")
+        likely = likely.join(nodes.select(F.col("node").alias(name), F.col("n").alias(f"{name}_n"), F.col("sig").alias(f"{name}_sig")), name)
+    sizes = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * p.percent
+    likely = settle(likely.where(sizes & (equal_values(F.col("a_sig"), F.col("b_sig")) >= p.least)).select("a", "b"), "likely")
     wanted = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
     sets = settle(_sets(docs, nodes.join(wanted, "node").select("node", "doc_id", "text_key"), p.k), "sets")
     both = likely
     for name in ("a", "b"):
-        both = both.join(side(name, sets, "elements"), name)
+        both = both.join(sets.select(F.col("node").alias(name), F.col("elements").alias(f"{name}_elements")), name)
     return settle(both.mapInArrow(_confirm(p), "a binary, b binary"), "confirmed")
 
 
-def _apart(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
-    """Likely pairs that share a bucket and are in different components.
+def _chunked(members: DataFrame) -> DataFrame:
+    """``members`` (key, node, root) dealt to bounded groups (key, i, j), written once.
 
-    In each bucket with more than one component, the members outside its largest one are
-    compared with all members of other components: chunk by chunk, inside tasks, on the packed
-    signatures. Chunks are bounded; a bucket of any size is spread over many.
+    In each bucket with more than one component, the members outside its largest one (``few``)
+    are to meet all members; both sides are dealt to chunks, and a group is a pair of chunks. A
+    bucket of any size is thus spread over many tasks. Only names are written here; signatures
+    and sets are joined to them afterwards.
     """
-    placed = buckets.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    counts = placed.groupBy("key", "root").agg(F.count("*").alias("members"))
+    counts = members.groupBy("key", "root").agg(F.count("*").alias("members"))
     mixed = counts.groupBy("key").agg(
-        F.count("*").alias("roots"), F.sum("members").alias("all"), F.max_by("root", F.struct("members", "root")).alias("main"),
-        F.max("members").alias("main_members"),
+        F.count("*").alias("roots"), F.sum("members").alias("all"), F.max(F.struct("members", "root")).alias("main"),
     ).where("roots > 1").select(
-        "key", "main", F.ceil(F.col("all") / LINKED_CHUNK).cast("int").alias("all_chunks"),
-        F.ceil((F.col("all") - F.col("main_members")) / LINKED_CHUNK).cast("int").alias("few_chunks"))
-    members = placed.join(mixed, "key").join(nodes.select("node", "sig"), "node")
+        "key", F.col("main.root").alias("main"), F.ceil(F.col("all") / CHUNK).cast("int").alias("all_chunks"),
+        F.ceil((F.col("all") - F.col("main.members")) / CHUNK).cast("int").alias("few_chunks"))
+    rows = members.join(settle(mixed, "mixed"), "key")
     chunk = F.pmod(F.xxhash64("node"), F.lit(1 << 30)).cast("int")
-    few = members.where(F.col("root") != F.col("main")).select(
+    few = rows.where(F.col("root") != F.col("main")).select(
         "key", (chunk % F.col("few_chunks")).alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("all_chunks") - 1)).alias("j"), F.lit(True).alias("few"), "node", "root", "sig")
-    every = members.select(
+        F.explode(F.sequence(F.lit(0), F.col("all_chunks") - 1)).alias("j"), F.lit(True).alias("few"), "node", "root")
+    every = rows.select(
         "key", F.explode(F.sequence(F.lit(0), F.col("few_chunks") - 1)).alias("i"),
-        (chunk % F.col("all_chunks")).alias("j"), F.lit(False).alias("few"), "node", "root", "sig")
-
-    def compare(group):
-        few_rows, all_rows = group[group.few], group[~group.few]
-        if not len(few_rows) or not len(all_rows):
-            return group.iloc[:0][["node"]].rename(columns={"node": "a"}).assign(b=[])
-        ours = np.stack([np.asarray(s, np.int64) for s in few_rows.sig]).view(np.uint8)
-        theirs = np.stack([np.asarray(s, np.int64) for s in all_rows.sig]).view(np.uint8)
-        a, b = [], []
-        other, roots = all_rows.node.to_numpy(), all_rows.root.to_numpy()
-        for row, node, root in zip(ours, few_rows.node, few_rows.root, strict=True):
-            x = theirs ^ row
-            equal = ((x & 15) == 0).sum(axis=1) + ((x >> 4) == 0).sum(axis=1)
-            for at in np.flatnonzero((equal >= p.least) & (roots != root)):
-                a.append(min(node, other[at]))
-                b.append(max(node, other[at]))
+        (chunk % F.col("all_chunks")).alias("j"), F.lit(False).alias("few"), "node", "root")
+    return settle(few.unionByName(every), "groups")
+
+
+def _likely(group, p: Params) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row that is one of the ``few``: the others of the group that may be linked to it.
+
+    Those are of another component, near in size and signature, and share no earlier band: a
+    pair that meets in several buckets is looked at in one.
+    """
+    few, rest = np.flatnonzero(group.few), np.flatnonzero(~group.few)
+    if not len(few) or not len(rest):
+        return
+    key, n, root = group.key.iloc[0], group.n.to_numpy(), group.root.to_numpy()
+    sig = np.stack([np.asarray(x, np.int64) for x in group.sig]).view(np.uint8)
+    bands = np.stack([np.asarray(x, np.int64) for x in group.bands])
+    for k in few:
+        x = sig[rest] ^ sig[k]
+        equal = ((x & 15) == 0).sum(axis=1) + ((x >> 4) == 0).sum(axis=1)
+        fits = (100 * np.minimum(n[rest], n[k]) >= p.percent * np.maximum(n[rest], n[k])) & (root[rest] != root[k])
+        at = rest[fits & (equal >= p.least)]
+        if len(at):
+            yield int(k), at[bands[k][(bands[at] == bands[k]).argmax(axis=1)] == key]
+
+
+def _apart(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, p: Params) -> DataFrame | None:
+    """Links (a, b) between nodes that share a bucket and are in different components so far.
+
+    Signatures say which members of a bucket may have such a link; those meet again with their
+    full sets. What is written is a link that joins two parts of a group, never all pairs.
+    """
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = settle(buckets.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
+    signed = nodes.select("node", "n", "sig", "bands")
+
+    def grouped(rows: DataFrame):
+        # the work of a group is not told by its bytes, so the groups are dealt to all tasks there are
+        return rows.repartition(tasks, "key", "i", "j").groupBy("key", "i", "j")
+
+    def suspects(group):
+        marked = np.zeros(len(group), bool)
+        for k, at in _likely(group, p):
+            marked[at] = True
+            marked[k] |= len(at) > 0
+        return group.loc[marked, ["key", "node"]]
+
+    found = grouped(_chunked(placed).join(signed, "node")).applyInPandas(suspects, "key long, node binary")
+    marked = settle(found.distinct(), "suspects")
+    if marked.isEmpty():
+        return None
+    wanted = nodes.join(marked.select("node").distinct(), "node").select("node", "doc_id", "text_key")
+    sets = settle(_sets(docs, wanted, p.k), "sets")
+
+    def links(group):
+        parent, a, b = {}, [], []
+
+        def top(x):
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        sets, names, roots = [np.frombuffer(e, np.uint64) for e in group.elements], group.node.to_numpy(), group.root.to_numpy()
+        for k, at in _likely(group, p):
+            for m in at:
+                one, two = top(roots[k]), top(roots[m])
+                if one != two and similar(sets[k], sets[m], p.percent):
+                    parent[one] = two
+                    a.append(names[k])
+                    b.append(names[m])
         return type(group)({"a": a, "b": b})
 
-    return few.unionByName(every).groupBy("key", "i", "j").applyInPandas(compare, "a binary, b binary").distinct()
+    again = _chunked(placed.join(marked, ["key", "node"]))
+    return settle(grouped(again.join(signed, "node").join(sets, "node")).applyInPandas(links, "a binary, b binary"), "links")
 
 
 def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -237,18 +293,18 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
         rows.where(F.col("node").isNotNull()).groupBy("node").agg(
             F.min("doc_id").alias("least_id"),
             F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_key")).alias("one"),
-            F.first("bands").alias("bands"), F.first("sig").alias("sig"),
-        ).select("node", "least_id", "one.doc_id", "one.text_key", "bands", "sig"), "nodes")
+            F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"),
+        ).select("node", "least_id", "one.doc_id", "one.text_key", "n", "bands", "sig"), "nodes")
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     hubs = keyed.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("hub")).where("members > 1")
-    buckets = settle(keyed.join(hubs.select("key", "hub"), "key"), "buckets")
+    hubs = settle(hubs.select("key", "hub"), "hubs")
+    buckets = settle(keyed.join(hubs, "key"), "buckets")
     stars = buckets.where(F.col("node") != F.col("hub")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = _confirmed(stars, nodes, docs, p)
     found = settle(components(links), "components")
-    rest = settle(_apart(buckets.select("key", "node"), found, nodes, p), "apart")
-    if not rest.isEmpty():
-        links = links.unionByName(_confirmed(rest.join(stars, ["a", "b"], "left_anti"), nodes, docs, p))
-        found = settle(components(links), "components")
+    more = _apart(buckets.select("key", "node"), found, nodes, docs, p)
+    if more is not None:
+        found = settle(components(links.unionByName(more)), "components")
     named = found.join(nodes.select("node", "least_id"), "node")
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     linked = found.join(least, "root").select("node", "component_id")
@@ -268,15 +324,16 @@ def op3_neardup(spark, sf_dir: str) -> DataFrame:
 def keep_one(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """``docs`` without the near duplicates of a document that stays, columns as they are.
 
-    Of rows that repeat an id, one stays. Rows without an id stay.
+    Of rows that repeat an id and its text, one stays. Rows without an id stay.
     """
+    mark = "_kept_by_near_duplicates"
     kept = near_duplicates(docs.select("doc_id", "text"), p)
-    kept = kept.where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left").where(
-        "doc_id is null or _kept is not null").drop("_kept")
-    repeated = docs.groupBy("doc_id").count().where("doc_id is not null and count > 1")
+    kept = kept.where("kept and doc_id is not null").select(F.col("doc_id").alias(mark)).distinct()
+    named = docs.join(kept, F.col("doc_id").cast("long") == F.col(mark), "left").where(
+        F.col("doc_id").isNull() | F.col(mark).isNotNull()).drop(mark)
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias(mark)).where(F.col("doc_id").isNotNull() & (F.col(mark) > 1))
+    repeated = settle(repeated.select(F.col("doc_id").alias(mark)), "repeated-ids")
     if repeated.isEmpty():
         return named
-    twice = named.join(repeated.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    once = named.join(repeated.select(F.col("doc_id").alias("_twice")), F.col("doc_id") == F.col("_twice"), "left_anti")
-    return once.unionByName(twice)
+    same = F.col("doc_id") == F.col(mark)
+    return named.join(repeated, same, "left_anti").unionByName(named.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
