@@ -26,32 +26,34 @@ class Params:
     slices: int = 4
 
 
-def _hashed(docs: DataFrame) -> DataFrame:
-    """(text_key, words): the hash of every word of every text."""
-    return docs.select(F.xxhash64("text").alias("text_key"), F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"))
+def hashed(docs: DataFrame) -> DataFrame:
+    """(text_key, words): the hash of every word of every text, written once.
+
+    Words recur, so a file's dictionary is let grow to hold most of a task's words.
+    """
+    made = docs.select(F.xxhash64("text").alias("text_key"), F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"))
+    return settle(made, "hashed", **{"parquet.dictionary.page.size": 16 << 20})
 
 
-def _pairs(ws: Column) -> Column:
-    n = F.greatest(F.size(ws) - 1, F.lit(0))
-    return F.zip_with(F.slice(ws, F.lit(1), n), F.slice(ws, F.lit(2), n), lambda a, b: F.struct(a.alias("one"), b.alias("two")))
+def _tokens(texts: DataFrame) -> DataFrame:
+    """(text_key, at, one, two): every word's hash after that of the word before it, null for the first."""
+    rows = texts.select("text_key", "words", F.posexplode("words").alias("at", "two"))
+    before = F.when(F.col("at") > 0, F.get("words", F.col("at") - 1))
+    return rows.select("text_key", "at", before.alias("one"), "two")
 
 
 def _slice(key: Column, p: Params) -> Column:
     return F.pmod(F.shiftright(key, 32), F.lit(p.slices))
 
 
-
-
-
-def word_table(docs: DataFrame) -> DataFrame:
+def word_table(texts: DataFrame) -> DataFrame:
     """(key, count) of every word of the corpus."""
-    return _hashed(docs).select(F.explode("words").alias("key")).groupBy("key").agg(F.count("*").alias("count"))
+    return texts.select(F.explode("words").alias("key")).groupBy("key").agg(F.count("*").alias("count"))
 
 
-def pair_table(docs: DataFrame, which: int, counts: DataFrame, total: int, p: Params) -> DataFrame:
+def pair_table(texts: DataFrame, which: int, counts: DataFrame, total: int, p: Params) -> DataFrame:
     """(key, value) of the frequent pairs of one slice: their score above that of backing off."""
-    pairs = _hashed(docs).select(F.explode(_pairs(F.col("words"))).alias("pair")).select("pair.one", "pair.two")
-    pairs = pairs.withColumn("key", F.xxhash64("one", "two")).where(_slice(F.col("key"), p) == which)
+    pairs = _tokens(texts).where("at > 0").withColumn("key", F.xxhash64("one", "two")).where(_slice(F.col("key"), p) == which)
     seen = pairs.groupBy("key").agg(F.count("*").alias("count"), F.first("one").alias("one"), F.first("two").alias("two"))
     seen = seen.where(F.col("count") >= p.least)
     for side in ("one", "two"):
@@ -65,15 +67,17 @@ def scores(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
     Both grow with the number of copies, so their ratio does not.
     """
-    counts = settle(word_table(docs), "words")
+    texts = hashed(docs)
+    counts = settle(word_table(texts), "words")
     total = counts.agg(F.sum("count")).first()[0] or 1
     single = counts.select("key", (F.log("count") - math.log(total)).alias("value"), F.lit(1).alias("n"))
     parts = []
     for which in range(p.slices):
-        pairs = pair_table(docs, which, counts, total, p).withColumn("n", F.lit(0))
+        pairs = pair_table(texts, which, counts, total, p).withColumn("n", F.lit(0))
         table = settle(single.where(_slice(F.col("key"), p) == which).unionByName(pairs), "table")
-        keys = F.concat("words", F.transform(_pairs(F.col("words")), lambda x: F.xxhash64(x["one"], x["two"])))
-        rows = _hashed(docs).select("text_key", F.explode(keys).alias("key")).where(_slice(F.col("key"), p) == which)
+        pair = F.when(F.col("at") > 0, F.xxhash64("one", "two"))
+        rows = _tokens(texts).select("text_key", F.explode(F.array("two", pair)).alias("key"))
+        rows = rows.where(F.col("key").isNotNull() & (_slice(F.col("key"), p) == which))
         sums = rows.join(table, "key").groupBy("text_key").agg(F.sum("value").alias("sum"), F.sum("n").alias("n"))
         parts.append(settle(sums, "sums"))
     return reduce(DataFrame.unionByName, parts).groupBy("text_key").agg(F.sum("sum").alias("sum"), F.sum("n").alias("n"))
