@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark import session
+from tidemark.session import new_path
 
 WORDS = r"[ \t-\r]+"  # what lies between words, for split()
 FOLDS = 5
@@ -28,7 +28,7 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORDS), lambda w: w != "")
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+def settle(df: DataFrame, name: str, **options) -> DataFrame:
     """``df`` written once to the shared folder and read again; its shuffle files go at once.
 
     Until the table is complete they stay, so that a lost executor costs its own tasks only.
@@ -37,7 +37,9 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     before = conf.get(CLEANUP, "false")
     conf.set(CLEANUP, "true")
     try:
-        return session.settle(df, name)
+        path = new_path(df.sparkSession, name)
+        df.write.options(**options).parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     finally:
         conf.set(CLEANUP, before)
 
