@@ -115,6 +115,19 @@ def test_pii_leaves_plain_texts_alone():
         assert pii.rewrite(text, {}) == (text, 0)
 
 
+def test_masked_values_are_no_secrets():
+    for text in ("password: ********", "Token:\n==========", "secret: ........."):
+        assert pii.rewrite(text, {}) == (text, 0)
+    assert pii.rewrite("password: *******7", {})[1] == 1
+
+
+def test_surrogates_grow_until_one_is_free():
+    for kind, entity in (("email", "_@_.org"), ("secret", "*******7"), ("secret", "********"), ("phone", "1234")):
+        drawn = [pii.surrogate(kind, entity, k) for k in range(40)]
+        assert len(set(drawn[-30:])) == 30 and entity not in drawn[-30:]
+        assert pii.shaped(kind, entity, drawn[-1]) == drawn[-1]
+
+
 def test_redrawn_surrogates_differ():
     for kind, entity in (("family", "smith"), ("given_f", "anna"), ("email", "a@b.org"), ("phone", "10175557713"), ("ip", "1.2.3.4")):
         assert len({pii.surrogate(kind, entity, k) for k in range(4)}) >= 3

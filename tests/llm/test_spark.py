@@ -168,6 +168,13 @@ def test_surrogates_are_distinct_and_coherent(spark, docs, empty):
     assert pii.with_surrogates(empty).count() == 0
 
 
+def test_surrogates_end_where_few_or_none_are_free(spark):
+    texts = ["password: ********", "Token:\n==========", "ask _@_.org or __@-.net"] + [f"secret: *******{k}" for k in range(10)]
+    made = [r.text for r in pii.surrogates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert made[:2] == texts[:2] and "_@_.org" not in made[2].split() and "__@-.net" not in made[2].split()
+    assert len(set(made[3:])) == 10 and not set(made[3:]) & set(texts)
+
+
 def test_tokens_round_trip(docs, empty):
     got = docs.select("doc_id", "text", tokens.encoded(docs).alias("m")).select("doc_id", "text", "m.*")
     for r in got.withColumn("back", tokens.texts(got)).collect():

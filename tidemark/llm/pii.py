@@ -65,6 +65,14 @@ CUES = frozenset(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES + MALE + FEMALE + MA
 GENDER = dict.fromkeys(MALE_TITLES + MALE + MALE_CYRILLIC, "m") | dict.fromkeys(FEMALE_TITLES + FEMALE + FEMALE_CYRILLIC, "f")
 
 
+LONGER = 4  # from this attempt on, surrogates that keep a mention's form grow, so that a free one always exists
+
+
+def _moves(text: str) -> bool:
+    """Whether a text has a digit or letter, without which there is nothing to hide."""
+    return any(c in "0123456789" or unicodedata.category(c)[0] == "L" for c in text)
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, type) of the entities of a text, in order and apart."""
     found: list[tuple[int, int, str]] = []
@@ -77,7 +85,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
                 found.append((at - len(local), host.end(), "email"))
         at = text.find("@", at + 1)
     if "=" in text or ":" in text:
-        found += [(*m.span("secret"), "secret") for m in SECRET.finditer(text)]
+        found += [(*m.span("secret"), "secret") for m in SECRET.finditer(text) if _moves(m["secret"])]  # not masks or ruled lines
     if "AKIA" in text or "sk-" in text or "_" in text:
         found += [(*m.span("secret"), "secret") for m in KEYLIKE.finditer(text)]
     if TWO_DIGITS.search(text):
@@ -149,6 +157,7 @@ def _rest_97(iban: str) -> int:
 def surrogate(kind: str, entity: str, attempt: int = 0, key: str = KEY) -> str:
     """The plain form that stands for an entity."""
     stream = _numbers(key, kind, entity, attempt)
+    longer = max(0, attempt + 1 - LONGER)
     cyrillic = "CYRILLIC" in unicodedata.name(entity[0], "") if entity else False
     if kind == "ip":
         return ".".join(str(1 + _pick(stream, 254)) for _ in range(4))
@@ -167,7 +176,7 @@ def surrogate(kind: str, entity: str, attempt: int = 0, key: str = KEY) -> str:
         return next(body + d for d in "0123456789" if not _luhn(body + d))
     if kind == "phone":
         code = max(0, len(entity) - 10)
-        return entity[:code] + "".join(_like(c, stream) for c in entity[code:])
+        return entity[:code] + "".join(_like(c, stream) for c in entity[code:] + "0" * longer)
     if kind == "iban":
         body = "".join(_like(c, stream) for c in entity[4:])
         if _rest_97(entity) != 1:
@@ -176,10 +185,10 @@ def surrogate(kind: str, entity: str, attempt: int = 0, key: str = KEY) -> str:
     if kind == "email":
         name, _, host = entity.rpartition("@")
         labels, _, top = host.rpartition(".")
-        return "".join(_like(c, stream) for c in f"{name}@{labels}") + f".{top}"
+        return "".join(_like(c, stream) for c in f"{name}{'a' * longer}@{labels}") + f".{top}"
     if kind == "secret" and HEXADECIMAL.fullmatch(entity):
-        return "".join("0123456789abcdef"[_pick(stream, 16)] for _ in entity)
-    return "".join(_like(c, stream) for c in entity)
+        return "".join("0123456789abcdef"[_pick(stream, 16)] for _ in range(len(entity) + longer))
+    return "".join(_like(c, stream) for c in entity + ("a" * longer if kind == "secret" else ""))
 
 
 def shaped(kind: str, mention: str, drawn: str) -> str:
@@ -187,7 +196,7 @@ def shaped(kind: str, mention: str, drawn: str) -> str:
     if kind in ("phone", "card", "ssn", "iban"):
         left = iter(drawn)
         gaps = " " if kind == "iban" else None
-        return "".join((c if c == gaps else next(left)) if gaps else (next(left) if c in "0123456789" else c) for c in mention)
+        return "".join((c if c == gaps else next(left)) if gaps else (next(left) if c in "0123456789" else c) for c in mention) + "".join(left)
     if kind == "family" or kind.startswith("given"):
         return drawn.upper() if mention.isupper() and len(mention) > 1 else "-".join(p.capitalize() for p in drawn.split("-"))
     if kind == "email" and len(mention) == len(drawn):
