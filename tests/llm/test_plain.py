@@ -128,6 +128,24 @@ def test_surrogates_grow_until_one_is_free():
         assert pii.shaped(kind, entity, drawn[-1]) == drawn[-1]
 
 
+@pytest.mark.parametrize("name", ["Παπαδόπουλος", "الخطيب", "כהןלוי", "शर्मा", "王小明", "გიორგაძე", "Հակոբյան", "สมชาย", "김민수", "さくら"])
+def test_names_keep_their_script(name):
+    text = f"Dr. {name}, Mrs {name} {name}."
+    made, n = pii.rewrite(text, {})
+    words = re.findall(r"[^ .,]+", made)
+    assert n == 3 and len(words) == 5 and (words[0], words[2]) == ("Dr", "Mrs")
+    for word in (words[1], words[3], words[4]):
+        assert word != name and len(word) == len(name)
+        assert [pii._script(c) for c in word] == [pii._script(c) for c in name]
+    assert words[1] == words[4]
+
+
+def test_long_addresses_are_replaced_whole():
+    local = "jane.doe." * 12 + "z"
+    made, n = pii.rewrite(f"to {local}@mail.example.com now", {})
+    assert n == 1 and "jane" not in made and made.startswith("to ") and made.endswith(".com now")
+
+
 def test_redrawn_surrogates_differ():
     for kind, entity in (("family", "smith"), ("given_f", "anna"), ("email", "a@b.org"), ("phone", "10175557713"), ("ip", "1.2.3.4")):
         assert len({pii.surrogate(kind, entity, k) for k in range(4)}) >= 3

@@ -39,7 +39,7 @@ ROOTS_CYRILLIC = ("Бел", "Вол", "Гор", "Дан", "Зим", "Кар", "
 ENDS_CYRILLIC = ("ев", "енко", "ин", "ов", "овский", "ский", "ук", "ян")
 
 EMAIL_HOST = re.compile(r"[\w-]+(?:\.[\w-]+)+")
-EMAIL_NAME = re.compile(r"[^\s@<>()\[\]{},;:\"'|=]+$")
+EMAIL_STOP = re.compile(r"[\s@<>()\[\]{},;:\"'|=]")
 NUMBER = re.compile(
     r"(?<![\w.])(?:"
     r"(?P<ip>(?:[0-9]{1,3}\.){3}[0-9]{1,3})(?!\w|\.[0-9])"
@@ -54,7 +54,9 @@ SECRET = re.compile(
     r"(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key)[\"']?\s*[=:]\s*[\"']?(?P<secret>[^\s\"',;]{8,})")
 KEYLIKE = re.compile(r"(?<!\w)(?P<secret>AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9_-]{20,})")
 HEXADECIMAL = re.compile("[0-9a-f]+")
-_NAME = r"[^\W\d_a-zà-ÿа-яё][\w'’-]+"
+# marks that letters of many scripts carry, and the joiners between them; they belong to a name as its letters do
+_MARKS = "".join(c for c in map(chr, range(0x300, 0x10000)) if unicodedata.category(c)[0] == "M") + "\u200c\u200d"
+_NAME = rf"[^\W\d_a-zà-ÿа-яё][\w{_MARKS}'’-]+"
 _TITLES = "|".join(sorted(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES, key=len, reverse=True))
 _GIVEN = "|".join(sorted(MALE + FEMALE + MALE_CYRILLIC + FEMALE_CYRILLIC, key=len, reverse=True))
 # without a word border in front, so that the search runs along capitals only; find() looks at what is before
@@ -78,9 +80,12 @@ def find(text: str) -> list[tuple[int, int, str]]:
     found: list[tuple[int, int, str]] = []
     at = text.find("@")
     while at >= 0:
-        name, host = EMAIL_NAME.search(text[max(0, at - 64) : at]), EMAIL_HOST.match(text, at + 1)
-        if name and host:
-            local = name.group().lstrip(".")
+        host = EMAIL_HOST.match(text, at + 1)
+        if host:
+            start = at
+            while start and not EMAIL_STOP.match(text, start - 1):
+                start -= 1
+            local = text[start:at].lstrip(".")
             if local:
                 found.append((at - len(local), host.end(), "email"))
         at = text.find("@", at + 1)
@@ -146,6 +151,21 @@ def _like(char: str, stream: Iterator[int]) -> str:
     return near[_pick(stream, len(near))]
 
 
+def _script(char: str) -> str:
+    return unicodedata.name(char, "").split(" ")[0].split("-")[0]
+
+
+def _name_like(name: str, stream: Iterator[int]) -> str:
+    """A name of letters from the block and script of each letter; marks and all else as they are."""
+    out = []
+    for char in name:
+        kind, script, low = unicodedata.category(char), _script(char), ord(char) & ~31
+        near = [c for c in map(chr, range(low, low + 32))
+                if kind[0] == "L" and unicodedata.category(c) == kind and _script(c) == script and "SYMBOL" not in unicodedata.name(c)]
+        out.append(near[_pick(stream, len(near))] if near else char)
+    return "".join(out)
+
+
 def _luhn(digits: str) -> int:
     return sum(sum(divmod(int(d) * (1 + k % 2), 10)) for k, d in enumerate(reversed(digits))) % 10
 
@@ -158,9 +178,13 @@ def surrogate(kind: str, entity: str, attempt: int = 0, key: str = KEY) -> str:
     """The plain form that stands for an entity."""
     stream = _numbers(key, kind, entity, attempt)
     longer = max(0, attempt + 1 - LONGER)
-    cyrillic = "CYRILLIC" in unicodedata.name(entity[0], "") if entity else False
+    script = _script(entity[0]) if entity else ""
+    cyrillic = script == "CYRILLIC"
     if kind == "ip":
         return ".".join(str(1 + _pick(stream, 254)) for _ in range(4))
+    if (kind == "family" or kind.startswith("given")) and script not in ("LATIN", "CYRILLIC", ""):
+        last = next((c for c in reversed(entity) if unicodedata.category(c)[0] == "L"), entity[-1])
+        return _name_like(entity + last * longer, stream)
     if kind == "family":
         roots, ends = (ROOTS_CYRILLIC, ENDS_CYRILLIC) if cyrillic else (ROOTS, ENDS)
         inner = "".join(roots[_pick(stream, len(roots))].lower() for _ in range(1 + min(attempt, 6)))
