@@ -288,6 +288,29 @@ def test_backoff_is_that_of_plain_counts(docs, empty):
     assert backoff.score(empty).count() == 0
 
 
+@pytest.mark.parametrize("order, least", [(3, 1), (3, 2), (2, 1), (4, 1), (1, 1)])
+def test_backoff_of_any_order_is_that_of_plain_counts(spark, docs, empty, order, least):
+    import math
+    from collections import Counter
+
+    texts = [WORD.findall(t or "") for _, t in awkward()]
+    seen = Counter(tuple(t[i : i + n]) for t in texts for n in range(1, order + 1) for i in range(len(t) - n + 1))
+    total = sum(map(len, texts))
+
+    def word(gram):
+        if len(gram) == 1:
+            return math.log(seen[gram] / total)
+        return math.log(seen[gram] / seen[gram[:-1]]) if seen[gram] >= least else math.log(0.4) + word(gram[1:])
+
+    p = backoff.Params(order=order, least=least, slices=2)
+    got = sorted((str((r.doc_id, r.n_words)), r.lm_score) for r in backoff.score(docs, p).collect())
+    want = [(str((i, len(ws))), sum(word(tuple(ws[max(0, k + 1 - order) : k + 1])) for k in range(len(ws))) / len(ws) if ws else None)
+            for (i, _), ws in zip(awkward(), texts, strict=True)]
+    for (a, x), (b, y) in zip(sorted(got, key=str), sorted(want, key=str), strict=True):
+        assert a == b and (x is None) == (y is None) and (x is None or abs(x - y) < 2e-6)
+    assert (backoff.WHOLE.order, backoff.WHOLE.least) == (3, 1)
+
+
 def test_neighbours_over_odd_vectors(spark):
     rng = random.Random(3)
     made = [(k, [rng.gauss(0, 1) for _ in range(8)], k) for k in range(600)]

@@ -1,10 +1,16 @@
 """Language-model scores with stupid backoff, computed by joins.
 
-A word pair seen at least ``least`` times scores the log of its count over its first word's; any
-other pair backs off to ``alpha`` times the second word's share. Backed-off scores of single
-words and, for frequent pairs, what they score above that, are rows of one table keyed by the
-n-gram's hash. Texts are exploded to the same keys, joined and summed. The key space is worked
-through in ``slices``, one after the other, which divides the space that shuffles take.
+A word scores the log of an n-gram's count over its first n - 1 words' count, for the longest
+n-gram, up to ``order`` words ending there, that is seen at least ``least`` times; each word that
+the context is cut by costs a factor ``alpha``; a single word scores its share of all words.
+Backed-off scores of single words and, for frequent n-grams, what they score above that, are rows
+of one table keyed by the n-gram's hash. Texts are exploded to the same keys, joined and summed.
+The key space is worked through in ``slices``, one after the other, which divides the space that
+shuffles take.
+
+With ``least`` 1 every n-gram of the texts is seen, so nothing backs off and a text's scores
+telescope: the logs of its n-grams of ``order`` words, less those of one word fewer between them.
+N-grams seen once have the log 0 and need no row.
 """
 
 from __future__ import annotations
@@ -21,11 +27,15 @@ from tidemark.llm.common import documents, settle, words
 
 @dataclass(frozen=True)
 class Params:
+    order: int = 2  # words of the longest n-gram
     alpha: float = 0.4
-    least: int = 2  # times that a pair must be seen
+    least: int = 2  # times that an n-gram of two words or more must be seen
     slices: int = 4
 
 
+WHOLE = Params(order=3, least=1, slices=6)  # no n-gram pruned
+
+
 def hashed(docs: DataFrame) -> DataFrame:
     """(text_key, words): the hash of every word of every text, written once.
 
@@ -36,29 +46,37 @@ def hashed(docs: DataFrame) -> DataFrame:
 
 
 def _tokens(texts: DataFrame) -> DataFrame:
-    """(text_key, at, one, two): every word's hash after that of the word before it, null for the first."""
-    rows = texts.select("text_key", "words", F.posexplode("words").alias("at", "two"))
-    before = F.when(F.col("at") > 0, F.get("words", F.col("at") - 1))
-    return rows.select("text_key", "at", before.alias("one"), "two")
+    """(text_key, words, at, word): every word's hash and place."""
+    return texts.select("text_key", "words", F.posexplode("words").alias("at", "word"))
+
+
+def _gram(first: int, last: int = 0) -> Column:
+    """The key of the n-gram from ``first`` to ``last`` words before a place; null where the text begins later."""
+    words = [F.get("words", F.col("at") - k) for k in range(first, last - 1, -1)]
+    return F.when(F.col("at") >= first, F.xxhash64(*words) if len(words) > 1 else words[0])
 
 
 def _slice(key: Column, p: Params) -> Column:
     return F.pmod(F.shiftright(key, 32), F.lit(p.slices))
 
 
-def word_table(texts: DataFrame) -> DataFrame:
-    """(key, count) of every word of the corpus."""
-    return texts.select(F.explode("words").alias("key")).groupBy("key").agg(F.count("*").alias("count"))
+def gram_counts(texts: DataFrame, n: int) -> DataFrame:
+    """(key, count) of every n-gram of the corpus."""
+    keys = texts.select(F.explode("words").alias("key")) if n == 1 else _tokens(texts).select(_gram(n - 1).alias("key")).where("key is not null")
+    return keys.groupBy("key").agg(F.count("*").alias("count"))
 
 
-def pair_table(texts: DataFrame, which: int, counts: DataFrame, total: int, p: Params) -> DataFrame:
-    """(key, value) of the frequent pairs of one slice: their score above that of backing off."""
-    pairs = _tokens(texts).where("at > 0").withColumn("key", F.xxhash64("one", "two")).where(_slice(F.col("key"), p) == which)
-    seen = pairs.groupBy("key").agg(F.count("*").alias("count"), F.first("one").alias("one"), F.first("two").alias("two"))
-    seen = seen.where(F.col("count") >= p.least)
-    for side in ("one", "two"):
-        seen = seen.join(counts.select(F.col("key").alias(side), F.col("count").alias(f"{side}_count")), side)
-    above = F.log("count") - F.log("one_count") - math.log(p.alpha) - (F.log("two_count") - math.log(total))
+def gram_table(texts: DataFrame, n: int, which: int, counts: dict[int, DataFrame], total: int, p: Params) -> DataFrame:
+    """(key, value) of the frequent n-grams of one slice: their score above that of backing off."""
+    parts = {"before": _gram(n - 1, 1), "after": _gram(n - 2)} | ({"between": _gram(n - 2, 1)} if n > 2 else {})
+    grams = _tokens(texts).select(_gram(n - 1).alias("key"), *[c.alias(k) for k, c in parts.items()])
+    grams = grams.where(F.col("key").isNotNull() & (_slice(F.col("key"), p) == which))
+    seen = grams.groupBy("key").agg(F.count("*").alias("count"), *[F.first(k).alias(k) for k in parts]).where(F.col("count") >= p.least)
+    for side in parts:
+        of = counts[n - 2 if side == "between" else n - 1]
+        seen = seen.join(of.select(F.col("key").alias(side), F.col("count").alias(f"{side}_count")), side)
+    context = F.log("between_count") if n > 2 else F.lit(math.log(total))
+    above = F.log("count") - F.log("before_count") - math.log(p.alpha) - (F.log("after_count") - context)
     return seen.select("key", above.alias("value"))
 
 
@@ -67,22 +85,64 @@ def scores(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
     Both grow with the number of copies, so their ratio does not.
     """
+    if p.least <= 1:
+        return whole_scores(docs, p)
     texts = hashed(docs)
-    counts = settle(word_table(texts), "words")
-    total = counts.agg(F.sum("count")).first()[0] or 1
-    single = counts.select("key", (F.log("count") - math.log(total)).alias("value"), F.lit(1).alias("n"))
+    counts = {n: settle(gram_counts(texts, n), "words") for n in range(1, max(2, p.order))}
+    total = counts[1].agg(F.sum("count")).first()[0] or 1
+    single = counts[1].select("key", (F.log("count") - math.log(total)).alias("value"), F.lit(1).alias("n"))
     parts = []
     for which in range(p.slices):
-        pairs = pair_table(texts, which, counts, total, p).withColumn("n", F.lit(0))
-        table = settle(single.where(_slice(F.col("key"), p) == which).unionByName(pairs), "table")
-        pair = F.when(F.col("at") > 0, F.xxhash64("one", "two"))
-        rows = _tokens(texts).select("text_key", F.explode(F.array("two", pair)).alias("key"))
+        table = single.where(_slice(F.col("key"), p) == which)
+        for n in range(2, p.order + 1):
+            table = table.unionByName(gram_table(texts, n, which, counts, total, p).withColumn("n", F.lit(0)))
+        table = settle(table, "table")
+        rows = _tokens(texts).select("text_key", F.explode(F.array("word", *[_gram(n - 1) for n in range(2, p.order + 1)])).alias("key"))
         rows = rows.where(F.col("key").isNotNull() & (_slice(F.col("key"), p) == which))
         sums = rows.join(table, "key").groupBy("text_key").agg(F.sum("value").alias("sum"), F.sum("n").alias("n"))
         parts.append(settle(sums, "sums"))
     return reduce(DataFrame.unionByName, parts).groupBy("text_key").agg(F.sum("sum").alias("sum"), F.sum("n").alias("n"))
 
 
+def whole_scores(docs: DataFrame, p: Params) -> DataFrame:
+    """As ``scores``, where every n-gram is seen: ``sum`` is without the logs of ``alpha`` that ``score`` takes away again."""
+    texts = hashed(docs)
+    sizes = settle(texts.groupBy("text_key").agg(F.count("*").alias("copies"), F.first(F.size("words")).cast("long").alias("words")), "sizes")
+    total = sizes.agg(F.sum(F.col("copies") * F.col("words"))).first()[0] or 1
+    size = F.size("words")
+    # what a text's n-grams count by: those of order words 1, those one shorter between them -1, the whole of a short text 1
+    terms = [F.struct(_gram(p.order - 1).alias("key"), F.lit(1).alias("sign"))]
+    if p.order > 1:
+        between = (F.col("at") >= p.order - 1) & (F.col("at") < size - 1)
+        terms.append(F.struct(F.when(between, _gram(p.order - 2)).alias("key"), F.lit(-1).alias("sign")))
+    for n in range(1, p.order):
+        terms.append(F.struct(F.when((size == n) & (F.col("at") == n - 1), _gram(n - 1)).alias("key"), F.lit(1).alias("sign")))
+    # all n-grams that are counted: a text's first of one word fewer is the context of its first of order words, not a term
+    counted = [_gram(p.order - 1)] + ([_gram(p.order - 2)] if p.order > 1 else [])
+    short = settle(texts.where((size > 0) & (size < p.order - 1)), "short") if p.order > 2 else None
+    lengths = sorted(r[0] for r in short.select(size).distinct().collect()) if short is not None else []
+    parts = []
+    for which in range(p.slices):
+        keys = _tokens(texts).select(F.explode(F.array(*counted, *[_gram(n - 1) for n in lengths])).alias("key"))
+        keys = keys.where(F.col("key").isNotNull() & (_slice(F.col("key"), p) == which))
+        seen = keys.groupBy("key").agg(F.count("*").alias("count")).where("count > 1")  # the log of 1 is 0
+        table = settle(seen.select("key", F.log("count").alias("value")), "table")
+        rows = _tokens(texts).select("text_key", F.explode(F.array(*terms)).alias("t")).select("text_key", "t.key", "t.sign")
+        rows = rows.where(F.col("key").isNotNull() & (_slice(F.col("key"), p) == which))
+        sums = rows.join(table, "key").groupBy("text_key").agg(F.sum(F.col("sign") * F.col("value")).alias("sum"))
+        parts.append(settle(sums, "sums"))
+    found = reduce(DataFrame.unionByName, parts).groupBy("text_key").agg(F.sum("sum").alias("sum"))
+    n = F.col("copies") * F.col("words")
+    shares = F.lit(1) if p.order > 1 else F.col("words")  # words scored by their share of all words
+    whole = F.coalesce("sum", F.lit(0.0)) - F.col("copies") * (shares * math.log(total) + _cuts(F.col("words"), p) * math.log(p.alpha))
+    return sizes.where("words > 0").join(found, "text_key", "left").select("text_key", whole.alias("sum"), n.alias("n"))
+
+
+def _cuts(n_words: Column, p: Params) -> Column:
+    """Words by which the contexts of all words of a text are cut where each is scored alone."""
+    return reduce(Column.__add__, [F.greatest(n_words - k, F.lit(0)) for k in range(1, p.order)], F.lit(0))
+
+
 def score(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """doc_id, n_words and lm_score, the mean natural log of a word's score, for every row.
 
@@ -90,11 +150,16 @@ def score(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """
     found = settle(scores(docs, p), "scores")
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.size(words(F.col("text"))).cast("long").alias("n_words"))
-    back = (F.col("n_words") - 1) * math.log(p.alpha) / F.col("n_words")
+    back = _cuts(F.col("n_words"), p) * math.log(p.alpha) / F.col("n_words")
     return rows.join(found, "text_key", "left").select(
         "doc_id", "n_words", F.when(F.col("n_words") > 0, F.round(F.col("sum") / F.col("n") + back, 6)).alias("lm_score"))
 
 
+def op8_backoff_whole(spark, sf_dir: str) -> DataFrame:
+    """Every document scored by a model of word triples of all documents, none pruned."""
+    return score(documents(spark, sf_dir).select("doc_id", "text"), WHOLE)
+
+
 def op8_backoff(spark, sf_dir: str) -> DataFrame:
-    """Every document scored by a model of all documents."""
+    """Every document scored by a model of the word pairs of all documents that are seen twice, as its SQL has it."""
     return score(documents(spark, sf_dir).select("doc_id", "text"))

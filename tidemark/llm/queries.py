@@ -13,6 +13,7 @@ QUERIES = {
     "op6_bpe": tokens.op6_bpe,
     "op7_pii": pii.op7_pii,
     "op8_backoff": backoff.op8_backoff,
+    "op8_backoff_whole": backoff.op8_backoff_whole,
     "op9_mixing": mixing.op9_mixing,
     "op10_neighbours": neighbours.op10_neighbours,
 }
