@@ -238,6 +238,16 @@ def test_rules_are_those_of_plain_code(docs, empty, labels):
     assert set(rules.ratios(docs, labels.limit(0))) == {0} and rules.judge(empty, [0] * 65536).count() == 0
 
 
+def test_rules_learn_from_every_good_label(spark):
+    docs = spark.range(10_500).select(F.col("id").alias("doc_id"), F.lit("good").alias("text"))
+    docs = docs.unionByName(spark.range(20_000, 20_500).select(F.col("id").alias("doc_id"), F.lit("poor").alias("text")))
+    table = rules.ratios(docs, spark.range(10_500).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality")))
+    import math
+
+    want = round(1e6 * math.log(10_501 * (11_000 + 65_536) / ((10_500 + 65_536) * 10_501)))
+    assert abs(table[zlib.crc32(b"good") % 65_536] - want) <= 1
+
+
 def test_passages_are_those_of_all_windows(docs, empty):
     from test_plain import _covered
 

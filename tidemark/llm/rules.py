@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, settle, words
+from tidemark.llm.common import documents, settle, small, words
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -23,10 +23,9 @@ WINDOW = 8  # words
 
 @dataclass(frozen=True)
 class Params:
-    """The target is at most ``target_rows`` documents labelled good, those of the smallest MD5 of their id."""
+    """The target is every document labelled good."""
 
     buckets: int = 65_536
-    target_rows: int = 10_000
     least_ratio: int = -100_000  # millionths per n-gram
     least_words: int = 20
     most_repeated: int = 30  # percent of words in repeated windows
@@ -85,9 +84,8 @@ def ratios(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> list[int
 
     With no target, or an empty corpus, no bucket tells anything and all are 0.
     """
-    key = F.md5(F.col("doc_id").cast("string"))
-    few = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct().orderBy(key, "doc_id").limit(p.target_rows)
-    target = F.broadcast(few.withColumn("_target", F.lit(1)))  # target_rows ids at most
+    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    target = small(good.withColumn("_target", F.lit(1)))  # shuffled by id where they are many
     rows = docs.select("doc_id", words(F.col("text")).alias("_ws")).join(target, "doc_id", "left")
     grams = rows.select("_target", F.explode(F.concat("_ws", pairs(F.col("_ws")))).alias("gram"))
     counts = settle(grams.groupBy(bucket(F.col("gram"), p.buckets).cast("int").alias("bucket")).agg(
