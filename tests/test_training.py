@@ -159,3 +159,9 @@ def test_stack_and_feature_columns(planted):
     stacked = sampling.stack(planted, planted.drop("noise"))
     assert stacked.count() == 800
     assert sampling.feature_columns(stacked) == ["signal", "noise", "holes"]
+
+
+def test_queries_train_no_less_than_before():
+    from tidemark.queries import QUICK
+
+    assert QUICK.rounds >= 4 and QUICK.max_depth >= 3 and QUICK.max_bins >= 32
