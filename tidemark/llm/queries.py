@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import backoff, language, mixing, neardup, neighbours, passages, pii, quality, rules, tokens
+from tidemark.llm import backoff, language, lexical, mixing, neardup, neighbours, passages, pii, quality, rules, tokens, urls
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_backoff_whole": backoff.op8_backoff_whole,
     "op9_mixing": mixing.op9_mixing,
     "op10_neighbours": neighbours.op10_neighbours,
+    "op11_urls": urls.op11_urls,
+    "op12_lexical": lexical.op12_lexical,
 }
 
 NEARDUP = r"""
@@ -162,7 +164,75 @@ x AS (
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, round(score, 6) AS lm_score FROM d LEFT JOIN x USING (row)
 """
 
+# every combination of a labelled URL's frequent tokens, counted outright
+URLS = r"""
+WITH u AS (
+  SELECT page_id, url, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(coalesce(url, ''), '(?s)://[^?#]*(.*)', 1) AS rest
+  FROM pages),
+w AS (
+  SELECT *, list_transform(['h:' || host, 'p:' || path, 'q:' || rest], lambda t: list_transform(list_filter(string_split_regex(
+    regexp_replace(translate(substr(t, 3), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g'),
+    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> ''), lambda x: substr(t, 1, 2) || x)) AS parts FROM u),
+p AS (SELECT row_number() OVER () AS row, page_id, url, host, path, list_distinct(flatten(parts)) AS tokens FROM w),
+known AS (
+  SELECT doc_id, bool_or(coalesce(quality = 0, false) OR coalesce(toxic = 1, false)) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+l AS (
+  SELECT row, tokens, bad FROM p JOIN known ON known.doc_id = try_cast(regexp_extract(path, '^/[^/]*/([0-9]{1,18})', 1) AS BIGINT) WHERE url IS NOT NULL),
+least AS (SELECT greatest(CAST(ceil(0.002::DOUBLE * count(*)) AS BIGINT), 3) AS least FROM l),
+t AS (SELECT row, bad, unnest(tokens) AS token FROM l),
+f AS (SELECT token, count(*) AS n FROM t GROUP BY token HAVING count(*) >= (SELECT least FROM least)),
+k AS (
+  SELECT row, bad, list_sort(list(token)) AS items
+  FROM (SELECT row, bad, token, row_number() OVER (PARTITION BY row ORDER BY n, token) AS place FROM t JOIN f USING (token))
+  WHERE place <= 10 GROUP BY row, bad),
+s AS (
+  SELECT bad, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS tokens
+  FROM (SELECT bad, items, unnest(range(1, 1 << len(items))) AS mask FROM k)),
+c AS (SELECT tokens, count(*) AS n, count(*) FILTER (bad) AS right_of FROM s GROUP BY tokens),
+r AS (
+  SELECT tokens, right_of, CAST(right_of AS DOUBLE) / n AS confidence FROM c, least WHERE right_of >= least AND CAST(right_of AS DOUBLE) / n >= 0.5),
+m AS (
+  SELECT *, array_to_string(tokens, ' ') AS pattern FROM r
+  WHERE NOT EXISTS (SELECT 1 FROM r b WHERE len(b.tokens) < len(r.tokens) AND list_has_all(r.tokens, b.tokens))),
+g AS (SELECT * FROM (VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+  ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block'))
+  AS g(rule, name, begins, verdict)),
+a AS (
+  SELECT row, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS verdict
+  FROM p JOIN g ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, begins) GROUP BY row),
+b AS (
+  SELECT row, pattern, row_number() OVER (PARTITION BY row ORDER BY confidence DESC, right_of DESC, pattern) AS place
+  FROM p JOIN m ON list_has_all(p.tokens, m.tokens) WHERE row NOT IN (SELECT row FROM a))
+SELECT page_id, host, path, rule, coalesce(a.verdict, CASE WHEN pattern IS NULL THEN 'allow' ELSE 'block' END) AS verdict, pattern
+FROM p LEFT JOIN a USING (row) LEFT JOIN (SELECT * FROM b WHERE place = 1) USING (row)
+"""
+
+LEXICAL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+n AS (SELECT row_number() OVER () AS row, doc_id, ws, CAST(len(ws) AS BIGINT) AS n FROM d WHERE len(ws) > 0),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM n),
+t AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(ws) AS term FROM n) GROUP BY row, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM t, s GROUP BY term, docs),
+i AS (SELECT item_id, min(text) AS text FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id),
+q AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i) GROUP BY item_id, term),
+x AS (
+  SELECT item_id, row, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN t USING (term) JOIN n USING (row), s GROUP BY item_id, row)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM x JOIN n USING (row) WHERE score > 0)
+WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_urls": URLS,
+    "op12_lexical": LEXICAL,
     "op4_passages": PASSAGES,
     "op8_backoff": BACKOFF,
     "op10_neighbours": NEIGHBOURS,
