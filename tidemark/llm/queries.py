@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import backoff, language, lexical, mixing, neardup, neighbours, passages, pii, quality, rules, tokens, urls
+from tidemark.llm import backoff, language, lexical, mixing, neardup, neighbours, passages, pii, quality, repair, rules, tokens, urls
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_neighbours": neighbours.op10_neighbours,
     "op11_urls": urls.op11_urls,
     "op12_lexical": lexical.op12_lexical,
+    "op13_repair": repair.op13_repair,
 }
 
 NEARDUP = r"""
@@ -230,7 +231,73 @@ FROM (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORD
 WHERE rank <= 10
 """
 
+def _repair() -> str:
+    """Row after row, the least (cost, audit) and its lines for each of the four states, for every way to get there."""
+    role = {2: "user", 3: "assistant"}
+    step = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+    into = {0: 2, 1: 2, 2: 3, 3: 2}  # where an insertion or a new label leads
+
+    def inserted(state: int, n: int) -> tuple[int, str]:
+        lines = ""
+        for _ in range(n):
+            state = into[state]
+            lines += f" || chr(10) || '{role[state]}:'"
+        return state, lines
+
+    ways: dict[int, list[str]] = {j: [] for j in range(4)}
+    for i in range(4):
+        for n in range(3):
+            m, lines = inserted(i, n)
+            said, audit = f"s{i}.t{lines}", f"s{i}.a || '{'I' * n}"
+            ways[m].append(f"{{'c': s{i}.c + {3 * n + 4}, 'a': {audit}D', 't': {said}}}")
+            late = f"s{i}.c + {3 * n} + CASE WHEN must THEN 1000000000 WHEN truncated THEN 3 ELSE 0 END"
+            for (state, letter), j in step.items():
+                if state == m:
+                    ways[j].append(f"{{'c': {late} + CASE WHEN letter = '{letter}' THEN 0 ELSE 1000000000 END, 'a': {audit}K', 't': {said} || chr(10) || role || ':' || text}}")
+            j = into[m]
+            ways[j].append(f"{{'c': {late} + 3, 'a': {audit}R', 't': {said} || chr(10) || '{role[j]}:' || text}}")
+    ends = ", ".join(f"{{'c': s{i}.c + {3 * n}, 'a': s{i}.a || '{'I' * n}', 't': s{i}.t{inserted(i, n)[1]}}}" for i, n in enumerate((0, 2, 1, 0)))
+    best = ", ".join(f"list_min([{', '.join(ways[j])}]) AS s{j}" for j in range(4))
+    start = ", ".join(f"{{'c': {0 if j == 0 else 1000000000}::BIGINT, 'a': '', 't': ''}} AS s{j}" for j in range(4))
+    return rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda c: list_reduce(
+    list_concat([c], [0, 0, 0, 0, 0, 0, 0, 0]), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS step),
+k AS (SELECT *, encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')) AS key FROM conversations),
+h AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(list_concat([4294967295],
+    list_transform(range(octet_length(key)), lambda i: CAST('0x' || substr(hex(key), 2 * i + 1, 2) AS BIGINT))),
+    lambda a, b: xor(a >> 8, step[1 + xor(a & 255, b)]))) % 20 AS how FROM k, crc),
+d AS (
+  SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+    CASE how WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN how = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM h WHERE how <> 0),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS r,
+    substr(role, 1, 1) AS letter, regexp_replace(text, '[ \t-\r]+$', '') AS core FROM d),
+f AS (
+  SELECT *, core = '' AS blank, core <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY r) > 1 AS again,
+    right(core, 1) NOT IN ('.', '!', '?') AS open FROM o),
+g AS (
+  SELECT *, blank OR again AS must, NOT blank AND NOT again AND open AS truncated,
+    coalesce(lag(letter) OVER (PARTITION BY conv_id ORDER BY r) || letter NOT IN ('su', 'ua', 'au'), false) AS wrong FROM f),
+s AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS r, {start} FROM conversations
+  UNION ALL
+  SELECT s.conv_id, g.r, {best}
+  FROM s JOIN g ON s.conv_id IS NOT DISTINCT FROM g.conv_id AND g.r = s.r + 1),
+e AS (SELECT conv_id, list_min([{ends}]) AS best FROM s QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY r DESC) = 1),
+c AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (again) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (wrong) AS illegal FROM g GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit, sha256(substr(best.t, 2)) AS repaired_sha256
+FROM e LEFT JOIN c ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 ORACLE: dict[str, str] = {
+    "op13_repair": _repair(),
     "op11_urls": URLS,
     "op12_lexical": LEXICAL,
     "op4_passages": PASSAGES,
