@@ -1,165 +1,182 @@
 """Language-model scores with stupid backoff, computed by joins.
 
-A word scores the log of an n-gram's count over its first n - 1 words' count, for the longest
-n-gram, up to ``order`` words ending there, that is seen at least ``least`` times; each word that
-the context is cut by costs a factor ``alpha``; a single word scores its share of all words.
-Backed-off scores of single words and, for frequent n-grams, what they score above that, are rows
-of one table keyed by the n-gram's hash. Texts are exploded to the same keys, joined and summed.
-The key space is worked through in ``slices``, one after the other, which divides the space that
-shuffles take.
-
-With ``least`` 1 every n-gram of the texts is seen, so nothing backs off and a text's scores
-telescope: the logs of its n-grams of ``order`` words, less those of one word fewer between them.
-N-grams seen once have the log 0 and need no row.
+The model of a document is all other documents: of every n-gram's count, the document's own
+occurrences are taken off, so that a text is never told by itself. A word scores the count of the
+longest n-gram, up to ``order`` words, that ends there and is seen elsewhere, over the count of its
+words before; each word that the context is cut by costs a factor ``alpha``. A single word scores
+its share of all words elsewhere, one not seen elsewhere ``alpha`` times that of one word. No
+n-gram is pruned.
+
+Texts are dealt to chunks of bounded size. A chunk's distinct n-grams, by the hash of their words,
+are rows (key, chunk, count), partitioned by key and summed there; a key has at most one row for
+each chunk, however frequent it is. A chunk gets back only what it does not know itself: the sums
+of n-grams that other chunks hold, too. The key space is worked through in ``slices``, which
+divides the space that shuffles take. Last, chunks meet their sums and score their documents.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, settle, words
+from tidemark.llm.common import documents, settle
+from tidemark.llm.grams import mix, word_hashes
+
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
 class Params:
-    order: int = 2  # words of the longest n-gram
+    order: int = 3  # words of the longest n-gram
     alpha: float = 0.4
-    least: int = 2  # times that an n-gram of two words or more must be seen
     slices: int = 4
-
-
-WHOLE = Params(order=3, least=1, slices=6)  # no n-gram pruned
-
-
-def hashed(docs: DataFrame) -> DataFrame:
-    """(text_key, words): the hash of every word of every text, written once.
-
-    Words recur, so a file's dictionary is let grow to hold most of a task's words.
+    chunk_words: int = 1 << 19  # about; a longer text is a chunk of its own
+
+
+def chunks(docs: DataFrame, p: Params) -> DataFrame:
+    """(chunk, words, sizes, ids), written once: the word hashes of some texts, one after the other."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number = TaskContext.get().partitionId(), 0
+        ids, words, held = [], [], 0
+
+        def made() -> pa.RecordBatch:
+            joined = np.concatenate(words).view(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([(part << 32) + number], pa.int64()), pa.ListArray.from_arrays([0, len(joined)], pa.array(joined)),
+                 pa.array([[len(w) for w in words]], pa.list_(pa.int32())), pa.array([ids], pa.list_(pa.int64()))],
+                names=["chunk", "words", "sizes", "ids"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                for one, found in zip(some.column(0).to_pylist(), word_hashes(some.column(1).to_pylist()), strict=True):
+                    ids.append(one)
+                    words.append(found)
+                    held += len(found)
+                    if held >= p.chunk_words or len(ids) >= p.chunk_words:
+                        yield made()
+                        ids, words, held, number = [], [], 0, number + 1
+        if ids:
+            yield made()
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = rows.mapInArrow(run, "chunk long, words array<long>, sizes array<int>, ids array<long>")
+    # few chunks in a row group, so that a reader holds few at once; words recur, so a dictionary pays
+    return settle(found, "chunks", **{"parquet.block.size": 8 << 20, "parquet.dictionary.page.size": 4 << 20})
+
+
+def gram_keys(words: np.ndarray, place: np.ndarray, order: int) -> list[np.ndarray]:
+    """For n = 1 to ``order``: the key of the n-gram that ends at each word; 0 where the text begins later.
+
+    ``place`` is each word's place in its text.
     """
-    made = docs.select(F.xxhash64("text").alias("text_key"), F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"))
-    return settle(made, "hashed", **{"parquet.dictionary.page.size": 16 << 20})
+    out, rolled = [], np.zeros(len(words), np.uint64)
+    for n in range(1, order + 1):
+        rolled = words.copy() if n == 1 else np.append(np.zeros(1, np.uint64), rolled[:-1]) * _MULTIPLIER + words
+        keys = mix(rolled + np.uint64(n))
+        keys[place < n - 1] = 0
+        out.append(keys)
+    return out
 
 
-def _tokens(texts: DataFrame) -> DataFrame:
-    """(text_key, words, at, word): every word's hash and place."""
-    return texts.select("text_key", "words", F.posexplode("words").alias("at", "word"))
+def _chunk_keys(words: np.ndarray, sizes: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of a chunk, the single words' first, and each word's place in its text."""
+    starts = np.cumsum(sizes) - sizes
+    place = np.arange(len(words)) - np.repeat(starts, sizes)
+    return np.concatenate([*gram_keys(words.view(np.uint64), place, p.order), np.zeros(0, np.uint64)]), place
 
 
-def _gram(first: int, last: int = 0) -> Column:
-    """The key of the n-gram from ``first`` to ``last`` words before a place; null where the text begins later."""
-    words = [F.get("words", F.col("at") - k) for k in range(first, last - 1, -1)]
-    return F.when(F.col("at") >= first, F.xxhash64(*words) if len(words) > 1 else words[0])
+def _in_slice(keys: np.ndarray, which: int, p: Params) -> np.ndarray:
+    return np.flatnonzero((keys != 0) & ((keys >> np.uint64(32)) % np.uint64(p.slices) == which))
 
 
-def _slice(key: Column, p: Params) -> Column:
-    return F.pmod(F.shiftright(key, 32), F.lit(p.slices))
+def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
+    for value in column:
+        yield value.values.to_numpy(zero_copy_only=False)
 
 
-def gram_counts(texts: DataFrame, n: int) -> DataFrame:
-    """(key, count) of every n-gram of the corpus."""
-    keys = texts.select(F.explode("words").alias("key")) if n == 1 else _tokens(texts).select(_gram(n - 1).alias("key")).where("key is not null")
-    return keys.groupBy("key").agg(F.count("*").alias("count"))
+def sums(made: DataFrame, which: int, p: Params) -> DataFrame:
+    """(chunk, place, total) of one slice: the count of each chunk's n-grams that other chunks hold, too.
 
-
-def gram_table(texts: DataFrame, n: int, which: int, counts: dict[int, DataFrame], total: int, p: Params) -> DataFrame:
-    """(key, value) of the frequent n-grams of one slice: their score above that of backing off."""
-    parts = {"before": _gram(n - 1, 1), "after": _gram(n - 2)} | ({"between": _gram(n - 2, 1)} if n > 2 else {})
-    grams = _tokens(texts).select(_gram(n - 1).alias("key"), *[c.alias(k) for k, c in parts.items()])
-    grams = grams.where(F.col("key").isNotNull() & (_slice(F.col("key"), p) == which))
-    seen = grams.groupBy("key").agg(F.count("*").alias("count"), *[F.first(k).alias(k) for k in parts]).where(F.col("count") >= p.least)
-    for side in parts:
-        of = counts[n - 2 if side == "between" else n - 1]
-        seen = seen.join(of.select(F.col("key").alias(side), F.col("count").alias(f"{side}_count")), side)
-    context = F.log("between_count") if n > 2 else F.lit(math.log(total))
-    above = F.log("count") - F.log("before_count") - math.log(p.alpha) - (F.log("after_count") - context)
-    return seen.select("key", above.alias("value"))
-
-
-def scores(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """(text_key, sum, n): summed table values and words of each distinct text, copies included.
-
-    Both grow with the number of copies, so their ratio does not.
+    ``place`` is the n-gram's among the chunk's of the slice, by key.
     """
-    if p.least <= 1:
-        return whole_scores(docs, p)
-    texts = hashed(docs)
-    counts = {n: settle(gram_counts(texts, n), "words") for n in range(1, max(2, p.order))}
-    total = counts[1].agg(F.sum("count")).first()[0] or 1
-    single = counts[1].select("key", (F.log("count") - math.log(total)).alias("value"), F.lit(1).alias("n"))
-    parts = []
-    for which in range(p.slices):
-        table = single.where(_slice(F.col("key"), p) == which)
-        for n in range(2, p.order + 1):
-            table = table.unionByName(gram_table(texts, n, which, counts, total, p).withColumn("n", F.lit(0)))
-        table = settle(table, "table")
-        rows = _tokens(texts).select("text_key", F.explode(F.array("word", *[_gram(n - 1) for n in range(2, p.order + 1)])).alias("key"))
-        rows = rows.where(F.col("key").isNotNull() & (_slice(F.col("key"), p) == which))
-        sums = rows.join(table, "key").groupBy("text_key").agg(F.sum("value").alias("sum"), F.sum("n").alias("n"))
-        parts.append(settle(sums, "sums"))
-    return reduce(DataFrame.unionByName, parts).groupBy("text_key").agg(F.sum("sum").alias("sum"), F.sum("n").alias("n"))
-
-
-def whole_scores(docs: DataFrame, p: Params) -> DataFrame:
-    """As ``scores``, where every n-gram is seen: ``sum`` is without the logs of ``alpha`` that ``score`` takes away again."""
-    texts = hashed(docs)
-    sizes = settle(texts.groupBy("text_key").agg(F.count("*").alias("copies"), F.first(F.size("words")).cast("long").alias("words")), "sizes")
-    total = sizes.agg(F.sum(F.col("copies") * F.col("words"))).first()[0] or 1
-    size = F.size("words")
-    # what a text's n-grams count by: those of order words 1, those one shorter between them -1, the whole of a short text 1
-    terms = [F.struct(_gram(p.order - 1).alias("key"), F.lit(1).alias("sign"))]
-    if p.order > 1:
-        between = (F.col("at") >= p.order - 1) & (F.col("at") < size - 1)
-        terms.append(F.struct(F.when(between, _gram(p.order - 2)).alias("key"), F.lit(-1).alias("sign")))
-    for n in range(1, p.order):
-        terms.append(F.struct(F.when((size == n) & (F.col("at") == n - 1), _gram(n - 1)).alias("key"), F.lit(1).alias("sign")))
-    # all n-grams that are counted: a text's first of one word fewer is the context of its first of order words, not a term
-    counted = [_gram(p.order - 1)] + ([_gram(p.order - 2)] if p.order > 1 else [])
-    short = settle(texts.where((size > 0) & (size < p.order - 1)), "short") if p.order > 2 else None
-    lengths = sorted(r[0] for r in short.select(size).distinct().collect()) if short is not None else []
-    parts = []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, words, sizes in zip(batch.column(0).to_pylist(), _lists(batch.column(1)), _lists(batch.column(2)), strict=True):
+                keys, _ = _chunk_keys(words, sizes, p)
+                found, counts = np.unique(keys[_in_slice(keys, which, p)], return_counts=True)
+                for at in range(0, len(found), 1 << 16):
+                    some = found[at : at + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(some.view(np.int64)), pa.array(np.full(len(some), chunk)), pa.array(np.arange(at, at + len(some), dtype=np.int32)),
+                         pa.array(counts[at : at + (1 << 16)])], names=["key", "chunk", "place", "n"])
+
+    rows = made.select("chunk", "words", "sizes").mapInArrow(run, "key long, chunk long, place int, n long")
+    rows = rows.withColumn("total", F.sum("n").over(Window.partitionBy("key")))
+    return settle(rows.where("total > n").select("chunk", F.lit(which).alias("slice"), "place", "total"), "sums")
+
+
+def chunk_scores(words: np.ndarray, sizes: np.ndarray, known: dict[int, tuple[np.ndarray, np.ndarray]], total: int, p: Params) -> np.ndarray:
+    """The mean log score of each text of a chunk; NaN of one without words.
+
+    ``known``: for each slice, the places of n-grams that other chunks hold and their counts.
+    """
+    keys, place = _chunk_keys(words, sizes, p)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    texts, elsewhere = np.tile(text, p.order), np.zeros(len(keys), np.int64)
     for which in range(p.slices):
-        keys = _tokens(texts).select(F.explode(F.array(*counted, *[_gram(n - 1) for n in lengths])).alias("key"))
-        keys = keys.where(F.col("key").isNotNull() & (_slice(F.col("key"), p) == which))
-        seen = keys.groupBy("key").agg(F.count("*").alias("count")).where("count > 1")  # the log of 1 is 0
-        table = settle(seen.select("key", F.log("count").alias("value")), "table")
-        rows = _tokens(texts).select("text_key", F.explode(F.array(*terms)).alias("t")).select("text_key", "t.key", "t.sign")
-        rows = rows.where(F.col("key").isNotNull() & (_slice(F.col("key"), p) == which))
-        sums = rows.join(table, "key").groupBy("text_key").agg(F.sum(F.col("sign") * F.col("value")).alias("sum"))
-        parts.append(settle(sums, "sums"))
-    found = reduce(DataFrame.unionByName, parts).groupBy("text_key").agg(F.sum("sum").alias("sum"))
-    n = F.col("copies") * F.col("words")
-    shares = F.lit(1) if p.order > 1 else F.col("words")  # words scored by their share of all words
-    whole = F.coalesce("sum", F.lit(0.0)) - F.col("copies") * (shares * math.log(total) + _cuts(F.col("words"), p) * math.log(p.alpha))
-    return sizes.where("words > 0").join(found, "text_key", "left").select("text_key", whole.alias("sum"), n.alias("n"))
-
-
-def _cuts(n_words: Column, p: Params) -> Column:
-    """Words by which the contexts of all words of a text are cut where each is scored alone."""
-    return reduce(Column.__add__, [F.greatest(n_words - k, F.lit(0)) for k in range(1, p.order)], F.lit(0))
+        at = _in_slice(keys, which, p)
+        found, gram, counts = np.unique(keys[at], return_inverse=True, return_counts=True)
+        if which in known:
+            counts[known[which][0]] = known[which][1]
+        _, pair, own = np.unique(gram * len(sizes) + texts[at], return_inverse=True, return_counts=True)
+        elsewhere[at] = counts[gram] - own[pair]
+    by_order = elsewhere.reshape(p.order, len(words))
+    others = np.maximum(total - sizes, 1)[text]  # words elsewhere
+    cut = np.log(p.alpha)
+    longest = np.minimum(place + 1, p.order)
+    with np.errstate(divide="ignore"):
+        logs = np.log(by_order)
+    value = np.where(by_order[0] > 0, logs[0], cut) - np.log(others) + (longest - 1) * cut
+    for n in range(2, p.order + 1):
+        seen = np.flatnonzero(by_order[n - 1] > 0)
+        value[seen] = logs[n - 1][seen] - logs[n - 2][seen - 1] + (longest[seen] - n) * cut
+    added = np.bincount(text, value, len(sizes))
+    return np.divide(added, sizes, out=np.full(len(sizes), np.nan), where=sizes > 0)
 
 
 def score(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """doc_id, n_words and lm_score, the mean natural log of a word's score, for every row.
+    """doc_id, n_words and lm_score, the mean natural log of a word's score, for every row of ``docs`` (doc_id, text).
 
-    A text without words, or a null one, has no score. An empty table gives an empty result.
+    Copies of a text are other documents to each other. A text without words, or a null one, has
+    no score and adds nothing; a row without id is scored as any other. In an empty corpus there
+    is nothing to score. Words and n-grams are told apart by 64-bit hashes.
     """
-    found = settle(scores(docs, p), "scores")
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.size(words(F.col("text"))).cast("long").alias("n_words"))
-    back = _cuts(F.col("n_words"), p) * math.log(p.alpha) / F.col("n_words")
-    return rows.join(found, "text_key", "left").select(
-        "doc_id", "n_words", F.when(F.col("n_words") > 0, F.round(F.col("sum") / F.col("n") + back, 6)).alias("lm_score"))
+    made = chunks(docs, p)
+    total = made.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
+    known = reduce(DataFrame.unionByName, [sums(made, which, p) for which in range(p.slices)])
 
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        slices, places, totals = (right.column(c).to_numpy() for c in ("slice", "place", "total"))
+        of = {int(s): (places[slices == s], totals[slices == s]) for s in np.unique(slices)}
+        for batch in left.to_batches():
+            for words, sizes, ids in zip(_lists(batch.column("words")), _lists(batch.column("sizes")), batch.column("ids"), strict=True):
+                found = chunk_scores(words, sizes.astype(np.int64), of, total, p)
+                out.append(pa.table({"doc_id": ids.values, "n_words": pa.array(sizes, pa.int64()), "lm_score": pa.array(found, from_pandas=True)}))
+        return pa.concat_tables(out) if out else pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("lm_score", pa.float64())]).empty_table()
 
-def op8_backoff_whole(spark, sf_dir: str) -> DataFrame:
-    """Every document scored by a model of word triples of all documents, none pruned."""
-    return score(documents(spark, sf_dir).select("doc_id", "text"), WHOLE)
+    scored = made.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, "doc_id long, n_words long, lm_score double")
+    return scored.withColumn("lm_score", F.round("lm_score", 6))
 
 
 def op8_backoff(spark, sf_dir: str) -> DataFrame:
-    """Every document scored by a model of the word pairs of all documents that are seen twice, as its SQL has it."""
+    """Every document scored by word triples, pairs and words of all other documents, none pruned."""
     return score(documents(spark, sf_dir).select("doc_id", "text"))

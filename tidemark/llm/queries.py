@@ -13,7 +13,6 @@ QUERIES = {
     "op6_bpe": tokens.op6_bpe,
     "op7_pii": pii.op7_pii,
     "op8_backoff": backoff.op8_backoff,
-    "op8_backoff_whole": backoff.op8_backoff_whole,
     "op9_mixing": mixing.op9_mixing,
     "op10_neighbours": neighbours.op10_neighbours,
     "op11_urls": urls.op11_urls,
@@ -150,18 +149,31 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(t.n, 0) AS BIGI
 FROM d LEFT JOIN t USING (row) LEFT JOIN s USING (row)
 """
 
+# counts of all documents, less the document's own
 BACKOFF = r"""
 WITH d AS (
   SELECT row_number() OVER () AS row, doc_id,
     list_filter(string_split_regex(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS ws FROM documents),
-w AS (SELECT row, i, ws[i] AS w, ws[i - 1] AS b FROM (SELECT row, ws, unnest(range(1, len(ws) + 1)) AS i FROM d)),
-u AS (SELECT w, count(*) AS c FROM w GROUP BY w),
-g AS (SELECT b, w, count(*) AS c FROM w WHERE i > 1 GROUP BY b, w HAVING count(*) >= 2),
-n AS (SELECT sum(c) AS n FROM u),
+w AS (SELECT row, i, ws[i] AS w, ws[i - 1] AS b, ws[i - 2] AS a FROM (SELECT row, ws, unnest(range(1, len(ws) + 1)) AS i FROM d)),
+o1 AS (SELECT row, w, count(*) AS n FROM w GROUP BY ALL),
+o2 AS (SELECT row, b, w, count(*) AS n FROM w WHERE i > 1 GROUP BY ALL),
+o3 AS (SELECT row, a, b, w, count(*) AS n FROM w WHERE i > 2 GROUP BY ALL),
+c1 AS (SELECT row, w, sum(n) OVER (PARTITION BY w) - n AS c FROM o1),
+c2 AS (SELECT row, b, w, sum(n) OVER (PARTITION BY b, w) - n AS c FROM o2),
+c3 AS (SELECT row, a, b, w, sum(n) OVER (PARTITION BY a, b, w) - n AS c FROM o3),
+n AS (SELECT sum(len(ws)) AS n FROM d),
 x AS (
-  SELECT row, avg(CASE WHEN w.i = 1 THEN ln(u.c) - ln(n.n) WHEN g.c IS NOT NULL THEN ln(g.c) - ln(p.c)
-    ELSE ln(0.4) + ln(u.c) - ln(n.n) END) AS score
-  FROM w JOIN u ON u.w = w.w CROSS JOIN n LEFT JOIN u p ON p.w = w.b LEFT JOIN g ON w.i > 1 AND g.b = w.b AND g.w = w.w GROUP BY row)
+  SELECT w.row, avg(CASE
+    WHEN c3.c > 0 THEN ln(c3.c) - ln(ab.c)
+    WHEN bw.c > 0 THEN ln(bw.c) - ln(b.c) + CASE WHEN i > 2 THEN ln(0.4) ELSE 0 END
+    WHEN u.c > 0 THEN ln(u.c) - ln(n.n - len(d.ws)) + least(i - 1, 2) * ln(0.4)
+    ELSE -ln(greatest(n.n - len(d.ws), 1)) + (least(i - 1, 2) + 1) * ln(0.4) END) AS score
+  FROM w JOIN d USING (row) CROSS JOIN n JOIN c1 u ON u.row = w.row AND u.w = w.w
+    LEFT JOIN c1 b ON i > 1 AND b.row = w.row AND b.w = w.b
+    LEFT JOIN c2 bw ON i > 1 AND bw.row = w.row AND bw.b = w.b AND bw.w = w.w
+    LEFT JOIN c2 ab ON i > 2 AND ab.row = w.row AND ab.b = w.a AND ab.w = w.b
+    LEFT JOIN c3 ON i > 2 AND c3.row = w.row AND c3.a = w.a AND c3.b = w.b AND c3.w = w.w
+  GROUP BY w.row)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, round(score, 6) AS lm_score FROM d LEFT JOIN x USING (row)
 """
 
