@@ -1,8 +1,9 @@
 """Approximate nearest neighbours: a small-world graph per shard, results of the shards merged.
 
-Rows are dealt to shards of bounded size by a hash of id and vector, whatever the vectors are, so
+Rows are dealt to shards by a hash of id and vector, whatever the vectors are, so
 copies of one vector are spread. Each shard's graph is written once as flat arrays. Query blocks
-of bounded size then meet every shard; a task holds one graph and one block.
+then meet every shard; a task holds one graph and one block. Shards and blocks are as large as a task's
+memory allows, for a graph's search grows far slower than its rows: fewer, larger shards are less work.
 """
 
 from __future__ import annotations
@@ -22,10 +23,13 @@ from tidemark.llm.common import settle
 @dataclass(frozen=True)
 class Params:
     k: int = 10
-    shard_rows: int = 8192  # about
-    block_rows: int = 8192  # queries that meet a shard in one task, about
+    shard_bytes: int = 64 << 20  # of the vectors and links of a shard, about
+    block_bytes: int = 64 << 20  # of the queries that meet a shard in one task, about
     graph: hnsw.Params = hnsw.Params()
 
+    def row_bytes(self, dim: Column) -> Column:
+        return (dim * 8 + self.graph.links * 16).cast("long")
+
 
 def usable(vector: Column) -> Column:
     """Neither null, empty nor zero, and all components finite numbers."""
@@ -57,8 +61,10 @@ def search(vectors: DataFrame, queries: DataFrame, p: Params = Params()) -> Data
             F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.size("embedding").alias("dim"))
 
     rows, asked = valid(vectors), valid(queries).groupBy("dim", "vec_id").agg(F.min("embedding").alias("embedding"))
-    shards = max(1, -(-rows.count() // p.shard_rows))
-    blocks = max(1, -(-asked.count() // p.block_rows))
+    def parts(df: DataFrame, most: int) -> int:
+        return max(1, -(-(df.agg(F.sum(p.row_bytes(F.col("dim")))).first()[0] or 0) // most))
+
+    shards, blocks = parts(rows, p.shard_bytes), parts(asked, p.block_bytes)
     graphs = index(rows, shards, p)
     kind = vectors.schema["embedding"].dataType.simpleString()
     held = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
