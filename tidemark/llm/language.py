@@ -28,8 +28,8 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Params:
-    """At most ``sample_rows`` texts of at most ``sample_chars`` code points are learned from, as
-    many of each language (``least_rows`` where languages are many)."""
+    """At most ``sample_rows`` texts are learned from, as many of each language (``least_rows`` where
+    languages are many); of a longer text, a window of ``sample_chars`` code points."""
 
     sample_rows: int = 1200
     least_rows: int = 5
@@ -60,22 +60,35 @@ def _grams(pieces: list[str], p: Params) -> Iterator[tuple[np.ndarray, np.ndarra
         yield hashes[places] >> np.uint64(64 - p.bits), owner[places]
 
 
-def presence(texts: Sequence[str | None], columns: np.ndarray, p: Params) -> np.ndarray:
-    """One row per text, one column per n-gram of ``columns``: 1 where the text holds it."""
+def presence(texts: Sequence[str | None], columns: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """One row per text, one column per n-gram of ``columns``: 1 where the text holds it; and each text's number of distinct n-grams."""
     place = np.full(1 << p.bits, len(columns), np.int32)
     place[columns] = np.arange(len(columns), dtype=np.int32)
-    out = np.zeros((len(texts), len(columns) + 1), np.float32)
+    out, sizes, long = np.zeros((len(texts), len(columns) + 1), np.float32), np.zeros(len(texts), np.int64), {}
     for rows, pieces in blocks(texts):
         index = np.asarray(rows)
+        found = []
         for hashes, owner in _grams(pieces, p):
             out[index[owner], place[hashes]] = 1
-    return out[:, :-1]
-
-
-def kernel(held: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    """Shared n-grams of texts (rows of ``held``) and landmarks, over the root of their numbers' product."""
-    sizes = np.sqrt(np.maximum(held.sum(axis=1), 1))[:, None] * np.sqrt(np.maximum(marks.sum(axis=1), 1))
-    return (held @ marks.T) / sizes
+            found.append((owner.astype(np.uint64) << np.uint64(p.bits)) | hashes)
+        every = np.sort(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+        every = every[np.append(True, every[1:] != every[:-1])] if len(every) else every
+        owner = (every >> np.uint64(p.bits)).astype(np.int64)
+        counts = np.bincount(owner, minlength=len(rows))
+        for k in {0, len(rows) - 1}:  # only these may be pieces of a longer text
+            if len(pieces[k]) < len(texts[rows[k]] or ""):
+                seen = long.setdefault(rows[k], np.zeros(1 << p.bits, bool))
+                seen[every[owner == k] & np.uint64((1 << p.bits) - 1)] = True
+        sizes[index] = counts
+    for row, seen in long.items():
+        sizes[row] = seen.sum()
+    return out[:, :-1], sizes
+
+
+def kernel(held: np.ndarray, sizes: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Shared n-grams of texts (rows of ``held``) and landmarks, over the root of the product of all that either has."""
+    root = np.sqrt(np.maximum(sizes, 1)).astype(np.float32)[:, None] * np.sqrt(np.maximum(marks.sum(axis=1), 1))
+    return (held @ marks.T) / root
 
 
 def fit(texts: list[str], languages: list[str], p: Params) -> Model:
@@ -88,12 +101,12 @@ def fit(texts: list[str], languages: list[str], p: Params) -> Model:
     columns = np.unique(np.concatenate(found)).astype(np.int64) if found else np.zeros(0, np.int64)
     if not names:
         return Model(columns, np.zeros((0, len(columns)), np.float32), np.zeros((0, 0)), names)
-    marks = presence(chosen, columns, p)
-    among = kernel(marks, marks).astype(np.float64)
+    marks, sizes = presence(chosen, columns, p)
+    among = kernel(marks, sizes, marks).astype(np.float64)
     values, vectors = np.linalg.eigh(among)
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    rows = [kernel(presence(texts[k : k + p.together], columns, p), marks) for k in range(0, len(texts), p.together)]
+    rows = [kernel(*presence(texts[k : k + p.together], columns, p), marks) for k in range(0, len(texts), p.together)]
     features = np.concatenate(rows).astype(np.float64) @ root
     goal = np.where(np.array(languages)[:, None] == np.array(names), 1.0, -1.0)
     gram = features.T @ features + p.ridge * len(texts) * np.eye(features.shape[1])
@@ -106,7 +119,7 @@ def predict(texts: Sequence[str | None], model: Model, p: Params) -> tuple[list[
     known = [k for k, t in enumerate(texts) if isinstance(t, str) and LETTER.search(t)] if model.languages else []
     for at in range(0, len(known), p.together):
         some = known[at : at + p.together]
-        values = kernel(presence([texts[k] for k in some], model.columns, p), model.marks) @ model.weights
+        values = kernel(*presence([texts[k] for k in some], model.columns, p), model.marks) @ model.weights
         best = values.argmax(axis=1)
         for row, k in enumerate(some):
             names[k] = model.languages[int(best[row])]
@@ -115,10 +128,11 @@ def predict(texts: Sequence[str | None], model: Model, p: Params) -> tuple[list[
 
 
 def training_sample(docs: DataFrame, p: Params) -> DataFrame:
-    """doc_id, text, lang of as many texts of each language; which ones depends on ids alone."""
-    usable = docs.where(
-        F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & (F.length("text") <= p.sample_chars)
-        & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
+    """doc_id, text, lang of as many texts of each language; which ones, and where a long one's window lies, depends on ids alone."""
+    most = F.greatest(F.length("text") - p.sample_chars, F.lit(0)) + 1
+    window = F.substr("text", (F.pmod(F.xxhash64("doc_id", F.lit("window")), most) + 1).cast("int"), F.lit(p.sample_chars))
+    usable = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", window.alias("text"), "lang")
+    usable = usable.where(F.col("text").rlike(r"\p{L}"))
     counts = usable.groupBy("lang").agg(F.count("*").alias("n"))
     each = F.greatest(F.lit(p.least_rows), F.floor(F.lit(p.sample_rows) / F.count("*").over(Window.partitionBy(F.lit(0)))))
     shares = small(counts.select("lang", each.alias("each"), (2 * each / F.col("n")).alias("share")))
@@ -152,7 +166,11 @@ def identify(docs: DataFrame, model: Model, text: str = "text", p: Params = Para
 
 
 def op1_language(spark, sf_dir: str) -> DataFrame:
-    """Every document's language; learned from the other folds' texts and languages alone."""
+    """Every document's language; learned from the other folds' texts and languages alone.
+
+    A null text, or one without a letter, is ``und`` with score 0; without labelled texts all are.
+    Rows without an id are predicted, not learned from; repeated rows are predicted alike.
+    """
     docs = documents(spark, sf_dir)
     model = train(docs.select("doc_id", "text", "lang"))
     return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), identify(docs, model).alias("_made")).select(
