@@ -23,7 +23,7 @@ from tidemark.llm.grams import Block, blocks, mix
 
 @dataclass(frozen=True)
 class Params:
-    """``sample_rows`` labelled texts of at most ``sample_chars`` code points are learned from."""
+    """``sample_rows`` labelled texts are learned from; of a longer one, a window of ``sample_chars`` code points."""
 
     sample_rows: int = 4000
     sample_chars: int = 20_000
@@ -113,17 +113,16 @@ def predict(texts, weights: np.ndarray, p: Params) -> np.ndarray:
 def training_sample(docs: DataFrame, labels: DataFrame, p: Params) -> DataFrame:
     """Text and label of labelled documents outside the held-out fold, at most ``sample_rows``.
 
-    Which are taken depends on the id alone. An id with several labels has their smallest.
+    Which are taken, and where a long one's window lies, depends on the id alone. An id with
+    several labels has their smallest; labels without a text take up no place.
     """
-    few = (
-        labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
-        .groupBy("doc_id").agg(F.min("quality").cast("int").alias("_label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.sample_rows)
-    )
-    usable = docs.where(F.length("text") <= p.sample_chars).select("doc_id", "text")
-    return usable.join(F.broadcast(few), "doc_id").select(  # sample_rows pairs of numbers at most
-        "doc_id", "text", "_label"
-    )
+    known = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("quality").cast("int").alias("_label"))
+    there = docs.where("text is not null and doc_id is not null").select("doc_id").distinct()
+    few = known.join(there, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.sample_rows)
+    most = F.greatest(F.length("text") - p.sample_chars, F.lit(0)) + 1
+    window = F.substr("text", (F.pmod(F.xxhash64("doc_id", F.lit("window")), most) + 1).cast("int"), F.lit(p.sample_chars))
+    # sample_rows pairs of numbers at most
+    return docs.where("text is not null").join(F.broadcast(few), "doc_id").select("doc_id", window.alias("text"), "_label")
 
 
 def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> np.ndarray:
