@@ -11,6 +11,7 @@ WORDS = r"[ \t-\r]+"  # what lies between words, for split()
 FOLDS = 5
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BROADCAST_ROWS = 100_000  # of some hundred bytes each, that a broadcast may hold
+BROADCAST_IDS = 1 << 20  # of some forty bytes each in a broadcast's table
 
 
 def held_out(doc_id: Column) -> Column:
@@ -44,7 +45,7 @@ def settle(df: DataFrame, name: str, **options) -> DataFrame:
         conf.set(CLEANUP, before)
 
 
-def small(df: DataFrame) -> DataFrame:
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Written once, and marked for broadcast if it then has few enough rows."""
     made = settle(df, "small")
-    return F.broadcast(made) if made.count() <= BROADCAST_ROWS else made
+    return F.broadcast(made) if made.count() <= rows else made

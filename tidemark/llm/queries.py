@@ -95,7 +95,7 @@ h AS (
     lambda i: CAST('0x' || substr(hex(encode(gram)), 2 * i + 1, 2) AS BIGINT))),
     lambda a, b: xor(a >> 8, step[1 + xor(a & 255, b)]))) % 65536 AS bucket
   FROM (SELECT DISTINCT gram FROM g), crc),
-tgt AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT 10000),
+tgt AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL),
 c AS (
   SELECT bucket, count(*) AS raw, count(tgt.doc_id) AS target
   FROM g JOIN h USING (gram) LEFT JOIN tgt ON tgt.doc_id = g.doc_id GROUP BY bucket),

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, settle, small, words
+from tidemark.llm.common import BROADCAST_IDS, documents, settle, small, words
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -85,8 +85,11 @@ def ratios(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> list[int
     With no target, or an empty corpus, no bucket tells anything and all are 0.
     """
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    target = small(good.withColumn("_target", F.lit(1)))  # shuffled by id where they are many
-    rows = docs.select("doc_id", words(F.col("text")).alias("_ws")).join(target, "doc_id", "left")
+    there = docs.where("doc_id is not null").select("doc_id").distinct()
+    target = small(good.join(there, "doc_id", "left_semi").withColumn("_target", F.lit(1)), BROADCAST_IDS)
+    named = docs.where("doc_id is not null").select("doc_id", "text").join(target, "doc_id", "left")
+    rows = named.select("_target", "text").unionByName(docs.where("doc_id is null").select(F.lit(None).cast("int").alias("_target"), "text"))
+    rows = rows.select("_target", words(F.col("text")).alias("_ws"))
     grams = rows.select("_target", F.explode(F.concat("_ws", pairs(F.col("_ws")))).alias("gram"))
     counts = settle(grams.groupBy(bucket(F.col("gram"), p.buckets).cast("int").alias("bucket")).agg(
         F.count("*").alias("raw"), F.count("_target").alias("target")), "buckets")
@@ -101,9 +104,10 @@ def ratios(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> list[int
 
 
 def judge(docs: DataFrame, table: list[int], p: Params = Params(), text: str = "text") -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, ratio and kept.
+    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept and ratio.
 
-    A null text counts as an empty one, fails the base rules and has no ratio.
+    Columns of these names are replaced. A null text counts as an empty one, fails the base rules
+    and has no ratio. Repeated rows are judged alike; an empty table stays empty.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     literal = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")  # folded to one constant
@@ -135,4 +139,4 @@ def op2_rules(spark, sf_dir: str) -> DataFrame:
     """The rules and the ratio's verdict for every document."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     judged = judge(docs, ratios(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "ratio", "kept")
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
