@@ -279,15 +279,8 @@ def _apart(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFr
     return settle(grouped(again.join(signed, "node").join(sets, "node")).applyInPandas(links, "a binary, b binary"), "links")
 
 
-def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text).
-
-    A text without words is linked with nothing. ``component_id`` is the smallest doc_id of
-    those reachable; a row whose doc_id is null takes part by its text, and where no row of its
-    component has an id, component_id is null and the row is kept. Repeated rows are all kept
-    or all not. An empty table gives an empty result.
-    """
-    spark = docs.sparkSession
+def _clustered(docs: DataFrame, p: Params) -> DataFrame:
+    """doc_id, text_key, n_shingles, root and component_id of every row; ``root`` names its component, null without words."""
     rows = signatures(docs, p)
     nodes = settle(
         rows.where(F.col("node").isNotNull()).groupBy("node").agg(
@@ -307,13 +300,24 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
         found = settle(components(links.unionByName(more)), "components")
     named = found.join(nodes.select("node", "least_id"), "node")
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    linked = found.join(least, "root").select("node", "component_id")
+    linked = found.join(least, "root").select("node", "root", "component_id")
     placed = nodes.select("node", "least_id").join(linked, "node", "left").select(
-        "node", F.coalesce("component_id", "least_id").alias("component_id"))
-    return rows.join(placed, "node", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        "node", F.coalesce("root", "node").alias("root"), F.coalesce("component_id", "least_id").alias("component_id"))
+    columns = ["doc_id", "text_key", "n_shingles", "root", "component_id"]
+    alone = rows.where(F.col("node").isNull()).withColumns({"root": F.lit(None).cast("binary"), "component_id": F.col("doc_id")})
+    return rows.where(F.col("node").isNotNull()).join(placed, "node").select(*columns).unionByName(alone.select(*columns))
+
+
+def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text).
+
+    A text without words is linked with nothing. ``component_id`` is the smallest doc_id of
+    those reachable; a row whose doc_id is null takes part by its text, and where no row of its
+    component has an id, component_id is null and the row is kept. Repeated rows are all kept
+    or all not. An empty table gives an empty result.
+    """
+    return _clustered(docs, p).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op3_neardup(spark, sf_dir: str) -> DataFrame:
@@ -322,18 +326,24 @@ def op3_neardup(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """``docs`` without the near duplicates of a document that stays, columns as they are.
+    """``docs`` with one row of each group of near duplicates, columns as they are.
 
-    Of rows that repeat an id and its text, one stays. Rows without an id stay.
+    That is the row of the smallest id, those without an id last, and of an id's texts the one of the
+    smallest hash; of rows that repeat its id and text, one. Rows without words stay.
     """
-    mark = "_kept_by_near_duplicates"
-    kept = near_duplicates(docs.select("doc_id", "text"), p)
-    kept = kept.where("kept and doc_id is not null").select(F.col("doc_id").alias(mark)).distinct()
-    named = docs.join(kept, F.col("doc_id").cast("long") == F.col(mark), "left").where(
-        F.col("doc_id").isNull() | F.col(mark).isNotNull()).drop(mark)
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias(mark)).where(F.col("doc_id").isNotNull() & (F.col(mark) > 1))
-    repeated = settle(repeated.select(F.col("doc_id").alias(mark)), "repeated-ids")
-    if repeated.isEmpty():
-        return named
-    same = F.col("doc_id") == F.col(mark)
-    return named.join(repeated, same, "left_anti").unionByName(named.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    found = settle(_clustered(docs.select("doc_id", "text"), p).where(F.col("root").isNotNull()), "clustered")
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "text_key")).alias("one"))
+    first = settle(first.select(F.col("one.doc_id").alias("_near_id"), F.col("one.text_key").alias("_near_key")), "firsts")
+    here, words = F.col("doc_id").cast("long"), F.col("_near_words")
+    rows = docs.withColumn("_near_words", F.col("text").rlike(r"[^ \t-\r]"))
+    kept = rows.where(words).join(first, (F.xxhash64("text") == F.col("_near_key")) & here.eqNullSafe(F.col("_near_id")))
+    repeated = found.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").select(
+        F.col("doc_id").alias("_again_id"), F.col("text_key").alias("_again_key"))
+    repeated = settle(repeated, "repeated")
+    out = kept
+    if not repeated.isEmpty():
+        same = (F.col("_near_key") == F.col("_again_key")) & F.col("_near_id").eqNullSafe(F.col("_again_id"))
+        # rows that agree in id and text: one of them, whatever its other columns say
+        many = kept.join(repeated, same, "left_semi").groupBy("_near_id", "_near_key").agg(F.first(F.struct(*[f"`{c}`" for c in docs.columns])).alias("_one"))
+        out = kept.join(repeated, same, "left_anti").select(*docs.columns).unionByName(many.select("_one.*"))
+    return out.select(*docs.columns).unionByName(rows.where(~F.coalesce(words, F.lit(False))).select(*docs.columns))
