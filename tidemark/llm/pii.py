@@ -4,7 +4,12 @@ One pass finds the entities of all texts; their distinct forms, a small part of
 surrogates from a keyed hash. Surrogates that two entities share, or that are an entity of the
 corpus themselves, are drawn again until there are none, so different entities stay different
 and mentions of one entity stay together across all documents. Only entities that had to be
-drawn again are carried to the second pass, which rewrites each text where it lies.
+drawn again are carried to the second pass, which rewrites each text where it lies. A name that a
+text gives with a title or a listed given name is replaced wherever else that text has it, too.
+
+The key decides the surrogates: who knows it can draw them again. It is the setting ``SETTING`` of
+the session (its name has ``secret`` in it, so that Spark hides the value in logs); a session without one
+draws a key of its own, so that only a configured key gives the same surrogates in another session.
 """
 
 from __future__ import annotations
@@ -12,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import secrets
 import unicodedata
 from collections.abc import Iterator
 
@@ -21,7 +27,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents, settle, small
 
-KEY = "surrogates"  # a deployment passes its own secret key
+SETTING = "spark.tidemark.surrogates.secret"
+
+
+def session_key(spark) -> str:
+    key = spark.conf.get(SETTING, None)
+    if not key:
+        key = secrets.token_hex(16)
+        spark.conf.set(SETTING, key)
+    return key
+
 
 # Forms of address by gender, and names to draw from.
 MALE_TITLES = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Don", "Signor", "господин")
@@ -46,7 +61,9 @@ NUMBER = re.compile(
     r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w-])"
     r"|(?P<phone>\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
     r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}"
-    r"|(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})(?!\w)"
+    r"|(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![ .-]?[0-9])"
+    # as dialled inside a country: from a leading zero on, groups with one kind of gap
+    r"|\(?0{1,2}[1-9][0-9]{0,4}\)?(?P<gap>[ .-])[0-9]{2,8}(?:(?P=gap)[0-9]{2,8}){0,4})(?!\w)"
     r"|(?P<card>[0-9](?:[ -]?[0-9]){12,18})(?!\w))")
 TWO_DIGITS = re.compile("[0-9]{2}")  # all numbers hold two, most texts do not
 IBAN = re.compile(r"(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)\b")
@@ -70,6 +87,19 @@ GENDER = dict.fromkeys(MALE_TITLES + MALE + MALE_CYRILLIC, "m") | dict.fromkeys(
 LONGER = 4  # from this attempt on, surrogates that keep a mention's form grow, so that a free one always exists
 
 
+POSSESSIVE = re.compile("['’][sS]?$")
+
+
+def _number_kind(mention: str, kind: str) -> str | None:
+    """The kind of a number; none if it is no address, or as national number too short."""
+    if kind == "ip":
+        return kind if all(int(part) < 256 for part in mention.split(".")) else None
+    if kind == "phone" and mention.lstrip("(")[0] == "0":
+        n = sum(c in "0123456789" for c in mention)
+        return "phone" if 9 <= n <= 12 else "card" if n > 12 else None
+    return kind
+
+
 def _moves(text: str) -> bool:
     """Whether a text has a digit or letter, without which there is nothing to hide."""
     return any(c in "0123456789" or unicodedata.category(c)[0] == "L" for c in text)
@@ -95,8 +125,9 @@ def find(text: str) -> list[tuple[int, int, str]]:
         found += [(*m.span("secret"), "secret") for m in KEYLIKE.finditer(text)]
     if TWO_DIGITS.search(text):
         for m in NUMBER.finditer(text):
-            if m.lastgroup != "ip" or all(int(part) < 256 for part in m.group().split(".")):
-                found.append((*m.span(), m.lastgroup))
+            kind = _number_kind(m.group(), m.lastgroup)
+            if kind:
+                found.append((*m.span(), kind))
         found += [(*m.span("iban"), "iban") for m in IBAN.finditer(text) if not text[max(0, m.start() - 1) : m.start()].isalnum()]
     for m in PERSON.finditer(text) if not CUES.isdisjoint(CUE.findall(text)) else ():
         if text[max(0, m.start() - 1) : m.start()].isalnum():
@@ -108,9 +139,19 @@ def find(text: str) -> list[tuple[int, int, str]]:
             found += [(*m.span("one"), f"given_{sex}"), (*m.span("two"), "family")]
         else:
             found.append((*m.span("one"), "family"))
+    names: dict[str, str] = {}
+    for k, (start, end, kind) in enumerate(found):
+        if kind == "family" or kind.startswith("given"):
+            end -= len(text[start:end]) - len(POSSESSIVE.sub("", text[start:end]))
+            found[k] = (start, end, kind)
+            for form in (text[start:end], text[start:end].upper(), text[start:end].capitalize()):
+                names.setdefault(form, kind)
+    if names:  # the same names, alone, anywhere in the text
+        again = re.compile(rf"(?<![\w{_MARKS}])(?:{'|'.join(map(re.escape, sorted(names, key=len, reverse=True)))})(?![\w{_MARKS}])")
+        found += [(*m.span(), names[m.group()]) for m in again.finditer(text)]
     out, last = [], 0
     for start, end, kind in sorted(found, key=lambda x: (x[0], -x[1])):
-        if start >= last:
+        if start >= last and end > start:
             out.append((start, end, kind))
             last = end
     return out
@@ -174,7 +215,7 @@ def _rest_97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
-def surrogate(kind: str, entity: str, attempt: int = 0, key: str = KEY) -> str:
+def surrogate(kind: str, entity: str, attempt: int, key: str) -> str:
     """The plain form that stands for an entity."""
     stream = _numbers(key, kind, entity, attempt)
     longer = max(0, attempt + 1 - LONGER)
@@ -199,7 +240,7 @@ def surrogate(kind: str, entity: str, attempt: int = 0, key: str = KEY) -> str:
             return body + _like(entity[-1], stream)
         return next(body + d for d in "0123456789" if not _luhn(body + d))
     if kind == "phone":
-        code = max(0, len(entity) - 10)
+        code = max(0, len(entity) - 10, len(entity) - len(entity.lstrip("0")))
         return entity[:code] + "".join(_like(c, stream) for c in entity[code:] + "0" * longer)
     if kind == "iban":
         body = "".join(_like(c, stream) for c in entity[4:])
@@ -228,7 +269,7 @@ def shaped(kind: str, mention: str, drawn: str) -> str:
     return drawn
 
 
-def rewrite(text: str, redrawn: dict[tuple[str, str], int], key: str = KEY) -> tuple[str, int]:
+def rewrite(text: str, redrawn: dict[tuple[str, str], int], key: str) -> tuple[str, int]:
     """The text with surrogates, and how many entities it held."""
     out, last, spans = [], 0, find(text)
     for start, end, kind in spans:
@@ -251,7 +292,7 @@ def entities(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.select("text_key", "_e.kind", "_e.entity")
 
 
-def redrawn(mentions: DataFrame, key: str = KEY) -> DataFrame:
+def redrawn(mentions: DataFrame, key: str) -> DataFrame:
     """(kind, entity, attempt) of the entities whose first surrogate could not stay."""
     @F.pandas_udf("string")
     def draw(kind: pd.Series, entity: pd.Series, attempt: pd.Series) -> pd.Series:
@@ -275,12 +316,13 @@ def redrawn(mentions: DataFrame, key: str = KEY) -> DataFrame:
         now = settle(fine.unionByName(clash.withColumn("drawn", drawn)), "surrogates")
 
 
-def surrogates(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
+def surrogates(docs: DataFrame, text: str = "text", key: str | None = None) -> DataFrame:
     """``docs`` with the column ``text`` rewritten and a column ``_pii_entities``; all else as it is.
 
     Null and empty texts stay; texts without entities come back unchanged. Repeated rows are
-    rewritten alike, wherever they are.
+    rewritten alike, wherever they are. Without ``key`` that of the session is taken.
     """
+    key = key or session_key(docs.sparkSession)
     mentions = settle(entities(docs, text), "mentions")
     again = settle(redrawn(mentions, key), "redrawn")
     lists = mentions.join(again, ["kind", "entity"]).groupBy("text_key").agg(
@@ -310,9 +352,9 @@ def op7_pii(spark, sf_dir: str) -> DataFrame:
     return made.select("doc_id", F.col("_pii_entities").alias("n_entities"), "text")
 
 
-def with_surrogates(docs: DataFrame) -> DataFrame:
+def with_surrogates(docs: DataFrame, key: str | None = None) -> DataFrame:
     """``docs`` with rewritten texts; ``n_chars``, if there, follows the text."""
-    made = surrogates(docs).drop("_pii_entities")
+    made = surrogates(docs, key=key).drop("_pii_entities")
     if "n_chars" in docs.columns:
         made = made.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)))
     return made
