@@ -18,7 +18,7 @@ from tidemark.session import new_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the classifier, trained on ``labels``, accepts."""
+    """The documents that the classifier, trained on ``labels``, accepts; null and empty texts by the bias alone."""
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -38,8 +38,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's token ids, with digests of the ids and of what they decode to."""
-    return docs.select("doc_id", "source", "lang", encoded(docs).alias("_made")).select("doc_id", "source", "lang", "_made.*")
+    """Each document's token ids, with digests of the ids and of what they decode to; none of a null text."""
+    return encoded(docs.select("doc_id", "source", "lang", "text"))
 
 
 STAGES = [
