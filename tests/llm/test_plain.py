@@ -93,7 +93,7 @@ def test_equal_windows_choose_equal_minimisers(seed):
 def test_pii_is_found_and_replaced_by_type():
     text = ("Mail Jane.Doe34@Mail7.example.com, call +1 (017) 555-7713 or +10175557713; 97.51.17.173, card 4111-1111-1111-1111, "
             'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962", 123-45-6789, GB82 WEST 1234 5698 7654 32. Mr. John Smith met Frau Müller; господин Петров.')
-    made, n = pii.rewrite(text, {})
+    made, n = pii.rewrite(text, {}, "own key")
     kinds = [k for *_, k in pii.find(text)]
     assert kinds == ["email", "phone", "phone", "ip", "card", "secret", "ssn", "iban", "given_m", "family", "family", "family"] and n == 12
     for a, b, _ in pii.find(text):
@@ -112,18 +112,49 @@ def test_pii_is_found_and_replaced_by_type():
 
 def test_pii_leaves_plain_texts_alone():
     for text in ("", "The price rose to 12 or 13.5 in 2024.", "Version 2.0.1 of Mark and General Public", "a@b", "x: y = z"):
-        assert pii.rewrite(text, {}) == (text, 0)
+        assert pii.rewrite(text, {}, "own key") == (text, 0)
+
+
+@pytest.mark.parametrize("text, names", [
+    ("Mr Smith came. Smith left, and SMITH's hat too; Smithson stayed.", ["Smith", "SMITH"]),
+    ("Dr. Anna Weber; Weber said that Anna knew.", ["Anna", "Weber"]),
+    ("Smith asked Mr. Smith's brother.", ["Smith"]),
+    ("господин Петров ушёл, Петров пришёл", ["Петров"]),
+    ("Dr Παπαδόπουλος και Παπαδόπουλος", ["Παπαδόπουλος"]),
+])
+def test_later_mentions_follow_the_first(text, names):
+    made, _ = pii.rewrite(text, {}, "own key")
+    for name in names:
+        assert not re.search(rf"(?<!\w){name}(?!\w)", made), made
+    mine = dict(zip([text[a:b].lower() for a, b, _ in pii.find(text)], [None] * 99, strict=False))
+    drawn = [pii.shaped(k, text[a:b], pii.surrogate(k, pii.plain(k, text[a:b]), 0, "own key")) for a, b, k in pii.find(text)]
+    assert len({d.lower() for d in drawn}) == len(mine) and all(d in made for d in drawn)
+    assert ("Smithson" in made) == ("Smithson" in text)
+
+
+def test_national_numbers():
+    for number in ("020 7946 0958", "06 12 34 56 78", "06.12.34.56.78", "(0161) 496 0123", "0171-1234567", "0049 30 901820"):
+        made, n = pii.rewrite(f"call {number} now", {}, "own key")
+        assert n == 1 and number not in made and re.sub(r"\d", "0", made) == re.sub(r"\d", "0", f"call {number} now")
+        assert [k for *_, k in pii.find(f"call {number} now")] == ["phone"] and made[5:7].strip("(")[0] == "0"
+    for text in ("on 01.02.2024 or 05-06-24", "0123 45", "from 02 to 07", "0.5 1.25", "at 09:30"):
+        assert pii.rewrite(text, {}, "own key") == (text, 0)
+
+
+def test_another_key_draws_other_surrogates():
+    for kind, entity in (("email", "jo.doe@mail.example.com"), ("phone", "10175557713"), ("secret", "abcdef0123456789"), ("ip", "97.51.17.173")):
+        assert len({pii.surrogate(kind, entity, 0, key) for key in ("a", "b", "c")}) == 3
 
 
 def test_masked_values_are_no_secrets():
     for text in ("password: ********", "Token:\n==========", "secret: ........."):
-        assert pii.rewrite(text, {}) == (text, 0)
-    assert pii.rewrite("password: *******7", {})[1] == 1
+        assert pii.rewrite(text, {}, "own key") == (text, 0)
+    assert pii.rewrite("password: *******7", {}, "own key")[1] == 1
 
 
 def test_surrogates_grow_until_one_is_free():
     for kind, entity in (("email", "_@_.org"), ("secret", "*******7"), ("secret", "********"), ("phone", "1234")):
-        drawn = [pii.surrogate(kind, entity, k) for k in range(40)]
+        drawn = [pii.surrogate(kind, entity, k, "own key") for k in range(40)]
         assert len(set(drawn[-30:])) == 30 and entity not in drawn[-30:]
         assert pii.shaped(kind, entity, drawn[-1]) == drawn[-1]
 
@@ -131,7 +162,7 @@ def test_surrogates_grow_until_one_is_free():
 @pytest.mark.parametrize("name", ["Παπαδόπουλος", "الخطيب", "כהןלוי", "शर्मा", "王小明", "გიორგაძე", "Հակոբյան", "สมชาย", "김민수", "さくら"])
 def test_names_keep_their_script(name):
     text = f"Dr. {name}, Mrs {name} {name}."
-    made, n = pii.rewrite(text, {})
+    made, n = pii.rewrite(text, {}, "own key")
     words = re.findall(r"[^ .,]+", made)
     assert n == 3 and len(words) == 5 and (words[0], words[2]) == ("Dr", "Mrs")
     for word in (words[1], words[3], words[4]):
@@ -142,13 +173,13 @@ def test_names_keep_their_script(name):
 
 def test_long_addresses_are_replaced_whole():
     local = "jane.doe." * 12 + "z"
-    made, n = pii.rewrite(f"to {local}@mail.example.com now", {})
+    made, n = pii.rewrite(f"to {local}@mail.example.com now", {}, "own key")
     assert n == 1 and "jane" not in made and made.startswith("to ") and made.endswith(".com now")
 
 
 def test_redrawn_surrogates_differ():
     for kind, entity in (("family", "smith"), ("given_f", "anna"), ("email", "a@b.org"), ("phone", "10175557713"), ("ip", "1.2.3.4")):
-        assert len({pii.surrogate(kind, entity, k) for k in range(4)}) >= 3
+        assert len({pii.surrogate(kind, entity, k, "own key") for k in range(4)}) >= 3
 
 
 @pytest.fixture(scope="module")
@@ -165,6 +196,38 @@ def test_cut_texts_encode_as_whole(enc, text):
     assert tokens.decode(tokens.encode(text, enc), enc) == text.encode()
 
 
+def by_match(text, enc):
+    import regex
+
+    return [i for m in regex.finditer(public_tokenizers.PATTERN, text) for i in enc._encode_single_piece(m.group())]
+
+
+@pytest.mark.parametrize("run", [" ", "\n", "\t\u3000 \xa0"])
+@pytest.mark.parametrize("size", [4095, 4096, 4097, 2_000_000])
+def test_long_white_space_is_one_match(enc, run, size):
+    blank = (run * size)[:size]
+    for text in (blank, blank + "word", "a " + blank, "one\n" + blank + "x " + blank + "\x1c", blank + "'s" + blank[:5000] + "7"):
+        assert tokens.encode(text, enc).tolist() == by_match(text, enc)
+        if size < 10_000:
+            assert tokens.encode(text, enc).tolist() == enc.encode_ordinary(text)
+
+
+def test_other_long_runs(enc):
+    for text in ("a" * 300_000, "-" * 300_000 + " x", "1" * 300_000, "é日" * 100_000 + " \n"):
+        assert tokens.encode(text, enc).tolist() == enc.encode_ordinary(text)
+
+
+def test_batches_are_encoded_a_few_rows_at_a_time():
+    import pyarrow as pa
+
+    texts = [None, "", "x" * 3_000_000, "é" * 600_000] + ["word " * 40] * 1000 + [None] * 300
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    got = list(tokens.few(batch, 1))
+    assert [t for part in got for t in part.column(1).to_pylist()] == texts
+    assert all(part.num_rows <= 256 for part in got)
+    assert all(part.num_rows == 1 or sum(len((t or "").encode()) for t in part.column(1).to_pylist()) <= tokens.STEP_BYTES for part in got)
+
+
 def test_null_and_special_texts(enc):
     assert tokens.encode(None, enc).tolist() == [] and tokens.decode(tokens.encode("", enc), enc) == b""
     assert tokens.decode(tokens.encode("<|endoftext|> x", enc), enc) == b"<|endoftext|> x"
@@ -196,7 +259,7 @@ def test_language_kernel_is_the_share_of_common_grams():
     p = language.Params(most=3, bits=24)
     texts = ["ab ba", "ab bc", "zz", ""]
     columns = np.unique(np.concatenate([h for h, _ in language._grams(texts, p)])).astype(np.int64)
-    held = language.presence(texts, columns, p)
+    held, sizes = language.presence(texts, columns, p)
 
     def plain(text):
         out = set()
@@ -207,7 +270,10 @@ def test_language_kernel_is_the_share_of_common_grams():
 
     sets = [plain(t) for t in texts]
     want = [[len(a & b) / max(1, len(a)) ** 0.5 / max(1, len(b)) ** 0.5 for b in sets] for a in sets]
-    assert np.allclose(language.kernel(held, held), want)
+    assert sizes.tolist() == [len(s) for s in sets]
+    assert np.allclose(language.kernel(held, sizes, held), want)
+    some = columns[::2]  # n-grams that no landmark has count in a text's own number
+    assert language.presence([*texts, "ab bc " * 100_000], some, p)[1].tolist() == [*sizes.tolist(), len(plain("ab bc"))]
 
 
 def test_language_learns_and_knows_what_has_no_letter():
@@ -239,6 +305,43 @@ def test_graph_search_finds_the_nearest():
     assert hits >= 0.95 * 10 * len(queries)
 
 
+@pytest.mark.parametrize("scale, kind", [(1e25, np.float32), (1e-25, np.float32), (1e200, np.float64), (1e-200, np.float64), (None, np.float32)])
+def test_search_at_any_scale(scale, kind):
+    """All ten are found, whatever the components' size, also where some are tiny beside others (None)."""
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(600, 8))
+    vectors = (base * scale if scale else np.where(np.arange(600)[:, None] % 2, 1e20, 1e-10) * base).astype(kind)
+    with np.errstate(all="raise", under="ignore"):
+        own, found, far = hnsw.nearest(hnsw.build(np.arange(600), vectors), np.arange(0, 600, 7), vectors[::7], 10)
+    assert np.isfinite(far).all() and (far > 0).all()
+    hits = 0
+    for q in range(0, 600, 7):
+        exact = [(float(np.linalg.norm(vectors[q].astype(np.longdouble) - v)), k) for k, v in enumerate(vectors.astype(np.longdouble)) if k != q]
+        got = found[own == q].tolist()
+        assert len(got) == 10
+        hits += len({k for _, k in sorted(exact)[:10]} & set(got))
+    assert hits >= 0.95 * len(found)
+
+
+def test_search_measures_a_part_of_the_shard(monkeypatch):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(50, 32))
+    vectors = (centres[rng.integers(0, 50, 12_000)] + 0.7 * rng.normal(size=(12_000, 32))).astype(np.float32)
+    p = hnsw.Params(search=64, seen_bytes=1 << 17)  # 87 searches at once
+    assert p.together(12_000) == 87
+    graph, measured, plain = hnsw.build(np.arange(12_000), vectors, p), [0], hnsw.distances
+    monkeypatch.setattr(hnsw, "distances", lambda v, q, n: (measured.__setitem__(0, measured[0] + int((n >= 0).sum())), plain(v, q, n))[1])
+    asked = np.arange(0, 12_000, 100)
+    own, found, _ = hnsw.nearest(graph, asked, vectors[asked], 10, p)
+    assert measured[0] / len(asked) < 0.15 * 12_000
+    hits = 0
+    for q in asked:
+        far = ((vectors - vectors[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        hits += len(set(np.argpartition(far, 10)[:10].tolist()) & set(found[own == q].tolist()))
+    assert hits >= 0.9 * 10 * len(asked)
+
+
 def test_graph_of_one_row():
     own, found, _ = hnsw.nearest(hnsw.build(np.array([7]), np.ones((1, 3))), np.array([7, 8]), np.ones((2, 3)), 10)
     assert own.tolist() == [8] and found.tolist() == [7]

@@ -92,14 +92,34 @@ def test_near_copies_of_many_degrees(spark):
     assert sorted(tuple(r)[:3] for r in got) == sorted(plain_components(texts, 2))
 
 
-def test_keep_one_keeps_columns_and_clean_rows(docs, empty):
-    kept = neardup.keep_one(docs)
-    assert kept.columns == docs.columns
-    got = sorted((r.doc_id, r.text or "") for r in kept.where("doc_id is not null").collect())
-    first = {i for i, _, c in plain_components(awkward(), 5) if i == c and i is not None}
-    want = sorted({(i, t or "") for i, t in awkward() if i in first})
-    assert got == want
-    assert kept.where("doc_id is null").count() == 2
+def plain_keep_one(texts):
+    """The rows that stay: of each group its first by id (none last), of an id's texts one, of equal rows one."""
+    sets = [shingle_set(t, 5) for _, t in texts]
+    group = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            old, new = group[a], group[b]
+            group = [new if g == old else g for g in group]
+    wordless = [(i, t) for (i, t), s in zip(texts, sets, strict=True) if not s]
+    groups = {}
+    for (i, t), s, g in zip(texts, sets, group, strict=True):
+        if s:
+            groups.setdefault(g, set()).add((i is None, i, t))
+    return wordless, [{(i, t) for none, i, t in rows if (none, i) == min((n, k) for n, k, _ in rows)} for rows in groups.values()]
+
+
+def test_keep_one_keeps_columns_and_one_of_each_group(spark, docs, empty):
+    words = [f"w{k}" for k in range(60)]
+    near = words[:59] + ["x"]
+    more = [(None, "five equal texts that have no id at all")] * 5 + [(30, " ".join(words)), (31, " ".join(near)), (31, "another text of 31 altogether")]
+    for texts, table in ((awkward(), docs), (more, spark.createDataFrame(rows_of(more), SCHEMA).repartition(2))):
+        kept = neardup.keep_one(table)
+        assert kept.columns == table.columns
+        got = [(r.doc_id, r.text) for r in kept.collect()]
+        wordless, groups = plain_keep_one(texts)
+        assert sorted((r for r in got if not WORD.search(r[1] or "")), key=str) == sorted(wordless, key=str)
+        rest = [r for r in got if WORD.search(r[1] or "")]
+        assert len(rest) == len(groups) and all(any(r in g for r in rest) for g in groups)
     assert neardup.keep_one(empty).count() == 0
 
 
@@ -168,6 +188,22 @@ def test_surrogates_are_distinct_and_coherent(spark, docs, empty):
     assert pii.with_surrogates(empty).count() == 0
 
 
+def test_no_entity_is_left_and_the_key_is_the_sessions(spark, docs):
+    """Every plain form that a text's entities have is gone from it; a configured key gives the same text again."""
+    rng = random.Random(9)
+    people = ["Mr. Jon Farrow", "Mrs Ilse Brandt", "Dr. Okafor", "Peter Quill"]
+    parts = ["x@y.example.com", "+1 (017) 555-7713", "97.51.17.173", "4111-1111-1111-1111", "020 7946 0958", "GB82 WEST 1234 5698 7654 32", "token=abcd1234efgh", *people]
+    texts = [(k, ". ".join(rng.sample(parts, 4)) + ". Farrow met Brandt, Okafor, Quill and Ilse") for k in range(60)]
+    table = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    made = {r.doc_id: r.text for r in pii.surrogates(table, key="mine").collect()}
+    for k, text in texts:
+        for form in {text[a:b] for a, b, _ in pii.find(text)}:
+            assert not re.search(rf"(?<!\w){re.escape(form)}(?!\w)", made[k]), (form, made[k])
+    assert {r.doc_id: r.text for r in pii.surrogates(table, key="mine").collect()} == made
+    assert {r.doc_id: r.text for r in pii.surrogates(table, key="other").collect()} != made
+    assert pii.session_key(spark) == pii.session_key(spark) == spark.conf.get(pii.SETTING) and len(pii.session_key(spark)) >= 32
+
+
 def test_surrogates_end_where_few_or_none_are_free(spark):
     texts = ["password: ********", "Token:\n==========", "ask _@_.org or __@-.net"] + [f"secret: *******{k}" for k in range(10)]
     made = [r.text for r in pii.surrogates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
@@ -176,13 +212,14 @@ def test_surrogates_end_where_few_or_none_are_free(spark):
 
 
 def test_tokens_round_trip(docs, empty):
-    got = docs.select("doc_id", "text", tokens.encoded(docs).alias("m")).select("doc_id", "text", "m.*")
+    got = tokens.encoded(docs.select("doc_id", F.col("text").alias("kept"), F.lit("x").alias("ids"), "text")).withColumnRenamed("kept", "text")
     for r in got.withColumn("back", tokens.texts(got)).collect():
         text = (r.text or "").encode()
         assert bytes(r.back) == text and len(r.ids) == r.n_tokens
         assert r.decoded_sha256 == hashlib.sha256(text).hexdigest()
         assert r.ids_sha256 == hashlib.sha256(b"".join(int(i).to_bytes(4, "little") for i in r.ids)).hexdigest()
-    assert empty.select(tokens.encoded(empty).alias("m")).count() == 0
+    assert got.count() == len(awkward()) and tokens.encoded(empty).count() == 0
+    assert tokens.encoded(docs, keep_ids=False).columns == ["doc_id", "lang", "source", "n_chars", "kept", "score", "node", "key", "size", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
 def test_quality_over_odd_tables(docs, empty, labels):
@@ -203,6 +240,44 @@ def test_language_over_odd_tables(docs, empty):
     assert empty.select(language.identify(empty, language.train(empty)).alias("m")).count() == 0
 
 
+def test_no_language_is_lost_to_length(spark):
+    long = "der fluss und die kleine stadt am berg " * 210
+    rows = [(k, f"{long} nummer {k}", "de") for k in range(60)] + [(100 + k, f"the river and the town number {k}", "en") for k in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(table)
+    assert model.languages == ("de", "en")
+    got = table.select("lang", language.identify(table, model).alias("m")).collect()
+    assert all(r.m.lang_pred == r.lang for r in got)
+
+
+def test_long_texts_teach_quality(spark):
+    good, bad = "a calm and useful text about the river ", "buy now $$$ click here free free "
+    rows = [(k, (good if k % 2 else bad) * 900) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(k, 1) for k in range(1000, 9000)], "doc_id long, quality int")
+    sample = quality.training_sample(docs, labels, quality.Params())
+    assert sample.count() >= 40 and sample.select(F.max(F.length("text"))).first()[0] == 20_000
+    kept = {r.doc_id for r in quality.keep_good(docs, labels).collect()}
+    assert kept == {k for k in range(60) if k % 2}
+
+
+def test_many_good_labels_move_no_text(spark):
+    docs = spark.range(100).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    plans = []
+
+    def caught(df, name, **options):
+        if name == "buckets":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, name, **options)
+
+    keep, rules.settle = rules.settle, caught
+    try:
+        rules.ratios(docs, spark.range(200_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality")))
+    finally:
+        rules.settle = keep
+    assert "BroadcastHashJoin" in plans[0] and "hashpartitioning(doc_id" not in plans[0]
+
+
 def plain_rules(text):
     text = text or ""
     words = WORD.findall(text)
@@ -277,48 +352,39 @@ def test_passages_of_mixed_copies(spark, seed):
     assert {r.doc_id: r.n_repeated for r in got.collect()} == {k: len(c) for k, c in enumerate(want)}
 
 
-def test_backoff_is_that_of_plain_counts(docs, empty):
+@pytest.mark.parametrize("p", [backoff.Params(), backoff.Params(order=1), backoff.Params(order=2, slices=1), backoff.Params(order=4, slices=3, chunk_words=300)])
+def test_backoff_is_that_of_plain_counts(docs, empty, p):
+    """Each text by the counts of all other rows, n-gram by n-gram."""
     import math
     from collections import Counter
 
     texts = [WORD.findall(t or "") for _, t in awkward()]
-    single, pair = Counter(w for t in texts for w in t), Counter(p for t in texts for p in itertools.pairwise(t))
-    total = sum(single.values())
+    counts = [Counter(tuple(t[i : i + n]) for n in range(1, p.order + 1) for i in range(len(t) - n + 1)) for t in texts]
+    every, total = sum(counts, Counter()), sum(map(len, texts))
 
-    def score(words):
-        out = math.log(single[words[0]] / total)
-        for a, b in itertools.pairwise(words):
-            out += math.log(pair[a, b] / single[a]) if pair[a, b] >= 2 else math.log(0.4 * single[b] / total)
-        return out / len(words)
+    def word(gram, own, words):
+        if not gram:
+            return math.log(p.alpha) - math.log(max(1, total - words))
+        if every[gram] > own[gram]:
+            below = every[gram[:-1]] - own[gram[:-1]] if len(gram) > 1 else total - words
+            return math.log((every[gram] - own[gram]) / below)
+        return word(gram[1:], own, words) + (math.log(p.alpha) if len(gram) > 1 else 0)
 
-    got = sorted((str((r.doc_id, r.n_words)), r.lm_score) for r in backoff.score(docs).collect())
-    want = sorted((str((i, len(ws))), score(ws) if ws else None) for (i, _), ws in zip(awkward(), texts, strict=True))
+    got = sorted((str((r.doc_id, r.n_words)), r.lm_score) for r in backoff.score(docs, p).collect())
+    want = [(str((i, len(ws))), sum(word(tuple(ws[max(0, k + 1 - p.order) : k + 1]), own, len(ws)) for k in range(len(ws))) / len(ws) if ws else None)
+            for (i, _), ws, own in zip(awkward(), texts, counts, strict=True)]
+    assert len(got) == len(want)
     for (a, x), (b, y) in zip(sorted(got, key=str), sorted(want, key=str), strict=True):
         assert a == b and (x is None) == (y is None) and (x is None or abs(x - y) < 2e-6)
-    assert backoff.score(empty).count() == 0
+    assert backoff.score(empty, p).count() == 0
 
 
-@pytest.mark.parametrize("order, least", [(3, 1), (3, 2), (2, 1), (4, 1), (1, 1)])
-def test_backoff_of_any_order_is_that_of_plain_counts(spark, docs, empty, order, least):
-    import math
-    from collections import Counter
-
-    texts = [WORD.findall(t or "") for _, t in awkward()]
-    seen = Counter(tuple(t[i : i + n]) for t in texts for n in range(1, order + 1) for i in range(len(t) - n + 1))
-    total = sum(map(len, texts))
-
-    def word(gram):
-        if len(gram) == 1:
-            return math.log(seen[gram] / total)
-        return math.log(seen[gram] / seen[gram[:-1]]) if seen[gram] >= least else math.log(0.4) + word(gram[1:])
-
-    p = backoff.Params(order=order, least=least, slices=2)
-    got = sorted((str((r.doc_id, r.n_words)), r.lm_score) for r in backoff.score(docs, p).collect())
-    want = [(str((i, len(ws))), sum(word(tuple(ws[max(0, k + 1 - order) : k + 1])) for k in range(len(ws))) / len(ws) if ws else None)
-            for (i, _), ws in zip(awkward(), texts, strict=True)]
-    for (a, x), (b, y) in zip(sorted(got, key=str), sorted(want, key=str), strict=True):
-        assert a == b and (x is None) == (y is None) and (x is None or abs(x - y) < 2e-6)
-    assert (backoff.WHOLE.order, backoff.WHOLE.least) == (3, 1)
+def test_copies_tell_each_other(spark):
+    """A text that occurs twice is told by its copy; one that is alone backs off."""
+    rng = random.Random(6)
+    texts = [(k, " ".join(f"w{rng.randint(0, 400)}" for _ in range(80))) for k in range(40)]
+    got = {r.doc_id: r.lm_score for r in backoff.score(spark.createDataFrame([*texts, (100, texts[7][1])], "doc_id long, text string").repartition(3)).collect()}
+    assert got[7] == got[100] > -0.5 > -4 > max(v for k, v in got.items() if k not in (7, 100))
 
 
 def test_neighbours_over_odd_vectors(spark):
@@ -328,7 +394,7 @@ def test_neighbours_over_odd_vectors(spark):
     odd = [(2000, None, 1), (2100, [], 1), (2200, [0.0] * 8, 1), (2300, [None] + [1.0] * 7, 1), (2400, [float("nan")] * 8, 1),
            (2500, [float("inf")] * 8, 1), (None, [1.0] * 8, 1), (2600, [1.0, 2.0], 1), (2601, [1.0, 3.0], 1)]
     table = spark.createDataFrame(made + odd, "vec_id long, embedding array<double>, shard int")
-    got = neighbours.search(table, table.where("vec_id % 100 = 0"), neighbours.Params(shard_rows=200, block_rows=3)).collect()
+    got = neighbours.search(table, table.where("vec_id % 100 = 0"), neighbours.Params(shard_bytes=64_000, block_bytes=1000)).collect()
     good = made + odd[-2:]
     hits = all_ = 0
     for q in sorted({k for k, *_ in good if k % 100 == 0}):
