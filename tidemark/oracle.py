@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from tidemark.plans.spec import BASELINE_SPEC, KIND_KEYS, SPEC_1, SPEC_2, Feature, Spec
 from tidemark.plans.splits import BASELINE, CALENDAR, LATEST, SET_1, SET_2, Catalogue
-from tidemark.queries import LAST_WEEK, WITHDRAWN, _weekday
+from tidemark.queries import LAST_WEEK, STUMP_FEATURES, WITHDRAWN, _weekday
 from tidemark.sources.schema import LABELS
 
 WATCH = """ev AS (
@@ -275,6 +275,68 @@ def _range_rows(columns: list[tuple[str, str, str]]) -> str:
     return " UNION ALL ".join(parts)
 
 
+def stump_ctes(cat: Catalogue, spec: Spec, learned: str) -> str:
+    """``best``: for each model ``k`` and label the split that takes most squared error away, among all of all features.
+
+    ``learned`` gives the models, rows (k, condition on u).
+    """
+    some = spec.pick((7,), lambda f: f.name in STUMP_FEATURES)
+    values = ", ".join(f"{{'feature': {i}, 'x': coalesce(CAST(lf.{quote(f.name)} AS DOUBLE), -1e6::DOUBLE)}}" for i, f in enumerate(some.features))
+    names = ", ".join(f"{{'label': '{y}', 'y': CAST(r.{y} AS DOUBLE)}}" for y in LABELS)
+    return f"""{base()},
+{split_ctes(cat)},
+{labels_cte(cat)},
+{feature_ctes(cat, some)},
+rw AS (SELECT split, did, active_days, watch_nums, watch_durations FROM la UNION ALL SELECT DISTINCT 'test', did, NULL, NULL, NULL FROM lo),
+fo AS (
+  SELECT did, CAST((row_number() OVER (ORDER BY md5(concat_ws('|', '42', CAST(did AS VARCHAR))), did) - 1) % 5 AS INTEGER) AS fold
+  FROM (SELECT DISTINCT did FROM rw WHERE split <> 'test')),
+one AS (
+  SELECT r.split, r.did, fold, unnest([{values}]) AS f, [{names}] AS labels
+  FROM rw r LEFT JOIN lf ON r.split = lf.split AND r.did = lf.did LEFT JOIN fo ON r.did = fo.did),
+two AS (SELECT split, did, fold, f, unnest(labels) AS l FROM one),
+u AS (SELECT split, did, fold, f.feature AS feature, f.x AS x, l.label AS label, l.y AS y FROM two),
+t AS (
+  SELECT k, label, feature, x, CAST(count(*) AS DOUBLE) AS n, sum(y) AS s, sum(y * y) AS q
+  FROM u JOIN ({learned}) m ON m.fold IS DISTINCT FROM u.fold AND coalesce(m.split, u.split) = u.split
+  WHERE u.split <> 'test' AND y IS NOT NULL GROUP BY ALL),
+c AS (
+  SELECT *, sum(n) OVER w AS ln, sum(s) OVER w AS ls, sum(q) OVER w AS lq, sum(n) OVER p AS wn, sum(s) OVER p AS ws, sum(q) OVER p AS wq,
+         lead(x) OVER w AS nx FROM t
+  WINDOW w AS (PARTITION BY k, label, feature ORDER BY x), p AS (PARTITION BY k, label, feature)),
+g AS (
+  SELECT *, (wq - ws * ws / wn) / wn - ln / wn * ((lq - ls * ls / ln) / ln)
+    - (wn - ln) / wn * (((wq - lq) - (ws - ls) * (ws - ls) / (wn - ln)) / (wn - ln)) AS gain FROM c WHERE nx IS NOT NULL),
+best AS (
+  SELECT k, label, feature, (x + nx) / 2 AS threshold, ls / ln AS low, (ws - ls) / (wn - ln) AS high, gain * wn AS gain
+  FROM g WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY k, label ORDER BY gain DESC, feature, x) = 1)"""
+
+
+_BY_FOLD = "SELECT unnest(range(5)) AS k, CAST(unnest(range(5)) AS INTEGER) AS fold, NULL AS split"
+_BY_SPLIT = "SELECT * FROM (VALUES ('valid', -1, 'train_1'), ('test', -1, 'valid')) AS m(k, fold, split)"
+_LEAF = "CASE WHEN x <= threshold THEN low ELSE high END"
+
+
+def importance_stump() -> str:
+    names = [f.wide(7) for f in SPEC_1.pick((7,), lambda f: f.name in STUMP_FEATURES).features]
+    rows = ", ".join(f"({i}, '{n}')" for i, n in enumerate(names))
+    columns = ", ".join(
+        f"count(*) FILTER (k = {f}) AS importance_{f}, " + shown(f"coalesce(sum(gain) FILTER (k = {f}), 0)", f"importance_gain_{f}") for f in range(5))
+    labels = ", ".join(f"('{y}')" for y in LABELS)
+    return f"""{stump_ctes(SET_1, SPEC_1, _BY_FOLD)}
+SELECT n.name AS "Feature", l.label, {columns}
+FROM (VALUES {rows}) AS n(feature, name) CROSS JOIN (VALUES {labels}) AS l(label) LEFT JOIN best ON best.feature = n.feature AND best.label = l.label
+GROUP BY n.name, l.label"""
+
+
+def test_stump() -> str:
+    means = ", ".join(f"avg({_LEAF}) FILTER (u.label = '{y}') AS {y}" for y in LABELS)
+    return f"""{stump_ctes(SET_1, SPEC_1, _BY_FOLD)},
+z AS (SELECT did, {means} FROM best JOIN u ON u.label = best.label AND u.feature = best.feature WHERE split = 'test' GROUP BY did)
+SELECT CAST(did AS BIGINT) AS did, {shown(clipped('active_days', 1, 7), 'active_days')}, {shown(clipped('watch_nums', 0), 'watch_nums')},
+  {shown(clipped('watch_durations', 0), 'watch_durations')} FROM z"""
+
+
 _BANDS = " ".join(f"WHEN anchor - date_day < {d} THEN {d}" for d in SPEC_1.windows)
 
 ORACLE: dict[str, str] = {
@@ -292,6 +354,40 @@ ORACLE: dict[str, str] = {
 {_filter('day_range_6', 'date_day BETWEEN d - 6 AND d')} UNION ALL
 {_filter('lookback_7', 'd - date_day BETWEEN 0 AND 6')} UNION ALL
 {_filter('instant_range_7', '"timestamp" BETWEEN t - 7 * 86400 AND t')}""",
+    "days_stored": f"""{base()}, {split_ctes(SET_1)}, mt AS (SELECT max(date_day) AS d, max("timestamp") AS t FROM lo)
+{_filter('day_range_6', 'date_day BETWEEN d - 6 AND d').replace('lo, mx', 'lo, mt')} UNION ALL
+{_filter('lookback_7', 'd - date_day BETWEEN 0 AND 6').replace('lo, mx', 'lo, mt')} UNION ALL
+{_filter('instant_range_7', '"timestamp" BETWEEN t - 7 * 86400 AND t').replace('lo, mx', 'lo, mt')} UNION ALL
+SELECT min("timestamp"), max("timestamp"), count(*), 'labels_train_2' FROM lo JOIN sp ON date_day BETWEEN l_first AND l_last WHERE split = 'train_2'""",
+    "user_anchors": f"""{base()},
+b AS (SELECT did, min(date_day) AS f, max(date_day) AS l FROM lo GROUP BY did),
+an AS (
+  SELECT did, l AS anchor, 7 AS days FROM b UNION SELECT did, l, 60 FROM b UNION SELECT did, f + 13, 14 FROM b)
+SELECT an.did, anchor, days, count(DISTINCT date_day) AS active_days, count(lo.did) AS watch_nums,
+  CASE WHEN count(lo.did) = 0 THEN 0 ELSE {distinct('vid')} END AS videos, {shown('sum(vts)', 'watch_durations')}
+FROM an LEFT JOIN lo ON an.did = lo.did AND lo.date_day BETWEEN anchor - (days - 1) AND anchor GROUP BY an.did, anchor, days""",
+    "even_folds": f"""{_labels(SET_1)} SELECT split, did,
+  CAST((row_number() OVER (ORDER BY md5(concat_ws('|', '42', split, CAST(did AS VARCHAR))), split, did) - 1) % 5 AS INTEGER) AS fold FROM la""",
+    "coded_texts": f"""{base()}, {split_ctes(BASELINE)},
+{feature_ctes(BASELINE, BASELINE_SPEC.pick(BASELINE_SPEC.windows, lambda f: f.block == "favourite"))},
+k AS (SELECT split, did, cid_like, classify_id_like FROM lf WHERE days = 28),
+a AS (SELECT cid_like AS v, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, cid_like) - 1 AS DOUBLE) AS code FROM k WHERE split <> 'test' AND cid_like IS NOT NULL GROUP BY cid_like),
+b AS (SELECT classify_id_like AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, classify_id_like) - 1 AS DOUBLE) AS code FROM k WHERE split <> 'test' AND classify_id_like IS NOT NULL GROUP BY classify_id_like)
+SELECT cid_like AS liked, split, did, coalesce(a.code, (SELECT count(*) FROM a)) AS cid_like,
+  coalesce(b.code, (SELECT count(*) FROM b)) AS classify_id_like, a.n AS times
+FROM k LEFT JOIN a ON cid_like = a.v LEFT JOIN b ON classify_id_like = b.v""",
+    "csv_rejects": f"""{base()},
+k AS (SELECT *, CASE (((vid + did) % 11) + 11) % 11 WHEN 0 THEN 'more' WHEN 1 THEN 'fewer' WHEN 2 THEN 'value' ELSE 'good' END AS kind FROM ev)
+SELECT 'user ' || did AS what, count(*) AS "rows", {shown('sum(vts)', 'seconds')} FROM k WHERE kind = 'good' GROUP BY did
+UNION ALL SELECT kind, count(*), NULL FROM k WHERE kind <> 'good' GROUP BY kind""",
+    "oof_stump": f"""{stump_ctes(SET_1, SPEC_1, _BY_FOLD)}
+SELECT split, did, u.fold, u.label, {shown(_LEAF, 'prediction')}
+FROM best JOIN u ON u.fold = best.k AND u.label = best.label AND u.feature = best.feature WHERE split <> 'test'""",
+    "test_stump": test_stump(),
+    "importance_stump": importance_stump(),
+    "holdout_stump": f"""{stump_ctes(SET_2, SPEC_2, _BY_SPLIT)}
+SELECT k AS part, did, u.label, {shown(_LEAF, 'prediction')}
+FROM best JOIN u ON u.split = best.k AND u.label = best.label AND u.feature = best.feature""",
     "labels_valid": f"{_labels(SET_1)} SELECT did, {shown_labels()} FROM la WHERE split = 'valid'",
     "labels_all_splits": f"{_labels(SET_1)} SELECT split, did, {shown_labels()} FROM la",
     "order_labels": f"{_labels(SET_2, ORDERS)} SELECT split, did, {shown_labels()} FROM la",
@@ -312,7 +408,7 @@ GROUP BY split, date_day, anchor""",
     "features_long_baseline": long_sql(BASELINE, BASELINE_SPEC),
     "order_features_set_1": long_sql(SET_1, SPEC_1, ORDERS),
     "sample_wide": wide_sql(SET_1, SPEC_1, SPEC_1.windows),
-    "stacked_splits": wide_sql(SET_2, SPEC_2, SPEC_2.windows, ("train_1", "valid")),
+    "stacked_splits": wide_sql(SET_2, SPEC_2, SPEC_2.windows, ("train_3", "train_2", "train_1", "valid")),
     "baseline_sample": wide_sql(BASELINE, BASELINE_SPEC, BASELINE_SPEC.windows, tenure=True),
     "favourite_category": long_sql(BASELINE, BASELINE_SPEC.pick(BASELINE_SPEC.windows, lambda f: f.block == "favourite")),
     "unmatched_items": f"""{base()} SELECT did, count(*) AS watches, count(DISTINCT vid) AS videos,
@@ -320,7 +416,7 @@ GROUP BY split, date_day, anchor""",
     "deduped_items": f"""{base()} SELECT did, cid, count(*) AS watches, {shown('sum(vts)', 'seconds')} FROM pe GROUP BY did, cid""",
     "sorted_predictions": f"""{_labels(SET_1)} SELECT CAST(did AS VARCHAR) AS did,
   CAST(row_number() OVER (ORDER BY did) AS INTEGER) AS place FROM la WHERE split = 'valid'""",
-    "csv_samples": wide_sql(BASELINE, BASELINE_SPEC, (7,)),
+    "csv_samples": wide_sql(BASELINE, BASELINE_SPEC, BASELINE_SPEC.windows),
     "preview": f"""{_labels(SET_1)} SELECT did, {shown_labels()} FROM la WHERE split = 'valid' ORDER BY did LIMIT 5""",
     "top_categories": f"""{base()},
 c AS (SELECT did, classify_id, count(*) AS "rows" FROM pe WHERE classify_id IS NOT NULL GROUP BY ALL)

@@ -172,7 +172,7 @@ def _centres(cells: DataFrame, measures: list[str], crowded: bool) -> DataFrame:
 
 
 def _base_block(cells: DataFrame, layout: Layout, spec: Spec, crowded: bool = False) -> DataFrame:
-    kinds = [f.arg[0] for f in spec.features if f.kind == "kind_sum"]
+    kinds = list(dict.fromkeys(f.arg[0] for f in spec.features if f.kind.startswith("kind_")))
     parts = _stat_parts(spec, "base")
     weighted = {f"{m}_{p}": f"{m}_{p[1:] or 's'}" for m, ps in parts.items() for p in ps if p in ("w", "wn")}
     spread = [m for m, ps in parts.items() if "q" in ps]
@@ -370,12 +370,12 @@ def long_features(
         return df.repartition("did")
 
     heavy = layout.users
-    # a missing user id compares as not heavy, so every row is in exactly one part
-    crowd = F.coalesce(heavy.holds(F.col("did")), F.lit(False))
-    ordinary = cells.where(~crowd) if heavy.any else cells
+    # a missing user id is heavy or not, so every row is in exactly one part
+    marked = heavy.marked(cells, "did", "_crowd") if heavy.any else cells
+    ordinary = marked.where("NOT _crowd").drop("_crowd") if heavy.any else cells
     out = _user_features(by_user(ordinary), items, layout, spec, by_user, broadcast_bytes)
     if heavy.any:
-        crowded = cells.where(crowd)
+        crowded = marked.where("_crowd").drop("_crowd")
         out = out.unionByName(
             _user_features(crowded, items, layout, spec, lambda df: df, broadcast_bytes, True)
         )

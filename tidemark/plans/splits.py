@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.clock import DAY_SECONDS, LOCAL_ZONE, day_number, local_day
 from tidemark.functions.measures import decay_weight
 from tidemark.operators.joins import TASK_ROWS, Heavy, heavy_keys, key_counts
+from tidemark.session import settle
 
 CALENDAR, ROLLING = "calendar", "rolling"
 
@@ -114,11 +115,9 @@ def survey(
     splits = tuple(replace(s, anchor=a) for s, a in zip(catalogue.bounds(last), anchors, strict=True))
     if not skew:
         return Layout(catalogue.mode, last, splits, rows, zone=zone)
-    items = key_counts(events, "vid")
-    return Layout(
-        catalogue.mode, last, splits, rows, items.count(),
-        heavy_keys(key_counts(events, "did"), task_rows), heavy_keys(items, task_rows), zone,
-    )
+    # both tables of counts are kept, so that each is made by one pass over the events
+    items, users = (settle(key_counts(events, k), f"rows-by-{k}") for k in ("vid", "did"))
+    return Layout(catalogue.mode, last, splits, rows, items.count(), heavy_keys(users, task_rows), heavy_keys(items, task_rows), zone)
 
 
 def reach(layout: Layout, longest: int) -> tuple[int, int] | None:
@@ -136,7 +135,7 @@ def reach(layout: Layout, longest: int) -> tuple[int, int] | None:
 def prune(events: DataFrame, layout: Layout, longest: int) -> DataFrame:
     """Drop events no window can reach."""
     bounds = reach(layout, longest)
-    return events.where(F.col("timestamp").between(*bounds) if bounds else F.lit(False))
+    return _days_between(events, bounds) if bounds else events.where(F.lit(False))
 
 
 def label_reach(layout: Layout) -> tuple[int, int] | None:
@@ -153,13 +152,23 @@ def history_reach(layout: Layout) -> tuple[int, int] | None:
     return (max(min(h[0] for h in ends) * unit, -(2**50)) - DAY_SECONDS, max(h[1] for h in ends) * unit + 2 * DAY_SECONDS) if ends else None
 
 
+def _days_between(df: DataFrame, bounds: tuple[int, int]) -> DataFrame:
+    """Rows around two epoch seconds, by their time and, where they have it, their local day: with the day's slack
+    that ``bounds`` have, no zone loses a row. Tables stored by day are read in part."""
+    df = df.where(F.col("timestamp").between(*bounds))
+    if "date_day" not in df.columns:
+        return df
+    first, last = (F.date_from_unix_date(F.lit(max(-719162, min(2932896, b // DAY_SECONDS)))) for b in bounds)
+    return df.where(F.col("date_day").between(first, last))
+
+
 def label_members(df: DataFrame, layout: Layout) -> DataFrame:
     """Each event once per split whose label range holds it."""
     at = layout.position()
     bounds = label_reach(layout)
     if not bounds:
         return df.where(F.lit(False)).withColumn("split", F.lit(""))
-    df = df.where(F.col("timestamp").between(*bounds))
+    df = _days_between(df, bounds)
     hits = [F.when(at.between(*s.label), F.lit(s.name)) for s in layout.splits if s.label]
     return df.withColumn("split", F.explode(F.array_compact(F.array(*hits))))
 
@@ -169,7 +178,7 @@ def history_members(df: DataFrame, layout: Layout) -> DataFrame:
     at, bounds = layout.position(), history_reach(layout)
     if not bounds:
         return df.where(F.lit(False)).withColumn("split", F.lit(""))
-    df = df.where(F.col("timestamp").between(*bounds))
+    df = _days_between(df, bounds)
     hits = [F.when(at.between(*s.history), F.lit(s.name)) for s in layout.splits]
     return df.withColumn("split", F.explode(F.array_compact(F.array(*hits))))
 

@@ -2,22 +2,24 @@
 
 The sample table is read once into one vector per row and written to the shared folder;
 all fits read that. Trees are grown by ``pyspark.ml`` from binned statistics merged over
-the executors, so no task or driver ever holds the training rows.
+the executors, so no task or driver ever holds the training rows. Where rows are held out, the error
+after each round is taken on them in one pass and the ensemble is cut at its best round. Importances
+are sums over the stored models' node tables.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranks import even_folds, value_codes
 from tidemark.operators.scoring import clip_predictions, composite_score, prediction_columns, r2_scores
 from tidemark.plans.samples import feature_columns
-from tidemark.session import settle
+from tidemark.session import new_path, settle
 from tidemark.sources.schema import LABELS
 
 MISSING = -1e6  # below all data: trees can split missing values off
@@ -30,7 +32,7 @@ class Params:
     max_depth: int = 8  # 256 leaves when grown level by level
     max_bins: int = 255
     feature_fraction: float = 0.5
-    tolerance: float = 0.001
+    patience: int = 50  # rounds without a smaller error on held-out rows, after which none is looked for
     seed: int = 2023
     folds: int = 5
     fold_seed: int = 42
@@ -38,7 +40,7 @@ class Params:
 
 PARAMS_1 = Params()
 PARAMS_2 = Params(rounds=3000)
-BASELINE_PARAMS = Params(rounds=3000, learning_rate=0.05, feature_fraction=1.0, seed=114)
+BASELINE_PARAMS = Params(rounds=3000, learning_rate=0.05, feature_fraction=1.0, patience=100, seed=114)
 
 
 def assign_folds(df: DataFrame, key: str | list[str] = "did", k: int = 5, seed: int = 42) -> DataFrame:
@@ -66,31 +68,74 @@ def numeric_features(df: DataFrame) -> list[str]:
 
 
 def number_texts(df: DataFrame, learned: DataFrame) -> DataFrame:
-    """Text features as the rank of their value's frequency in ``learned``; new and missing ones last."""
-    text = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string" and f.name in feature_columns(df)]
-    if not text:
-        return df
-    made = StringIndexer(
-        inputCols=text, outputCols=[f"{c}_index" for c in text], handleInvalid="keep", stringOrderType="frequencyDesc"
-    ).fit(learned).transform(df)
-    return made.drop(*text).withColumnsRenamed({f"{c}_index": c for c in text})
-
+    """Text features as the rank of their value's frequency in ``learned``, ties by value; new and missing ones last.
 
-def fit_one(rows: DataFrame, label: str, held_out: str | None, params: Params) -> GBTRegressionModel:
-    """One model; ``held_out`` is a condition naming the early-stopping rows."""
-    kept = rows.where(F.col(label).isNotNull())
-    stop = {}
-    if held_out is not None:
-        kept = kept.withColumn("_held", F.expr(held_out))
-        stop = {"validationIndicatorCol": "_held", "validationTol": params.tolerance}
-    booster = GBTRegressor(
+    Each dictionary is a table that is joined, however many values it has.
+    """
+    text = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string" and f.name in feature_columns(df)]
+    out = df
+    for c in text:
+        codes = value_codes(learned, c)
+        last = codes.count()
+        codes = codes.select(F.col("value").alias("_value"), F.col("code").cast("double").alias("_code"))
+        out = out.join(codes, F.col(f"`{c}`") == F.col("_value"), "left").withColumn("_code", F.coalesce("_code", F.lit(float(last))))
+        out = out.drop("_value", c).withColumnRenamed("_code", c)
+    return out
+
+
+def _booster(label: str, params: Params, rounds: int) -> GBTRegressor:
+    return GBTRegressor(
         labelCol=label, featuresCol="features", predictionCol="prediction",
-        maxIter=params.rounds, stepSize=params.learning_rate, maxDepth=params.max_depth,
+        maxIter=rounds, stepSize=params.learning_rate, maxDepth=params.max_depth,
         maxBins=params.max_bins, seed=params.seed,
         featureSubsetStrategy="all" if params.feature_fraction >= 1 else str(params.feature_fraction),
-        **stop,
     )
-    return booster.fit(kept)
+
+
+def best_round(errors: list[float], patience: int) -> tuple[int, bool]:
+    """The round, from 1, of the smallest error before ``patience`` rounds brought none smaller, and whether they did so."""
+    best = 0
+    for at, error in enumerate(errors):
+        if error < errors[best]:
+            best = at
+        elif at - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def cut(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The model of the first ``rounds`` trees."""
+    if rounds >= model.getNumTrees:
+        return model
+    context, whole = SparkSession.active().sparkContext, model._java_obj
+    made = context._jvm.org.apache.spark.ml.regression
+    trees = context._gateway.new_array(made.DecisionTreeRegressionModel, rounds)
+    weights = context._gateway.new_array(context._jvm.double, rounds)
+    for k, (tree, weight) in enumerate(zip(whole.trees()[:rounds], model.treeWeights[:rounds], strict=True)):
+        trees[k], weights[k] = tree, float(weight)
+    return GBTRegressionModel(made.GBTRegressionModel(f"{whole.uid()}-{rounds}", trees, weights))
+
+
+def fit_one(rows: DataFrame, label: str, held_out: str | None, params: Params) -> GBTRegressionModel:
+    """One model; ``held_out`` is a condition naming the rows that say at which round to stop.
+
+    Rounds are grown in runs, each twice as long as the one before, until ``patience`` rounds
+    after the best one are seen or all are: at most twice the rounds that are looked at are fitted.
+    """
+    kept = rows.where(F.col(label).isNotNull())
+    if held_out is None:
+        return _booster(label, params, params.rounds).fit(kept)
+    held = F.coalesce(F.expr(held_out), F.lit(False))
+    learned, asked = kept.where(~held), kept.where(held)
+    if asked.isEmpty():
+        return _booster(label, params, params.rounds).fit(learned)
+    rounds = min(params.rounds, 2 * params.patience)
+    while True:
+        model = _booster(label, params, rounds).fit(learned)
+        best, settled = best_round(model.evaluateEachIteration(asked, "squared"), params.patience)
+        if settled or rounds >= params.rounds:
+            return cut(model, best)
+        rounds = min(params.rounds, 2 * rounds)
 
 
 @dataclass
@@ -158,7 +203,7 @@ def train(train_rows: DataFrame, test_rows: DataFrame, params: Params = PARAMS_1
           fold_key: str | list[str] = "did", labels=LABELS) -> Trained:
     """Folds, a model per label and fold, and the test rows ready to score."""
     features = numeric_features(train_rows)
-    folded = assign_folds(train_rows, fold_key, params.folds, params.fold_seed)
+    folded = even_folds(train_rows, fold_key, params.folds, params.fold_seed)
     rows = settle(vectorize(folded, features, labels), "train-vectors")
     test = settle(vectorize(test_rows, features, ()), "test-vectors")
     return Trained({y: fit_oof(rows, y, params) for y in labels}, test, features)
@@ -190,27 +235,33 @@ def refit_and_score(
     return prediction_columns(out)
 
 
-def split_counts(model: GBTRegressionModel, n_features: int) -> list[int]:
-    """How many splits use each feature, over all trees of the model."""
-    counts = [0] * n_features
-    for line in model.toDebugString.splitlines():
-        words = line.split()
-        if words and words[0] == "If":
-            counts[int(words[2])] += 1
-    return counts
+def node_table(models: list[GBTRegressionModel]) -> DataFrame:
+    """One row per split of the models' trees: fold, tree, node, feature (by place), rows and gain.
+
+    Models are stored and their node tables read; ``gain`` is the squared error that the split
+    takes away, over all its rows.
+    """
+    spark, out = SparkSession.active(), None
+    for fold, model in enumerate(models):
+        path = new_path(spark, "model")
+        model.write().save(path)
+        nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").where("leftChild >= 0").select(
+            F.lit(fold).alias("fold"), F.col("treeID").alias("tree"), F.col("id").alias("node"), F.col("split.featureIndex").alias("feature"),
+            F.col("rawCount").alias("rows"), (F.col("gain") * F.col("rawCount")).alias("gain"))
+        out = nodes if out is None else out.unionByName(nodes)
+    return out
 
 
 def importance_table(models: list[GBTRegressionModel], features: list[str]) -> DataFrame:
-    """One row per feature: split count and gain-based importance of each fold's model."""
-    from pyspark.sql import SparkSession
-
+    """One row per feature: for each fold's model, its splits and their gain; the most split on in the first come first."""
     spark = SparkSession.active()
-    counts = [split_counts(m, len(features)) for m in models]
-    gains = [m.featureImportances.toArray() for m in models]
-    rows = [
-        (name, *[v for f in range(len(models)) for v in (counts[f][i], float(gains[f][i]))])
-        for i, name in enumerate(features)
-    ]
-    columns = ", ".join(f"importance_{f} long, importance_gain_{f} double" for f in range(len(models)))
-    table = spark.createDataFrame(rows, f"Feature string, {columns}")
+    names = spark.createDataFrame(list(enumerate(features)), "_at int, Feature string")
+    nodes = node_table(models)
+    folds = range(len(models))
+    sums = nodes.groupBy(F.col("feature").alias("_at")).agg(*[c for f in folds for c in (
+        F.count_if(F.col("fold") == f).alias(f"importance_{f}"),
+        F.coalesce(F.sum(F.when(F.col("fold") == f, F.col("gain"))), F.lit(0.0)).alias(f"importance_gain_{f}"))])
+    columns = [c for f in folds for c in (f"importance_{f}", f"importance_gain_{f}")]
+    table = names.join(sums, "_at", "left").select("Feature", *[
+        F.coalesce(F.col(c), F.lit(0.0 if "gain" in c else 0)).alias(c) for c in columns])
     return table.orderBy(F.desc("importance_0"), "Feature")

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.measures import decay_weight
 from tidemark.operators import attach as attaching
+from tidemark.operators.anchors import anchor_activity
 from tidemark.operators import scoring
+from tidemark.operators.joins import heavy_keys, key_counts
 from tidemark.operators.labels import label_table, users
 from tidemark.operators.narrow import narrow_types, range_profile
 from tidemark.operators.prepare import add_measures, attach_items, calendar_parts, localize, prepare
 from tidemark.operators.ranges import day_range, instant_range, lookback, window_bounds
+from tidemark.operators.ranks import even_folds, placed, value_codes
 from tidemark.plans import samples as sampling
 from tidemark.plans import training
 from tidemark.plans.features import long_features
@@ -23,7 +26,7 @@ from tidemark.plans.splits import (
 from tidemark.session import new_path, settle
 from tidemark.sources import tables
 from tidemark.sources.adapters import order_events, order_items, watch_events, watch_items
-from tidemark.sources.schema import LABELS
+from tidemark.sources.schema import BEHAVIORS, LABELS
 
 # rounds, depth and bins of the training queries: small, and the same at every size; rows, splits,
 # windows, labels and features are all there
@@ -101,15 +104,30 @@ def bounds_by_split(spark, sf_dir):
 def range_filters(spark, sf_dir):
     """The three range forms, each ending at the table's last event."""
     w = Watch(spark, sf_dir, skew=False)
-    local, day = w.local, F.date_from_unix_date(F.lit(w.layout.last))
-    end = local.agg(F.max("timestamp")).scalar()
+    last = (w.layout.last + 1) * 86400  # the scan leaves out what is weeks before
+    out = _ranges(localize(w._read((last - 10 * 86400, last + 86400))), w)
+    return sampling.stack(*out)
+
+
+def _ranges(local: DataFrame, w: Watch) -> list[DataFrame]:
+    day = F.date_from_unix_date(F.lit(w.layout.last))
+    end = w.local.agg(F.max("timestamp")).first()[0]
     parts = {
         "day_range_6": day_range(local, day, 6),
         "lookback_7": lookback(local, day, 7),
         "instant_range_7": instant_range(local, end, 7),
     }
-    out = [window_bounds(df).withColumn("filter", F.lit(name)) for name, df in parts.items()]
-    return sampling.stack(*out)
+    return [window_bounds(df).withColumn("filter", F.lit(name)) for name, df in parts.items()]
+
+
+def days_stored(spark, sf_dir):
+    """Events stored by local day: the three range forms and the labels of a split, read from the days they need."""
+    w = Watch(spark, sf_dir, SET_1, skew=False)
+    path = new_path(spark, "events-by-day")
+    tables.write_by_day(w.events, path)
+    stored = tables.read_by_day(spark, path)
+    labels = window_bounds(label_members(stored, w.layout.only("train_2"))).withColumn("filter", F.lit("labels_train_2"))
+    return sampling.stack(*_ranges(stored, w), labels)
 
 
 def labels_valid(spark, sf_dir):
@@ -199,16 +217,30 @@ ATTACHED = {
 
 def _attached(keys: list[str], prefix: str):
     def query(spark, sf_dir):
-        rows = Watch(spark, sf_dir).last_window(7).select("did", "vid", "timestamp", "vts", "cid", "is_intact", "date_day")
+        w = Watch(spark, sf_dir)
+        rows = w.last_window(7).select("did", "vid", "timestamp", "vts", "cid", "is_intact", "date_day")
         groups = attaching.group_activity(rows, keys, prefix)
-        return shown(attaching.attach(rows, keys, groups))
+        heavy = w.layout.items if keys[-1] == "vid" else heavy_keys(key_counts(rows, keys[-1]))
+        return shown(attaching.attach(rows, keys, groups, heavy=heavy))
 
     return query
 
 
 def item_row_count(spark, sf_dir):
     rows = watch_events(spark, sf_dir)
-    return attaching.attach(rows, ["vid"], attaching.group_rows(rows, ["vid"], "g_vid"))
+    heavy = heavy_keys(key_counts(rows, "vid"))
+    return attaching.attach(rows, ["vid"], attaching.group_rows(rows, ["vid"], "g_vid"), heavy=heavy)
+
+
+def user_anchors(spark, sf_dir):
+    """Activity up to days of each user's own: its last day, and two weeks after its first."""
+    w = Watch(spark, sf_dir)
+    local = w.local
+    spans = local.groupBy("did").agg(F.min("date_day").alias("first"), F.max("date_day").alias("last"))
+    rows = F.array(*[F.struct(day.alias("anchor"), F.lit(n).alias("days")) for day, n in (
+        (F.col("last"), 7), (F.col("last"), 60), (F.date_add("first", 13), 14))])
+    anchors = spans.select("did", F.inline(rows))
+    return shown(anchor_activity(local, anchors, w.layout.users))
 
 
 def _long(catalogue: Catalogue, spec: Spec, orders: bool = False):
@@ -228,10 +260,10 @@ def sample_wide(spark, sf_dir):
 
 
 def stacked_splits(spark, sf_dir):
-    """Two splits built, stored and read back on their own, then stacked."""
+    """Every labelled split built, stored and read back on its own, then stacked."""
     w = Watch(spark, sf_dir, SET_2)
     made = []
-    for name in ("train_1", "valid"):
+    for name in ("train_3", "train_2", "train_1", "valid"):
         part = Watch.__new__(Watch)
         part.events, part.items, part.layout, part._read = w.events, w.items, w.layout.only(name), w._read
         path = new_path(spark, f"sample-{name}")
@@ -277,16 +309,14 @@ def sorted_predictions(spark, sf_dir):
     """Predictions as stored: each user's place in the files read one after the other."""
     path = new_path(spark, "predictions-sorted") + ".csv"
     tables.write_predictions(Watch(spark, sf_dir, SET_1, skew=False).labels("valid"), path)
-    read = tables.read_predictions(spark, path).withColumn("file", F.input_file_name())
-    order = Window.partitionBy(F.lit(0)).orderBy("file", "at")
-    return read.withColumn("at", F.monotonically_increasing_id()).select("did", F.row_number().over(order).alias("place"))
+    read = tables.read_predictions(spark, path).withColumns({"file": F.input_file_name(), "at": F.monotonically_increasing_id()})
+    return placed(read, [F.col("file"), F.col("at")]).select("did", F.col("place").cast("int").alias("place"))
 
 
 def csv_samples(spark, sf_dir):
     """A sample with text and number columns, stored as CSV and read by its schema."""
     w = Watch(spark, sf_dir, BASELINE)
-    spec = BASELINE_SPEC.pick((7,), lambda f: True)
-    sample = shown(sampling.samples(w.local, long_features(w.seen(spec), w.layout, spec), w.layout, spec))
+    sample = shown(_sample(w, BASELINE_SPEC))
     path = new_path(spark, "samples") + ".csv"
     tables.write_samples(sample, path, "csv")
     return tables.read_samples(spark, path, "csv", sample.schema)
@@ -307,6 +337,22 @@ def fold_assignment(spark, sf_dir):
     return training.assign_folds(w.labels().select("split", "did"), ["split", "did"])
 
 
+def dealt_folds(spark, sf_dir):
+    """Rows of the label table in folds that differ by one row at most."""
+    w = Watch(spark, sf_dir, SET_1, skew=False)
+    return even_folds(w.labels().select("split", "did"), ["split", "did"])
+
+
+def coded_texts(spark, sf_dir):
+    """Favourite categories as the ranks of their frequency, and each value's code."""
+    likes = favourite_category(spark, sf_dir).where("days = 28")
+    coded = training.number_texts(likes.drop("days"), likes.where("split <> 'test'"))
+    out = likes.select("split", "did", F.col("cid_like").alias("liked")).join(
+        coded.select("split", "did", "cid_like", "classify_id_like"), ["split", "did"])
+    codes = value_codes(likes.where("split <> 'test'"), "cid_like").select(F.col("value").alias("liked"), F.col("rows").alias("times"))
+    return out.join(codes, "liked", "left")
+
+
 def _carried(w: Watch) -> DataFrame:
     """Labels of the newest split, predicted by the same user's previous week."""
     before = w.labels("train_1").select("did", *[F.col(y).alias(f"{y}_preds") for y in LABELS])
@@ -364,6 +410,22 @@ def csv_tables(spark, sf_dir):
     return shown(prepared.select("did", "vid", "vts", "timestamp", "date_day", "cid", "is_intact", "u_date"))
 
 
+def csv_rejects(spark, sf_dir):
+    """Events as CSV lines of which some are broken: the good rows by user, and the broken lines by kind."""
+    events = watch_events(spark, sf_dir)
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in BEHAVIORS.names])
+    kind = F.pmod(F.col("vid") + F.col("did"), F.lit(11))
+    broken = (F.when(kind == 0, F.concat(line, F.lit(",more"))).when(kind == 1, F.concat_ws(",", "did", "vid"))
+              .when(kind == 2, F.regexp_replace(line, "^([^,]*,[^,]*),[^,]*", "$1,x")).otherwise(line))
+    path = new_path(spark, "broken") + ".csv"
+    events.select(broken.alias("value")).write.text(path)
+    good, rejects = tables.read_lines(spark, path, BEHAVIORS, header=False)
+    fields = F.size(F.split("line", ","))
+    why = F.when(fields > 4, "more").when(fields < 4, "fewer").otherwise("value")
+    kept = good.groupBy(F.concat(F.lit("user "), "did").alias("what")).agg(F.count(F.lit(1)).alias("rows"), F.sum("vts").alias("seconds"))
+    return shown(sampling.stack(kept, rejects.groupBy(why.alias("what")).agg(F.count(F.lit(1)).alias("rows"))))
+
+
 def column_ranges(spark, sf_dir):
     return shown(range_profile(Watch(spark, sf_dir, SET_1, skew=False).labels()))
 
@@ -411,6 +473,61 @@ def importance(spark, sf_dir):
     return sampling.stack(*parts)
 
 
+# one round of depth one: trees that can be stated in SQL; the features have few values, so every split is looked at
+STUMP = training.Params(rounds=1, max_depth=1, max_bins=255, feature_fraction=1.0)
+STUMP_FEATURES = ("did_date_nunique", "did_vid_count", "is_intact_1_vid", "is_intact_4_vid")
+
+
+def _stump_sample(spark, sf_dir, catalogue: Catalogue, spec: Spec) -> DataFrame:
+    some = spec.pick((7,), lambda f: f.name in STUMP_FEATURES)
+    return tables_settled(_sample(Watch(spark, sf_dir, catalogue), some))
+
+
+def _stumps(spark, sf_dir) -> training.Trained:
+    table = _stump_sample(spark, sf_dir, SET_1, SPEC_1)
+    return training.train(sampling.training_rows(table), sampling.test_rows(table), STUMP)
+
+
+def _by_label(trained: training.Trained) -> DataFrame:
+    return sampling.stack(*[
+        fit.oof.select("split", "did", "fold", F.lit(y).alias("label"), F.col(f"{y}_preds").alias("prediction"))
+        for y, fit in trained.fits.items()])
+
+
+def oof_stump(spark, sf_dir):
+    """Out-of-fold predictions of one-split trees, for every label."""
+    return shown(_by_label(_stumps(spark, sf_dir)))
+
+
+def test_stump(spark, sf_dir):
+    """Test predictions of one-split trees: the mean over the folds' models, clipped."""
+    return shown(_stumps(spark, sf_dir).predictions())
+
+
+def importance_stump(spark, sf_dir):
+    """Splits and gain of each feature in each label's and fold's one-split tree, stored and read back."""
+    trained, out = _stumps(spark, sf_dir), []
+    for y in LABELS:
+        path, table = new_path(spark, f"importance-{y}") + ".csv", trained.importance(y)
+        tables.write_importance(table, path)
+        out.append(spark.read.schema(table.schema).option("header", True).csv(path).withColumn("label", F.lit(y)))
+    return shown(sampling.stack(*out))
+
+
+def holdout_stump(spark, sf_dir):
+    """One-split trees: learned on the earlier split and scored on ``valid``, learned again there and scored on test."""
+    table = _stump_sample(spark, sf_dir, SET_2, SPEC_2)
+    table = table.where("split IN ('train_1', 'valid', 'test')")
+    features = training.numeric_features(table)
+    rows = training.vectorize(sampling.training_rows(table), features)
+    test = training.vectorize(sampling.test_rows(table), features, ())
+    tuned = {y: training.fit_holdout(rows, y, STUMP) for y in LABELS}
+    scored = [s.select(F.lit("valid").alias("part"), "did", F.lit(y).alias("label"), F.col(f"{y}_preds").alias("prediction")) for y, (_, s) in tuned.items()]
+    final = training.refit_and_score(rows, test, {y: m for y, (m, _) in tuned.items()}, STUMP)
+    last = [final.select(F.lit("test").alias("part"), "did", F.lit(y).alias("label"), F.col(y).alias("prediction")) for y in LABELS]
+    return shown(sampling.stack(*scored, *last))
+
+
 def holdout_predictions(spark, sf_dir):
     """Train on the earlier split, stop and score on ``valid``, refit there, score test."""
     w = Watch(spark, sf_dir, BASELINE)
@@ -429,6 +546,7 @@ QUERIES = {
     "event_calendar": event_calendar,
     "window_bounds": bounds_by_split,
     "range_filters": range_filters,
+    "days_stored": days_stored,
     "labels_valid": labels_valid,
     "labels_all_splits": labels_all_splits,
     "order_labels": order_labels,
@@ -438,6 +556,7 @@ QUERIES = {
     **{name: _last_week(keep) for name, keep in LAST_WEEK.items()},
     **{name: _attached(*how) for name, how in ATTACHED.items()},
     "item_row_count": item_row_count,
+    "user_anchors": user_anchors,
     "features_long_set_1": _long(SET_1, SPEC_1),
     "features_long_set_2": _long(SET_2, SPEC_2),
     "features_long_baseline": _long(BASELINE, BASELINE_SPEC),
@@ -454,12 +573,15 @@ QUERIES = {
     "csv_samples": csv_samples,
     "preview": preview,
     "fold_assignment": fold_assignment,
+    "even_folds": dealt_folds,
+    "coded_texts": coded_texts,
     "r2_score": r2_score,
     "composite_score": composite_score,
     "clip_predictions": clip_predictions,
     "blend_predictions": blend_predictions,
     "key_mismatch": key_mismatch,
     "csv_tables": csv_tables,
+    "csv_rejects": csv_rejects,
     "range_profile": column_ranges,
     "narrow_types": narrowed_types,
     "oof_predictions": oof_predictions,
@@ -467,4 +589,8 @@ QUERIES = {
     "test_predictions": test_predictions,
     "holdout_predictions": holdout_predictions,
     "importance": importance,
+    "oof_stump": oof_stump,
+    "test_stump": test_stump,
+    "importance_stump": importance_stump,
+    "holdout_stump": holdout_stump,
 }

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.clock import parse_release
+from tidemark.operators.prepare import localize
+from tidemark.session import settle
 from tidemark.sources.schema import BEHAVIORS, ITEM_COLUMNS, ITEMS_TEXT, LABELS, PREDICTIONS
 
 
@@ -37,6 +39,41 @@ def rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     ])
 
 
+def read_lines(
+    spark: SparkSession, path: str, schema: T.StructType, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """The good rows of a CSV table, and its broken lines (``line``) with their text.
+
+    Broken are lines with fewer or more fields than the file has, with a value that its declared type
+    cannot hold, or with a quote that does not fit. A value that is left out is NULL, not broken.
+    With a header columns are matched by name, in whatever order the file has them, and all that are
+    not declared are texts; without one the file has the declared columns. The lines are parsed once and stored.
+    """
+    names = spark.read.option("header", True).csv(path).columns if header else schema.names
+    kinds = {f.name: f.dataType for f in schema}
+    declared = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names] + [T.StructField("_line", T.StringType())])
+    parsed = spark.read.schema(declared).options(
+        header=header, mode="PERMISSIVE", columnNameOfCorruptRecord="_line", columnPruning=False, enforceSchema=True).csv(path)
+    parsed = settle(parsed, "lines")
+    good = parsed.where("_line IS NULL").select(*[F.col(f"`{f.name}`") for f in schema])
+    return good, parsed.where("_line IS NOT NULL").select(F.col("_line").alias("line"))
+
+
+def write_by_day(events: DataFrame, path: str) -> None:
+    """Events with their local day, one folder per day: what asks for some days reads those only.
+
+    Rows are dealt by ranges of day and user, so a busy day has several files and a quiet one few.
+    """
+    rows = events if "date_day" in events.columns else localize(events)
+    rows.drop("date").repartitionByRange("date_day", "did").write.partitionBy("date_day").parquet(path)
+
+
+def read_by_day(spark: SparkSession, path: str) -> DataFrame:
+    """Events stored by ``write_by_day``; conditions on ``date_day`` choose folders."""
+    rows = spark.read.parquet(path)
+    return rows.withColumn("date", F.timestamp_seconds("timestamp")) if "date" not in rows.columns else rows
+
+
 def read_behaviors(spark: SparkSession, path: str, fmt: str | None = None, strict: bool = True) -> DataFrame:
     return _read(spark, path, fmt, BEHAVIORS, strict)
 
