@@ -77,7 +77,9 @@ def fit(texts, labels, p: Params) -> np.ndarray:
     rng = np.random.default_rng(p.seed)
     vectors = rng.uniform(-1 / p.dim, 1 / p.dim, (1 << p.bits, p.dim))
     layer, bias = np.zeros((p.dim, 2)), np.zeros(2)
-    found = [np.unique(b, return_counts=True) for b in bags(texts, p)]
+    # some texts at a time: a text's distinct buckets are far fewer than its features
+    found = [(b.astype(np.int32), c.astype(np.int32)) for at in range(0, len(texts), 64) for b, c in (
+        np.unique(bag, return_counts=True) for bag in bags(texts[at : at + 64], p))]
     steps, done = p.epochs * len(found), 0
     for _ in range(p.epochs):
         for i in rng.permutation(len(found)):
