@@ -207,3 +207,36 @@ def test_importance_is_that_of_the_node_tables(spark):
             assert got[name][f"importance_{fold}"] == named.count(at)
             assert (got[name][f"importance_gain_{fold}"] > 0) == (at in named)
     assert training.importance_table(models, ["a", "b", "c"]).first().Feature == "a"
+
+
+def test_deviation_of_attached_values_keeps_its_digits(spark):
+    """Large counts that differ by little, each for many rows, against the deviation of the rows written out."""
+    import statistics
+
+    from tidemark.functions import moments
+    from tidemark.plans.features import _repeated
+
+    rng = random.Random(2)
+    for base in (10**9, 10**12):
+        rows = [("u", "test", d, base + rng.randint(0, 2), rng.randint(1, 9), 1.0) for d in (1, 7) for _ in range(60)]
+        opened = spark.createDataFrame(rows, "did string, split string, days int, k long, n long, w double")
+        parts = {"k": moments.needed(["std"])}
+        for crowded in (False, True):
+            got = _repeated(opened, parts, {}, crowded).selectExpr("days", f"{moments.statistic('std', 'k')} AS std").collect()
+            for r in got:
+                want = statistics.stdev([x[3] - base for x in rows if x[2] == r.days for _ in range(x[4])])
+                assert abs(r["std"] - want) < 1e-6 * want
+
+
+def test_written_tables_are_removed(spark):
+    import os
+
+    from tidemark import session
+
+    path = new_path(spark, "t-gone")
+    spark.range(3).write.parquet(path)
+    before, session._MADE[spark.sparkContext.applicationId] = session._MADE[spark.sparkContext.applicationId], [path]
+    try:
+        assert os.path.isdir(path) and session.release(spark) == 1 and not os.path.exists(path)
+    finally:
+        session._MADE[spark.sparkContext.applicationId] = before

@@ -53,14 +53,14 @@ def whole(name: str) -> bool:
     return name.endswith(("active_days", "watch_nums", "g_vid"))
 
 
-def repeated_parts(name: str, value: str, times: str, weight: str, parts) -> list[Column]:
-    """Parts of a value that stands for ``times`` rows of total weight ``weight``."""
+def repeated_parts(name: str, value: str, times: str, weight: str, parts, centre: str = "0") -> list[Column]:
+    """Parts of a value that stands for ``times`` rows of total weight ``weight``; squares are about ``centre``."""
     ways = {
         "n": f"sum(if({value} IS NOT NULL, {times}, NULL))",
         # products of counts may pass what a long holds
         "s": f"sum(CAST({value} AS DECIMAL(19,0)) * CAST({times} AS DECIMAL(19,0)))" if whole(name) else f"sum({value} * {times})",
-        "q": f"sum(1.0D * {value} * {value} * {times})",
-        "d": f"sum(1.0D * {value} * {times})",
+        "q": f"sum(1.0D * ({value} - {centre}) * ({value} - {centre}) * {times})",
+        "d": f"sum(1.0D * ({value} - {centre}) * {times})",
         "lo": f"min({value})",
         "hi": f"max({value})",
         "w": f"sum({value} * {weight})",

@@ -2,9 +2,9 @@
 
 1. Events shrink to cells, one per (user, video, local day), holding mergeable sums.
    This is the only shuffle of event rows and it combines on the map side.
-2. Cells are placed by user, so that every per-user grouping below is local. Users too
-   heavy for one task stay unplaced: the same code then runs with Spark's ordinary
-   two-step aggregations, which spread them over finer keys.
+2. Cells are stored by user, so that every per-user grouping below is local and reads them
+   without a shuffle. Users too heavy for one task stay unplaced: the same code then runs with
+   Spark's ordinary two-step aggregations, which spread them over finer keys.
 3. A cell meets a split at most once and carries its smallest window (``band``). Groups
    are aggregated per band and only the small results are repeated per window.
 4. Item aggregates are made per (split, video) with one array slot per window, get the
@@ -24,7 +24,7 @@ from tidemark.functions import moments
 from tidemark.operators.joins import BROADCAST_BYTES, Heavy, lookup_join
 from tidemark.plans.spec import CID_KEYS, ITEM_KEYS, KIND_KEYS, Feature, Spec
 from tidemark.plans.splits import CALENDAR, Layout, prune, window_members
-from tidemark.session import settle
+from tidemark.session import settle, settle_by
 
 DIMS = ("cid", "is_intact", "classify_id", "series_id")
 USER_WINDOW = ("did", "split", "days")
@@ -171,6 +171,29 @@ def _centres(cells: DataFrame, measures: list[str], crowded: bool) -> DataFrame:
     return cells.withColumns({f"{m}_c": F.min(f"`{m}_lo`").over(here) for m in measures})
 
 
+def _spread_columns(opened: DataFrame, parts: dict[str, list[str]], source: dict[str, str], crowded: bool) -> DataFrame:
+    """``opened`` with the smallest value of each deviation's column in its user's window, as the centre of its squares.
+
+    A user's values may be large and differ by little; about one of themselves their squares keep all digits.
+    """
+    columns = list(dict.fromkeys(source.get(k, k) for k, ps in parts.items() if "q" in ps))
+    if not columns:
+        return opened
+    least = {f"_c_{c}": f"min(`{c}`)" for c in columns}
+    if crowded:
+        found = opened.groupBy(*USER_WINDOW).agg(*[F.expr(f"{e} AS `{n}`") for n, e in least.items()])
+        return opened.join(F.broadcast(found), list(USER_WINDOW))
+    here = Window.partitionBy(*USER_WINDOW)
+    return opened.withColumns({n: F.expr(e).over(here) for n, e in least.items()})
+
+
+def _repeated(opened: DataFrame, parts: dict[str, list[str]], source: dict[str, str], crowded: bool) -> DataFrame:
+    """Parts per user's window of values (in the columns ``source`` names) that stand for ``n`` rows of weight ``w``."""
+    rows = _spread_columns(opened, parts, source, crowded)
+    return rows.groupBy(*USER_WINDOW).agg(*[c for k, ps in parts.items() for c in moments.repeated_parts(
+        k, source.get(k, k), "n", "w", ps, f"`_c_{source.get(k, k)}`")])
+
+
 def _base_block(cells: DataFrame, layout: Layout, spec: Spec, crowded: bool = False) -> DataFrame:
     kinds = list(dict.fromkeys(f.arg[0] for f in spec.features if f.kind.startswith("kind_")))
     parts = _stat_parts(spec, "base")
@@ -257,7 +280,7 @@ def _item_bytes(spec: Spec, values: int) -> int:
 
 
 def _item_block(
-    cells: DataFrame, items: DataFrame, layout: Layout, spec: Spec, place: Place, limit: int
+    cells: DataFrame, items: DataFrame, layout: Layout, spec: Spec, place: Place, limit: int, crowded: bool
 ) -> DataFrame:
     parts = _stat_parts(spec, "item")
     per_item = _members(cells, layout, spec).groupBy("did", "split", "vid").agg(
@@ -277,13 +300,10 @@ def _item_block(
     opened = opened.select(
         *USER_WINDOW, "n", "w", *[F.expr(f"get({k}, slot) AS {k}") for k in parts]
     )
-    full = opened.groupBy(*USER_WINDOW).agg(
-        *[c for k, ps in parts.items() for c in moments.repeated_parts(k, k, "n", "w", ps)]
-    )
-    return _finish(full, spec, "item")
+    return _finish(_repeated(opened, parts, {}, crowded), spec, "item")
 
 
-def _cid_block(cells: DataFrame, layout: Layout, spec: Spec) -> DataFrame:
+def _cid_block(cells: DataFrame, layout: Layout, spec: Spec, crowded: bool) -> DataFrame:
     """The user's collection aggregates need no join: the group is the user's own."""
     parts = _stat_parts(spec, "cid")
     rows = _members(cells.where("cid IS NOT NULL"), layout, spec)
@@ -295,10 +315,7 @@ def _cid_block(cells: DataFrame, layout: Layout, spec: Spec) -> DataFrame:
     )
     opened = _open_windows(totals, spec, ["did", "split"], "nwas")
     source = dict(zip(CID_KEYS, "ans", strict=True))
-    full = opened.groupBy(*USER_WINDOW).agg(
-        *[c for k, ps in parts.items() for c in moments.repeated_parts(k, source[k], "n", "w", ps)]
-    )
-    return _finish(full, spec, "cid")
+    return _finish(_repeated(opened, parts, source, crowded), spec, "cid")
 
 
 def _favourite_block(cells: DataFrame, layout: Layout, spec: Spec) -> DataFrame:
@@ -326,9 +343,9 @@ def _user_features(
     if "distinct" in blocks:
         made.append(_distinct_block(cells, layout, spec))
     if "cid" in blocks:
-        made.append(_cid_block(cells, layout, spec))
+        made.append(_cid_block(cells, layout, spec, crowded))
     if "item" in blocks:
-        made.append(_item_block(cells, items, layout, spec, place, limit))
+        made.append(_item_block(cells, items, layout, spec, place, limit, crowded))
     if len(made) == 1:
         out = made[0]
     elif made:
@@ -361,21 +378,24 @@ def long_features(
     """
     blocks = spec.blocks()
     cells = daily_cells(prepared, layout, spec)
+    heavy = layout.users
+    # a missing user id is heavy or not, so every row is in exactly one part
+    marked = heavy.marked(cells, "did", "_crowd") if heavy.any else cells.withColumn("_crowd", F.lit(False))
     keep = len(blocks) > 1 if keep_cells is None else keep_cells
-    if keep:
-        cells = settle(cells, "cells")
-    items = item_aggregates(cells, layout, spec, broadcast_bytes) if "item" in blocks else None
+    if keep and heavy.any:
+        marked = settle(marked, "cells")
+    ordinary = marked.where("NOT _crowd").drop("_crowd")
 
     def by_user(df: DataFrame) -> DataFrame:
         return df.repartition("did")
 
-    heavy = layout.users
-    # a missing user id is heavy or not, so every row is in exactly one part
-    marked = heavy.marked(cells, "did", "_crowd") if heavy.any else cells
-    ordinary = marked.where("NOT _crowd").drop("_crowd") if heavy.any else cells
-    out = _user_features(by_user(ordinary), items, layout, spec, by_user, broadcast_bytes)
-    if heavy.any:
-        crowded = marked.where("_crowd").drop("_crowd")
+    # stored by user: every block below reads its columns where they lie
+    placed = settle_by(ordinary, "did", "cells_by_user") if keep else by_user(ordinary)
+    crowded = marked.where("_crowd").drop("_crowd") if heavy.any else None
+    cells = placed if crowded is None else placed.unionByName(crowded)
+    items = item_aggregates(cells, layout, spec, broadcast_bytes) if "item" in blocks else None
+    out = _user_features(placed, items, layout, spec, by_user, broadcast_bytes)
+    if crowded is not None:
         out = out.unionByName(
             _user_features(crowded, items, layout, spec, lambda df: df, broadcast_bytes, True)
         )

@@ -41,8 +41,26 @@ def shared_folder(spark: SparkSession) -> str:
     return made
 
 
+_MADE: dict[str, list[str]] = {}  # by application: what was written to the shared folder
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes the tables that this session has written to the shared folder; how many there were.
+
+    To be called when results have been stored or shown: a result that was not reads these tables.
+    """
+    paths = _MADE.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        at = hadoop(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
@@ -55,3 +73,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settle_by(df: DataFrame, key: str, name: str) -> DataFrame:
+    """As ``settle``, with rows stored by ``key``: what groups by it, and by more, reads without a shuffle.
+
+    One shuffle places the rows; as many buckets as the session has shuffle partitions.
+    """
+    spark = df.sparkSession
+    path, buckets = new_path(spark, name), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    return spark.table(table)
