@@ -12,7 +12,7 @@ import os
 import time
 
 from tidemark.queries import QUERIES
-from tidemark.session import local_session
+from tidemark.session import local_session, release
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -38,7 +38,9 @@ WIDE = ("order_features_set_1", "sample_wide")
 def timed(spark, name: str) -> float:
     start = time.perf_counter()
     QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    taken = time.perf_counter() - start
+    release(spark)
+    return taken
 
 
 def main() -> None:
