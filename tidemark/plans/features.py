@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import moments
+from tidemark.functions.clock import DAY_SECONDS
 from tidemark.operators.joins import BROADCAST_BYTES, Heavy, lookup_join
 from tidemark.plans.spec import CID_KEYS, ITEM_KEYS, KIND_KEYS, Feature, Spec
 from tidemark.plans.splits import CALENDAR, Layout, prune, window_members
@@ -218,19 +219,37 @@ def _base_block(cells: DataFrame, layout: Layout, spec: Spec, crowded: bool = Fa
     return _finish(full, spec, "base")
 
 
+def _day_words(layout: Layout, spec: Spec) -> dict[str, str]:
+    """Days as bits: for each word of 63 days back from the last anchor, the bit of a row's local day."""
+    unit = 1 if layout.mode == CALENDAR else DAY_SECONDS
+    anchors = [s.anchor // unit for s in layout.splits if s.anchor is not None] or [0]
+    last = max(anchors) + 1  # in local time an instant's day may be the next
+    back = f"({last} - unix_date(date_day))"
+    reach = last - min(anchors) + max(spec.windows) + 1
+    return {f"days_{k}": f"if({back} div 63 = {k}, shiftleft(1L, CAST({back} % 63 AS INT)), 0L)" for k in range(reach // 63 + 1)}
+
+
 def _distinct_block(cells: DataFrame, layout: Layout, spec: Spec) -> DataFrame:
-    """Exact distinct counts: a value counts in every window from its first band on."""
+    """Exact distinct counts: a value counts in every window from its first band on.
+
+    Days are bits of a few words, joined by or and counted at the end: no row is made for a day.
+    """
     names = list(dict.fromkeys(f.arg[0] for f in spec.features if f.block == "distinct"))
-    tokens = ", ".join(f"named_struct('what', '{c}', 'value', CAST({c} AS STRING))" for c in names)
-    rows = _members(cells, layout, spec).select("did", "split", "band", F.expr(f"inline(array({tokens}))"))
-    # grouping keeps NULL as one value, as intended
-    first = rows.groupBy("did", "split", "what", "value").agg(F.expr("min(band) AS band"))
-    banded = first.groupBy("did", "split", "band").agg(
-        *[F.expr(f"count_if(what = '{c}') AS {c}_d") for c in names]
-    )
-    full = banded.withColumn("days", _windows_from(spec)).groupBy(*USER_WINDOW).agg(
-        *[F.expr(f"sum({c}_d) AS {c}_d") for c in names]
-    )
+    values = [c for c in names if c != "date_day"]
+    rows, made, sums = _members(cells, layout, spec), [], []
+    if values:
+        tokens = ", ".join(f"named_struct('what', '{c}', 'value', CAST({c} AS STRING))" for c in values)
+        # grouping keeps NULL as one value, as intended
+        first = rows.select("did", "split", "band", F.expr(f"inline(array({tokens}))")).groupBy("did", "split", "what", "value").agg(
+            F.expr("min(band) AS band"))
+        made.append(first.groupBy("did", "split", "band").agg(*[F.expr(f"count_if(what = '{c}') AS {c}_d") for c in values]))
+        sums += [F.expr(f"sum({c}_d) AS {c}_d") for c in values]
+    words = _day_words(layout, spec) if "date_day" in names else {}
+    if words:
+        made.append(rows.groupBy("did", "split", "band").agg(*[F.expr(f"bit_or({bit}) AS {w}") for w, bit in words.items()]))
+        sums.append(F.expr(" + ".join(f"bit_count(bit_or({w}))" for w in words)).cast("long").alias("date_day_d"))
+    banded = made[0] if len(made) == 1 else made[0].unionByName(made[1], allowMissingColumns=True)
+    full = banded.withColumn("days", _windows_from(spec)).groupBy(*USER_WINDOW).agg(*sums)
     return _finish(full, spec, "distinct")
 
 
