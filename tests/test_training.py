@@ -112,8 +112,13 @@ def test_bad_csv_values_fail_or_are_counted(spark):
     path = new_path(spark, "t-bad") + ".csv"
     frame = spark.createDataFrame([("5", "v", "x", "u"), ("6", "w", None, "u"), ("y", "w", "1", "u")], "timestamp string, vid string, vts string, did string")
     frame.write.option("header", True).csv(path)
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        tables.read_behaviors(spark, path).collect()
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(Exception, match="is no (double: x|bigint: y)"):
+                tables.read_behaviors(spark, path).collect()
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
     assert tables.read_behaviors(spark, path, strict=False).where("vts IS NULL").count() == 2
     found = tables.rejects(spark, path, BEHAVIORS).first()
     assert (found["vts"], found["timestamp"], found["vid"]) == (1, 1, 0)

@@ -17,16 +17,19 @@ def _read(
 ) -> DataFrame:
     """By header name, in whatever order the file has the columns.
 
-    A value that its type cannot hold fails the job; without ``strict`` it is NULL, and
-    ``rejects`` counts those.
+    A value that its type cannot hold fails the job, whatever the session's settings; without
+    ``strict`` it is NULL, and ``rejects`` counts those.
     """
+    def typed(f: T.StructField):
+        raw = F.col(f"`{f.name}`")
+        value = raw.try_cast(f.dataType)
+        fails = F.raise_error(F.concat(F.lit(f"{f.name} is no {f.dataType.simpleString()}: "), raw)).cast(f.dataType)
+        return (F.when(raw.isNull() | value.isNotNull(), value).otherwise(fails) if strict else value).alias(f.name)
+
     fmt = fmt or ("csv" if ".csv" in path.rsplit("/", 1)[-1] else "parquet")
     if fmt == "csv":
         raw = spark.read.option("header", True).csv(path)
-        return raw.select(*[
-            (F.col(f"`{f.name}`").cast(f.dataType) if strict else F.col(f"`{f.name}`").try_cast(f.dataType)).alias(f.name)
-            for f in schema
-        ])
+        return raw.select(*map(typed, schema))
     return spark.read.schema(schema).format(fmt).load(path)
 
 
