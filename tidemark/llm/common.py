@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from threading import Lock
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,20 +31,31 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORDS), lambda w: w != "")
 
 
+_WRITES = {"now": 0, "before": "false"}  # how many are under way, and the option before the first
+_LOCK = Lock()
+
+
 def settle(df: DataFrame, name: str, **options) -> DataFrame:
     """``df`` written once to the shared folder and read again; its shuffle files go at once.
 
-    Until the table is complete they stay, so that a lost executor costs its own tasks only.
+    Until the table is complete they stay, so that a lost executor costs its own tasks only. The
+    session's option for that is put back when the last of the writes under way is done.
     """
     conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, "false")
-    conf.set(CLEANUP, "true")
+    with _LOCK:
+        if not _WRITES["now"]:
+            _WRITES["before"] = conf.get(CLEANUP, "false")
+        _WRITES["now"] += 1
+        conf.set(CLEANUP, "true")
     try:
         path = new_path(df.sparkSession, name)
         df.write.options(**options).parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
     finally:
-        conf.set(CLEANUP, before)
+        with _LOCK:
+            _WRITES["now"] -= 1
+            if not _WRITES["now"]:
+                conf.set(CLEANUP, _WRITES["before"])
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
