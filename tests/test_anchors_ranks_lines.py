@@ -15,7 +15,6 @@ from tidemark.operators.prepare import localize
 from tidemark.operators.ranges import day_range, instant_range, lookback
 from tidemark.operators.ranks import even_folds, placed, value_codes
 from tidemark.plans import training
-from tidemark.plans.spec import SPEC_1
 from tidemark.plans.splits import SET_1, history_members, label_members, survey, window_members
 from tidemark.session import new_path
 from tidemark.sources import tables

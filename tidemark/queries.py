@@ -10,7 +10,7 @@ from tidemark.operators import attach as attaching
 from tidemark.operators.anchors import anchor_activity
 from tidemark.operators import scoring
 from tidemark.operators.joins import heavy_keys, key_counts
-from tidemark.operators.labels import label_table, users
+from tidemark.operators.labels import users
 from tidemark.operators.narrow import narrow_types, range_profile
 from tidemark.operators.prepare import add_measures, attach_items, calendar_parts, localize, prepare
 from tidemark.operators.ranges import day_range, instant_range, lookback, window_bounds
