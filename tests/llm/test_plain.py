@@ -288,6 +288,30 @@ def test_language_learns_and_knows_what_has_no_letter():
     assert language.predict(["the"], language.fit([], [], p), p)[0] == ["und"]
 
 
+def test_totals_of_keys_that_several_chunks_hold():
+    import pyarrow as pa
+
+    from tidemark.llm import backoff
+
+    rng = np.random.default_rng(5)
+    rows = []
+    for chunk in range(9):
+        keys = np.unique(np.append(rng.integers(-50, 50, 40), [7, -(1 << 63), (1 << 63) - 1][: chunk % 4]))
+        rows.append((chunk, 100 * chunk, keys.tolist(), rng.integers(1, 5, len(keys)).tolist()))
+    rows.append((9, 0, [], []))
+    table = pa.table({name: [r[k] for r in rows] for k, name in enumerate(("chunk", "first", "keys", "counts"))},
+                     pa.schema([("chunk", pa.int64()), ("first", pa.int64()), ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))]))
+    total = {}
+    for _, _, keys, counts in rows:
+        for k, n in zip(keys, counts, strict=True):
+            total[k] = total.get(k, 0) + n
+    got = backoff._shares(table).to_pylist()
+    for (chunk, first, keys, counts), r in zip(rows, got, strict=True):
+        want = [(first + i, total[k]) for i, (k, n) in enumerate(zip(keys, counts, strict=True)) if total[k] > n]
+        assert r["chunk"] == chunk and list(zip(r["places"], r["totals"], strict=True)) == want
+    assert backoff._shares(table.slice(9)).to_pylist() == [{"chunk": 9, "places": [], "totals": []}]
+
+
 def test_graph_search_finds_the_nearest():
     rng = np.random.default_rng(0)
     vectors = rng.normal(size=(3000, 16)).astype(np.float32)

@@ -8,10 +8,11 @@ its share of all words elsewhere, one not seen elsewhere ``alpha`` times that of
 n-gram is pruned.
 
 Texts are dealt to chunks of bounded size. A chunk's distinct n-grams, by the hash of their words,
-are rows (key, chunk, count), partitioned by key and summed there; a key has at most one row for
+go with their counts to ranges of the key and are summed there; a key comes at most once from
 each chunk, however frequent it is. A chunk gets back only what it does not know itself: the sums
 of n-grams that other chunks hold, too. The key space is worked through in ``slices``, which
-divides the space that shuffles take. Last, chunks meet their sums and score their documents.
+divides the space that shuffles take. Last, chunks meet their sums, as many of them at a time, and
+score their documents.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents, settle
@@ -37,7 +39,8 @@ class Params:
     order: int = 3  # words of the longest n-gram
     alpha: float = 0.4
     slices: int = 4
-    chunk_words: int = 1 << 19  # about; a longer text is a chunk of its own
+    chunk_words: int = 1 << 18  # about; a longer text is a chunk of its own
+    range_keys: int = 1 << 19  # that are summed together, about
 
 
 def chunks(docs: DataFrame, p: Params) -> DataFrame:
@@ -69,7 +72,7 @@ def chunks(docs: DataFrame, p: Params) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = rows.mapInArrow(run, "chunk long, words array<long>, sizes array<int>, ids array<long>")
     # few chunks in a row group, so that a reader holds few at once; words recur, so a dictionary pays
-    return settle(found, "chunks", **{"parquet.block.size": 8 << 20, "parquet.dictionary.page.size": 4 << 20})
+    return settle(found, "chunks", **{"parquet.block.size": 8 << 20, "parquet.block.row.count.limit": 4, "parquet.dictionary.page.size": 4 << 20})
 
 
 def gram_keys(words: np.ndarray, place: np.ndarray, order: int) -> list[np.ndarray]:
@@ -102,25 +105,47 @@ def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
         yield value.values.to_numpy(zero_copy_only=False)
 
 
-def sums(made: DataFrame, which: int, p: Params) -> DataFrame:
-    """(chunk, place, total) of one slice: the count of each chunk's n-grams that other chunks hold, too.
+def _shares(table: pa.Table) -> pa.Table:
+    """Of one range of keys, in rows (chunk, first, keys, counts): for each chunk the places and totals of keys that others hold, too."""
+    sizes = pc.list_value_length(table.column("keys")).to_numpy()
+    keys, n = (pc.list_flatten(table.column(c)).to_numpy() for c in ("keys", "counts"))
+    row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    place = (np.arange(len(keys)) + np.repeat(table.column("first").to_numpy() - (np.cumsum(sizes) - sizes), sizes)).astype(np.int32)
+    order = np.argsort(keys)
+    first = np.flatnonzero(np.append(True, np.diff(keys[order]) != 0)) if len(keys) else np.zeros(0, np.int64)
+    total = np.empty(len(keys), np.int64)
+    total[order] = np.repeat(np.add.reduceat(n[order], first), np.diff(np.append(first, len(keys)))) if len(keys) else 0
+    more = np.flatnonzero(total > n)  # in the order of the rows
+    ends = pa.array(np.searchsorted(row[more], np.arange(len(sizes) + 1)), pa.int32())
+    return pa.table({"chunk": table.column("chunk"), "places": pa.ListArray.from_arrays(ends, pa.array(place[more])),
+                     "totals": pa.ListArray.from_arrays(ends, pa.array(total[more]))})
 
-    ``place`` is the n-gram's among the chunk's of the slice, by key.
+
+def sums(made: DataFrame, which: int, total: int, p: Params) -> DataFrame:
+    """(chunk, slice, places, totals) of one slice: the counts of a chunk's n-grams that other chunks hold, too.
+
+    ``places`` are the n-grams' among the chunk's of the slice, by key. Keys travel as arrays, one for each
+    range of keys that a chunk has some of; the ranges are as many as keep about ``range_keys`` in each.
     """
+    bits = min(24, max(0, (total * p.order // (p.slices * p.range_keys)).bit_length()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
         for batch in batches:
             for chunk, words, sizes in zip(batch.column(0).to_pylist(), _lists(batch.column(1)), _lists(batch.column(2)), strict=True):
                 keys, _ = _chunk_keys(words, sizes, p)
                 found, counts = np.unique(keys[_in_slice(keys, which, p)], return_counts=True)
-                for at in range(0, len(found), 1 << 16):
-                    some = found[at : at + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(some.view(np.int64)), pa.array(np.full(len(some), chunk)), pa.array(np.arange(at, at + len(some), dtype=np.int32)),
-                         pa.array(counts[at : at + (1 << 16)])], names=["key", "chunk", "place", "n"])
+                ends = np.append(np.searchsorted(found, edges), len(found))
+                part = np.flatnonzero(np.diff(ends))
+                lists = pa.array(np.append(ends[part], len(found)), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part.astype(np.int32)), pa.array(np.full(len(part), chunk)), pa.array(ends[part]),
+                     pa.ListArray.from_arrays(lists, pa.array(found.view(np.int64))), pa.ListArray.from_arrays(lists, pa.array(counts.astype(np.int32)))],
+                    names=["part", "chunk", "first", "keys", "counts"])
 
-    rows = made.select("chunk", "words", "sizes").mapInArrow(run, "key long, chunk long, place int, n long")
-    rows = rows.withColumn("total", F.sum("n").over(Window.partitionBy("key")))
-    return settle(rows.where("total > n").select("chunk", F.lit(which).alias("slice"), "place", "total"), "sums")
+    rows = made.select("chunk", "words", "sizes").mapInArrow(run, "part int, chunk long, first long, keys array<long>, counts array<int>")
+    found = rows.groupBy("part").applyInArrow(_shares, "chunk long, places array<int>, totals array<long>")
+    return settle(found.withColumn("slice", F.lit(which)), "sums")
 
 
 def chunk_scores(words: np.ndarray, sizes: np.ndarray, known: dict[int, tuple[np.ndarray, np.ndarray]], total: int, p: Params) -> np.ndarray:
@@ -161,20 +186,24 @@ def score(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """
     made = chunks(docs, p)
     total = made.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
-    known = reduce(DataFrame.unionByName, [sums(made, which, p) for which in range(p.slices)])
+    known = reduce(DataFrame.unionByName, [sums(made, which, total, p) for which in range(p.slices)])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        slices, places, totals = (right.column(c).to_numpy() for c in ("slice", "place", "total"))
-        of = {int(s): (places[slices == s], totals[slices == s]) for s in np.unique(slices)}
+        out, of = [], {}
+        for which in set(right.column("slice").to_pylist()):
+            some = right.filter(pc.equal(right.column("slice"), which))
+            of[which] = tuple(pc.list_flatten(some.column(c)).to_numpy() for c in ("places", "totals"))
         for batch in left.to_batches():
             for words, sizes, ids in zip(_lists(batch.column("words")), _lists(batch.column("sizes")), batch.column("ids"), strict=True):
                 found = chunk_scores(words, sizes.astype(np.int64), of, total, p)
                 out.append(pa.table({"doc_id": ids.values, "n_words": pa.array(sizes, pa.int64()), "lm_score": pa.array(found, from_pandas=True)}))
         return pa.concat_tables(out) if out else pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("lm_score", pa.float64())]).empty_table()
 
-    scored = made.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, "doc_id long, n_words long, lm_score double")
-    return scored.withColumn("lm_score", F.round("lm_score", 6))
+    part = F.pmod(F.xxhash64("chunk"), F.lit(p.slices))
+    scored = [
+        settle(made.where(part == k).groupBy("chunk").cogroup(known.where(part == k).groupBy("chunk")).applyInArrow(
+            run, "doc_id long, n_words long, lm_score double"), "scores") for k in range(p.slices)]
+    return reduce(DataFrame.unionByName, scored).withColumn("lm_score", F.round("lm_score", 6))
 
 
 def op8_backoff(spark, sf_dir: str) -> DataFrame:
