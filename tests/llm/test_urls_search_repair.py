@@ -117,6 +117,31 @@ def test_mined_rules_are_all_there_are(spark, p):
     assert any(r.pattern for r in judged)
 
 
+def test_rules_of_urls_with_many_frequent_tokens(spark):
+    """The combination that tells bad pages lies beyond the rarest tokens, and long copies end."""
+    rng, out = random.Random(5), []
+    for k in range(400):
+        left, right = rng.random() < 0.7, rng.random() < 0.7
+        rare = "/".join(f"{c}{rng.choice('xyz')}" for c in "abcdefghij")  # ten tokens rarer than the two that tell
+        out.append((f"http://s.net/{rare}/{'left' if left else 'l'}?{'right' if right else 'r'}={k}", left and right and rng.random() < 0.9))
+    out += [("http://long.net/" + "/".join(f"w{chr(97 + j)}" for j in range(26)), k < 40) for k in range(100)]
+    p = urls.Params(least_share=0.1, least_confidence=0.8)
+    found = urls.mine(spark.createDataFrame(out, "url string, bad boolean").repartition(4), p).collect()
+    rows = [(plain_tokens(u), bad) for u, bad in out]
+    got = {tuple(r.tokens): (r.confidence, r.support) for r in found}
+    assert ("p:left", "q:right") in got
+    tokens = sorted(set().union(*(t for t, _ in rows)))
+    some = [t for t in tokens if sum(bad for s, bad in rows if t in s) >= 50]
+    rules = {}
+    for size in (1, 2, 3):
+        for c in itertools.combinations(some, size):
+            seen = [bad for s, bad in rows if s.issuperset(c)]
+            if sum(seen) >= 50 and sum(seen) / len(seen) >= 0.8 and not any(set(r) < set(c) for r in rules):
+                rules[c] = (sum(seen) / len(seen), sum(seen) / len(rows))
+    assert {t for t in got if len(t) <= 3} == set(rules)
+    assert all(math.isclose(a, b) for t in rules for a, b in zip(got[t], rules[t], strict=True))
+
+
 def test_no_labels_no_rules_and_empty_tables(spark):
     none = spark.createDataFrame([], "url string, bad boolean")
     assert urls.mine(none).count() == 0

@@ -2,10 +2,11 @@
 
 A URL's tokens are the words of its host, path and rest, each with where it stands. FP-growth over
 the labelled URLs finds token combinations that are frequent together with the mark of a bad page;
-those of enough support and confidence, less any that hold a smaller one, become block rules. Each
-rule is posted under its rarest token in an inverted index of hashed tokens. The index's size is
-bound by the parameters, so it travels as a literal: a URL looks up its own tokens and checks the
-few rules found there, without a shuffle.
+where URLs have many frequent tokens, the combinations are grown level by level instead. Those of
+enough support and confidence, less any that hold a smaller one, become block rules. Each
+rule is posted under its rarest token in an inverted index of hashed tokens. Each rule holds for a
+share of the labelled URLs, so the index stays small and travels as a literal: a URL looks up its
+own tokens and checks the few rules found there, without a shuffle.
 """
 
 from __future__ import annotations
@@ -29,14 +30,14 @@ LISTED = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1",
 
 @dataclass(frozen=True)
 class Params:
-    """A transaction holds the ``most_items`` rarest of a URL's frequent tokens, so that one URL has at most
-    2^most_items combinations and all URLs at most 2^most_items / least_share frequent ones, however
-    many URLs there are and however many of them are alike. Matching looks at all tokens."""
+    """Where no URL has more than ``most_items`` frequent tokens, FP-growth takes them all: a URL then has at
+    most 2^most_items combinations. Where one has more, combinations of all its tokens are grown level by
+    level, only those that a smallest rule can come from. No token is left out either way."""
 
     least_share: float = 0.002  # of the labelled URLs that a rule must hold for and be right about
     least_urls: int = 3  # and at least so many
     least_confidence: float = 0.5
-    most_items: int = 10
+    most_items: int = 10  # frequent tokens of a URL up to which FP-growth mines
     buckets: int = 4096  # of the inverted index
 
 
@@ -69,6 +70,41 @@ def listed(host: Column, path: Column, rules=LISTED) -> Column:
     return F.coalesce(*found) if found else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
+def grown(sets: DataFrame, least: int, p: Params) -> DataFrame:
+    """(tokens, right, confidence) of the smallest block rules of rows (items, bad), of any number of items.
+
+    Alike URLs are one row with a count. A combination grows only while it is right ``least`` times, is no rule
+    itself and is held by fewer URLs than every part of it: one held by the same URLs as a part is as sure
+    as that part, so nothing that holds it is a smallest rule. Copies of a long URL therefore end at once.
+    """
+    urls = settle(sets.groupBy("items").agg(F.count("*").alias("n"), F.count_if("bad").alias("right")).where(
+        F.size("items") > 0).withColumn("url", F.monotonically_increasing_id()), "url-sets")
+    has = urls.select("url", "n", "right", F.explode("items").alias("token")).select("url", "n", "right", F.array("token").alias("tokens"))
+    out, live = [], None
+    while True:
+        counts = has.groupBy("tokens").agg(F.sum("n").alias("n"), F.sum("right").alias("right")).where(F.col("right") >= least)
+        if live is not None:
+            part = counts.select("tokens", "n", F.posexplode("tokens").alias("at", "token")).select(
+                "tokens", F.col("n").alias("_n"), F.expr("filter(tokens, (t, i) -> i <> at)").alias("part"))
+            parts = part.join(live.select(F.col("tokens").alias("part"), "n"), "part").groupBy("tokens").agg(
+                F.count("*").alias("parts"), F.min(F.col("n") - F.col("_n")).alias("fewer"))
+            counts = counts.join(parts.where("parts = size(tokens) AND fewer > 0").select("tokens"), "tokens", "left_semi")
+        counts = settle(counts.withColumn("confidence", F.col("right") / F.col("n")), "url-combinations")
+        out.append(counts.where(F.col("confidence") >= p.least_confidence).select("tokens", "right", "confidence"))
+        live = counts.where(F.col("confidence") < p.least_confidence)
+        if live.isEmpty():
+            break
+        has = has.join(live.select("tokens"), "tokens", "left_semi").select(
+            "url", "n", "right", F.expr("slice(tokens, 1, size(tokens) - 1)").alias("begin"), F.element_at("tokens", -1).alias("last"))
+        more = has.select(F.col("url").alias("_url"), F.col("begin").alias("_begin"), F.col("last").alias("_last"))
+        pairs = has.join(more, (F.col("url") == F.col("_url")) & (F.col("begin") == F.col("_begin")) & (F.col("last") < F.col("_last")))
+        has = settle(pairs.select("url", "n", "right", F.concat("begin", F.array("last", "_last")).alias("tokens")), "url-held")
+    found = out[0]
+    for more in out[1:]:
+        found = found.unionByName(more)
+    return found
+
+
 def mine(labelled: DataFrame, p: Params = Params()) -> DataFrame:
     """(tokens, post, support, confidence) of the block rules from rows (url, bad).
 
@@ -81,23 +117,24 @@ def mine(labelled: DataFrame, p: Params = Params()) -> DataFrame:
     least = max(math.ceil(p.least_share * n), p.least_urls)
     each = rows.select("row", F.explode("tokens").alias("token"))
     frequent = small(each.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= least))
-    rarest = F.slice(F.array_sort(F.collect_list(F.struct("n", "token"))), 1, p.most_items)
-    kept = each.join(frequent, "token").groupBy("row").agg(F.transform(rarest, lambda x: x["token"]).alias("items"))
+    kept = each.join(frequent, "token").groupBy("row").agg(F.array_sort(F.collect_list("token")).alias("items"))
     none = F.array().cast("array<string>")
-    sets = rows.join(kept, "row", "left").select(
-        F.concat(F.coalesce("items", none), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(none)).alias("items"))
-    sets = settle(sets, "url-items")
+    sets = settle(rows.join(kept, "row", "left").select(F.coalesce("items", none).alias("items"), "bad"), "url-items")
     if n < least:
         found = sets.select(F.col("items").alias("tokens"), F.lit(0.0).alias("confidence"), F.lit(0.0).alias("support")).limit(0)
+    elif sets.agg(F.max(F.size("items"))).first()[0] > p.most_items:
+        found = grown(sets, least, p).withColumn("support", F.col("right") / F.lit(float(n))).select("tokens", "confidence", "support")
     else:
         parts = int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=p.least_confidence, numPartitions=parts).fit(sets)
+        marked = sets.select(F.concat("items", F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(none)).alias("items"))
+        model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=p.least_confidence, numPartitions=parts).fit(marked)
         found = model.associationRules.where(F.array_contains("consequent", BAD)).select(
             F.array_sort("antecedent").alias("tokens"), "confidence", "support")
     rules = settle(found, "url-rules")
-    # a rule that holds another adds nothing: all its URLs match the smaller one
-    smaller = F.expr("transform(sequence(1, shiftleft(1, size(tokens)) - 2), m -> filter(tokens, (t, i) -> (shiftright(m, i) & 1) = 1))")
-    held = rules.where(F.size("tokens") > 1).select(F.col("tokens").alias("whole"), F.explode(smaller).alias("tokens"))
+    # a rule that holds another adds nothing: all its URLs match the smaller one. None of FP-growth's has more
+    # than most_items tokens; those grown hold no other, and a part that is a rule is found by its size
+    smaller = F.expr("transform(sequence(1, shiftleft(1L, size(tokens)) - 2), m -> filter(tokens, (t, i) -> (shiftright(m, i) & 1) = 1))")
+    held = rules.where((F.size("tokens") > 1) & (F.size("tokens") <= p.most_items)).select(F.col("tokens").alias("whole"), F.explode(smaller).alias("tokens"))
     held = held.join(rules.select("tokens"), "tokens", "left_semi").select(F.col("whole").alias("tokens")).distinct()
     rules = rules.join(held, "tokens", "left_anti")
     post = rules.select("tokens", "confidence", "support", F.explode("tokens").alias("token")).join(frequent, "token")
@@ -120,7 +157,7 @@ def inverted(rules: DataFrame, p: Params = Params()) -> Index:
     """The rules by bucket of the token they are posted under; the surest rule has the smallest rank."""
     order = [F.desc("confidence"), F.desc("support"), F.asc("text")]
     rows = rules.select(_bucket(F.col("post"), p).alias("bucket"), F.array_join("tokens", " ").alias("text"), "confidence", "support")
-    found = rows.orderBy(*order).collect()  # 2^most_items / least_share at most
+    found = rows.orderBy(*order).collect()  # smallest rules only, each right for least_share of the labelled URLs
     ranked = sorted((r.bucket, f"{k:09d} {r.text}") for k, r in enumerate(found))
     counts = [0] * (p.buckets + 1)
     for at, _ in ranked:
