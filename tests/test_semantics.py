@@ -17,9 +17,9 @@ from tidemark.operators.narrow import narrow_types, range_profile
 from tidemark.operators.prepare import add_measures, calendar_parts, localize, prepare, repeated_items
 from tidemark.operators.ranges import day_range, instant_range, lookback
 from tidemark.plans import samples as sampling
-from tidemark.plans.features import long_features
+from tidemark.plans.features import _distinct_block, long_features
 from tidemark.plans.spec import BASELINE_SPEC, SPEC_1, SPEC_2
-from tidemark.plans.splits import BASELINE, LATEST, SET_1, survey
+from tidemark.plans.splits import BASELINE, CALENDAR, LATEST, SET_1, Layout, Split, survey
 
 EVENTS = "did string, vid string, vts double, timestamp long"
 ITEMS = (
@@ -353,3 +353,34 @@ def test_feature_counts():
     assert len(BASELINE_SPEC.wide_columns()) == 114  # tenure is the 115th
     assert len(set(SPEC_1.wide_columns())) == 645
     assert math.isclose(sum(scoring.SHARES.values()), 1.0)
+
+
+def test_values_are_grouped_once_for_all_splits(spark):
+    """Distinct counts group a user's values once, not once per split, and agree with plain sets."""
+    days = [(d, v, d % 40, f"c{v % 3}" if v % 4 else None) for d in (1, 2) for v in range(9)]
+    base = "date'2024-01-01'"
+    cells = spark.createDataFrame(days, "did long, vid long, back int, cid string").selectExpr(
+        "did", "vid", "cid", f"date_sub({base}, back + CAST(vid AS INT) * 3) AS date_day")
+    last = 19723  # 2024-01-01
+    splits = (Split("a", None, (last - 30, last), last), Split("b", None, (last - 30, last - 5), last - 5), Split("none", None, (0, 1), None))
+    layout = Layout(CALENDAR, last, splits)
+    spec = SPEC_1.pick((3, 7, 30), lambda f: f.block == "distinct" and f.arg[0] in ("vid", "cid"))
+    block = _distinct_block(cells, layout, spec)
+    got = {(r.did, r.split, r.days): (r.did_vid_nunique, r.did_cid_nunique) for r in block.collect()}
+    want = {}
+    for s in splits[:2]:
+        for d in (3, 7, 30):
+            for did in (1, 2):
+                hit = [r for r in cells.collect() if r.did == did and s.history[0] <= (day := (r.date_day - date(1970, 1, 1)).days) and s.anchor - d < day <= s.anchor]
+                if hit:
+                    want[did, s.name, d] = (len({r.vid for r in hit}), len({r.cid for r in hit}))
+    assert got == want and len(want) > 6
+    plan = block._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(_b0" in plan and "min(_b1" in plan  # a column per split
+
+
+def test_products_of_counts_past_a_long_are_exact(spark):
+    big = 2**40 + 12345
+    rows = spark.createDataFrame([(1, big, 2**30 + 7), (1, 3, 5), (1, None, 9), (2, None, 1)], "k int, v_watch_nums long, n long")
+    got = {r.k: r.s for r in rows.groupBy("k").agg(F.expr(f"{moments.whole_sum('v_watch_nums', 'n')} AS s")).collect()}
+    assert got[1] == big * (2**30 + 7) + 15 and got[2] is None

@@ -53,12 +53,20 @@ def whole(name: str) -> bool:
     return name.endswith(("active_days", "watch_nums", "g_vid"))
 
 
+def whole_sum(value: str, times: str) -> str:
+    """SQL of the exact sum of products of counts, which may pass what a long holds.
+
+    High and low bits of the value are summed as longs and joined once per group: decimals only there.
+    """
+    high, low = f"sum(shiftright({value}, 20) * {times})", f"sum(({value} & 1048575L) * {times})"
+    return f"(CAST({high} AS DECIMAL(19,0)) * 1048576 + CAST({low} AS DECIMAL(19,0)))"
+
+
 def repeated_parts(name: str, value: str, times: str, weight: str, parts, centre: str = "0") -> list[Column]:
     """Parts of a value that stands for ``times`` rows of total weight ``weight``; squares are about ``centre``."""
     ways = {
         "n": f"sum(if({value} IS NOT NULL, {times}, NULL))",
-        # products of counts may pass what a long holds
-        "s": f"sum(CAST({value} AS DECIMAL(19,0)) * CAST({times} AS DECIMAL(19,0)))" if whole(name) else f"sum({value} * {times})",
+        "s": whole_sum(value, times) if whole(name) else f"sum({value} * {times})",
         "q": f"sum(1.0D * ({value} - {centre}) * ({value} - {centre}) * {times})",
         "d": f"sum(1.0D * ({value} - {centre}) * {times})",
         "lo": f"min({value})",

@@ -24,7 +24,7 @@ from tidemark.functions import moments
 from tidemark.functions.clock import DAY_SECONDS
 from tidemark.operators.joins import BROADCAST_BYTES, Heavy, lookup_join
 from tidemark.plans.spec import CID_KEYS, ITEM_KEYS, KIND_KEYS, Feature, Spec
-from tidemark.plans.splits import CALENDAR, Layout, prune, window_members
+from tidemark.plans.splits import CALENDAR, Layout, prune, window_bands, window_members
 from tidemark.session import settle, settle_by
 
 DIMS = ("cid", "is_intact", "classify_id", "series_id")
@@ -240,8 +240,16 @@ def _distinct_block(cells: DataFrame, layout: Layout, spec: Spec) -> DataFrame:
     if values:
         tokens = ", ".join(f"named_struct('what', '{c}', 'value', CAST({c} AS STRING))" for c in values)
         # grouping keeps NULL as one value, as intended
-        first = rows.select("did", "split", "band", F.expr(f"inline(array({tokens}))")).groupBy("did", "split", "what", "value").agg(
-            F.expr("min(band) AS band"))
+        bands = window_bands(layout, spec.windows) if layout.mode == CALENDAR else {}
+        if bands:  # a column per split, so that a value is grouped once and not for each split
+            least = [F.min(f"_b{i}").alias(f"_b{i}") for i in range(len(bands))]
+            found = cells.select("did", *[b.alias(f"_b{i}") for i, b in enumerate(bands.values())], F.expr(f"inline(array({tokens}))")).groupBy(
+                "did", "what", "value").agg(*least)
+            splits = ", ".join(f"named_struct('split', '{s}', 'band', _b{i})" for i, s in enumerate(bands))
+            first = found.select("did", "what", F.expr(f"inline(array({splits}))")).where("band IS NOT NULL")
+        else:
+            first = rows.select("did", "split", "band", F.expr(f"inline(array({tokens}))")).groupBy("did", "split", "what", "value").agg(
+                F.expr("min(band) AS band"))
         made.append(first.groupBy("did", "split", "band").agg(*[F.expr(f"count_if(what = '{c}') AS {c}_d") for c in values]))
         sums += [F.expr(f"sum({c}_d) AS {c}_d") for c in values]
     words = _day_words(layout, spec) if "date_day" in names else {}

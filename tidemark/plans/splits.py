@@ -183,6 +183,23 @@ def history_members(df: DataFrame, layout: Layout) -> DataFrame:
     return df.withColumn("split", F.explode(F.array_compact(F.array(*hits))))
 
 
+def window_bands(layout: Layout, windows: tuple[int, ...]) -> dict[str, Column]:
+    """For each split, the smallest window that holds a row of a local day (``band``); null where none does.
+
+    As ``window_members`` for whole days, with a column per split where that makes a row.
+    """
+    at, longest, out = layout.position(), max(windows), {}
+    for s in layout.splits:
+        if s.anchor is None:
+            continue
+        band = F.lit(windows[-1])
+        for d in reversed(windows[:-1]):
+            band = F.when(F.lit(s.anchor) - at + 1 <= d, F.lit(d)).otherwise(band)
+        first = max(s.history[0], s.anchor - longest + 1)
+        out[s.name] = F.when(at.between(F.lit(first), F.lit(s.anchor)), band)
+    return out
+
+
 def window_members(df: DataFrame, layout: Layout, windows: tuple[int, ...]) -> DataFrame:
     """Each event once per split that can see it, with its smallest window.
 
