@@ -170,3 +170,19 @@ def test_queries_train_no_less_than_before():
     from tidemark.queries import QUICK
 
     assert QUICK.rounds >= 4 and QUICK.max_depth >= 3 and QUICK.max_bins >= 32
+
+
+def test_fits_share_stored_vectors(spark, monkeypatch):
+    """All fits pass over vectors that executors hold, and hold no longer once the fits are done."""
+    rows = [(s, k, k % 3, k, 0.5 * k, float(k % 7)) for k in range(40) for s in ("train_1", "test")]
+    table = spark.createDataFrame(rows, "split string, did long, active_days long, watch_nums long, watch_durations double, f_1 double")
+    seen, fit = [], training.fit_oof
+
+    def watched(rows, label, params):
+        seen.append((rows, rows.storageLevel.useMemory and rows.storageLevel.useDisk))
+        return fit(rows, label, params)
+
+    monkeypatch.setattr(training, "fit_oof", watched)
+    trained = training.train(table.where("split <> 'test'"), table.where("split = 'test'"), training.Params(rounds=1, max_depth=1, max_bins=8, folds=2))
+    assert [held for _, held in seen] == [True] * 3
+    assert not seen[0][0].storageLevel.useMemory and trained.fits["watch_nums"].oof.count() == 40
