@@ -186,3 +186,77 @@ def test_fits_share_stored_vectors(spark, monkeypatch):
     trained = training.train(table.where("split <> 'test'"), table.where("split = 'test'"), training.Params(rounds=1, max_depth=1, max_bins=8, folds=2))
     assert [held for _, held in seen] == [True] * 3
     assert not seen[0][0].storageLevel.useMemory and trained.fits["watch_nums"].oof.count() == 40
+
+
+@pytest.fixture
+def whole_params(spark, monkeypatch):
+    """Few rows instead of the wide sample, and fits of one round that note what they were asked for."""
+    from tidemark import queries
+
+    rows = [(s, str(k), k % 7 + 1, k, 0.5 * k, float(k % 7), float(k % 3)) for k in range(20) for s in ("train_1", "valid")]
+    rows += [("test", str(k), None, None, None, float(k % 7), None) for k in range(30)]
+    sample = spark.createDataFrame(rows, "split string, did string, active_days long, watch_nums long, watch_durations double, f_1 double, f_2 double")
+    asked, fit = [], training.fit_one
+
+    def noted(rows, label, held_out, params):
+        asked.append((label, held_out, params))
+        return fit(rows, label, None, training.Params(rounds=1, max_depth=1, max_bins=8, feature_fraction=1.0))
+
+    monkeypatch.setattr(queries, "Watch", lambda *_: None)
+    monkeypatch.setattr(queries, "_sample", lambda *_: sample)
+    monkeypatch.setattr(training, "fit_one", noted)
+    return asked
+
+
+@pytest.mark.parametrize("name, rows", [("importance", 6)])
+def test_a_query_trains_by_the_parameters_of_its_set(spark, whole_params, name, rows):
+    """Every label and fold is asked for all rounds, leaves and bins of the first set (train_doufu_1.py:43-61, :103)."""
+    from tidemark.queries import QUERIES
+
+    assert QUERIES[name](spark, "").count() == rows
+    assert sorted(x[:2] for x in whole_params) == sorted((y, f"fold = {k}") for y in training.LABELS for k in range(5))
+    for _, _, p in whole_params:
+        assert (p.rounds, 2 ** p.max_depth, p.max_bins, p.feature_fraction, p.learning_rate, p.patience) == (250, 256, 255, 0.5, 0.15, 50)
+
+
+def test_fits_side_by_side_are_the_same_as_one_by_one(spark, planted):
+    folded = training.assign_folds(planted, "did", 3)
+    rows = training.vectorize(folded, ["signal", "noise", "holes"]).coalesce(1).cache()
+    params = training.Params(rounds=5, max_depth=3, max_bins=32, feature_fraction=0.5, folds=3)
+    models = training.fit_oof(rows, "watch_nums", params).models
+    alone = [training.fit_one(rows, "watch_nums", f"fold = {k}", params) for k in range(3)]
+    trees = [m.toDebugString.split("\n", 1)[1] for m in models]
+    assert trees == [m.toDebugString.split("\n", 1)[1] for m in alone] and len(set(trees)) == 3
+
+
+def test_calls_side_by_side_keep_their_order_and_fail_aloud(spark):
+    assert training._side_by_side(spark, [lambda k=k: k for k in range(9)], 1) == list(range(9))
+    with pytest.raises(ZeroDivisionError):
+        training._side_by_side(spark, [lambda: 1, lambda: 1 // 0], 100)
+
+
+@pytest.mark.parametrize("worse_from, last", [(5, 60), (30, 120), (100, 250), (999, 250)])
+def test_rounds_are_grown_until_none_is_better(spark, monkeypatch, worse_from, last):
+    """``worse_from``: the round after which the error on held-out rows rises."""
+    grown = []
+
+    class Model:
+        def __init__(self, rounds):
+            self.rounds = rounds
+
+        def evaluateEachIteration(self, rows, loss):
+            return [abs(worse_from - k) for k in range(1, self.rounds + 1)]
+
+    class Booster:
+        def __init__(self, rounds):
+            self.rounds = rounds
+
+        def fit(self, rows):
+            grown.append(self.rounds)
+            return Model(self.rounds)
+
+    monkeypatch.setattr(training, "_booster", lambda label, params, rounds: Booster(rounds))
+    monkeypatch.setattr(training, "cut", lambda model, rounds: (model.rounds, rounds))
+    rows = spark.range(4).selectExpr("id AS y", "CAST(id % 2 AS int) AS fold")
+    assert training.fit_one(rows, "y", "fold = 0", training.PARAMS_1) == (last, min(worse_from, 250))
+    assert grown == [r for r in (60, 120, 250) if r <= last]
