@@ -208,7 +208,7 @@ def whole_params(spark, monkeypatch):
     return asked
 
 
-@pytest.mark.parametrize("name, rows", [("importance", 6), ("oof_predictions", 120), ("oof_scores", 1)])
+@pytest.mark.parametrize("name, rows", [("importance", 6), ("oof_predictions", 120), ("oof_scores", 1), ("test_predictions", 30)])
 def test_a_query_trains_by_the_parameters_of_its_set(spark, whole_params, name, rows):
     """Every label and fold is asked for all rounds, leaves and bins of the first set (train_doufu_1.py:43-61, :103)."""
     from tidemark.queries import QUERIES
