@@ -260,3 +260,20 @@ def test_rounds_are_grown_until_none_is_better(spark, monkeypatch, worse_from, l
     rows = spark.range(4).selectExpr("id AS y", "CAST(id % 2 AS int) AS fold")
     assert training.fit_one(rows, "y", "fold = 0", training.PARAMS_1) == (last, min(worse_from, 250))
     assert grown == [r for r in (60, 120, 250) if r <= last]
+
+
+def test_driver_garbage_is_collected_while_fits_run(spark):
+    import gc
+    import threading
+    import time
+
+    jvm, before = spark.sparkContext._jvm, threading.active_count()
+    held = jvm.java.util.ArrayList()
+    ref = jvm.java.lang.ref.WeakReference(held)
+    del held
+    gc.collect()
+    with training._swept(spark, 0.2):
+        until = time.time() + 20
+        while ref.get() is not None and time.time() < until:
+            time.sleep(0.2)
+    assert ref.get() is None and threading.active_count() <= before
